@@ -21,6 +21,11 @@ def rating_value(rating: Column) -> Column:
     return rating.try_cast("double")
 
 
+def exact_rating(rating: Column) -> Column:
+    """A rating as DECIMAL, whose sum does not depend on the order of the rows."""
+    return rating.try_cast("decimal(38,18)")
+
+
 def weighted_score(average: Column, titles: Column) -> Column:
     return average * F.log(titles + 1)
 

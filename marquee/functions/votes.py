@@ -13,20 +13,37 @@ WHITESPACE = (
 )
 MIN_STARS, MAX_STARS = 1, 5
 
+# Any character, text without "_", one "_", a padded whole number, any character.
+VOTE_MESSAGE = rf"(?s)^.[^_]*_[{WHITESPACE}]*[+-]?[0-9]+[{WHITESPACE}]*.$"
+NEEDS_ESCAPE = r'["\\\x00-\x1f]'
+
 
 def strip(text: Column) -> Column:
     return F.btrim(text, F.lit(WHITESPACE))
 
 
-def message_parts(value: Column) -> Column:
-    """The ``_``-separated parts between the first and the last character."""
-    text = value.cast("string")
-    return F.split(F.substring(text, F.lit(2), F.length(text) - 2), "_")
+def message_body(value: Column) -> Column:
+    """The text between the first and the last character, whatever these are."""
+    return F.substring(value, F.lit(2), F.length(value) - 2)
+
+
+def message_title(value: Column) -> Column:
+    return strip(F.substring_index(message_body(value), "_", 1))
+
+
+def message_vote(value: Column) -> Column:
+    """The vote as INT; NULL if it is no number or does not fit."""
+    return strip(F.substring_index(message_body(value), "_", -1)).try_cast("int")
+
 
+def is_vote_message(value: Column) -> Column:
+    """Whether a message has two parts, the second a whole number. Never NULL.
 
-def whole_number(text: Column) -> Column:
-    """INT of an optionally signed run of digits, else NULL (also on overflow)."""
-    return F.when(text.rlike(r"^[+-]?[0-9]+$"), text.try_cast("int"))
+    The pattern settles all but the size of the number, which keeps the test
+    to two looks at the text when Catalyst pushes it down as a filter.
+    """
+    accepted = value.rlike(VOTE_MESSAGE) & message_vote(value).isNotNull()
+    return F.coalesce(accepted, F.lit(False))
 
 
 def row_key(tconst: Column, ts_ms: Column) -> Column:
@@ -43,10 +60,11 @@ def key_millis(key: Column) -> Column:
 
 def message_value(tconst: Column, vote: Column) -> Column:
     """The message text: a JSON string holding ``tconst_vote``."""
-    body = F.concat_ws("_", tconst, vote.cast("string"))
+    body = F.concat(tconst, F.lit("_"), vote.cast("string"))
+    quote = F.lit('"')
     # to_json takes no bare string: encode a one-item array, drop its brackets.
-    encoded = F.to_json(F.array(body))
-    return F.substring(encoded, F.lit(2), F.length(encoded) - 2)
+    escaped = F.regexp_replace(F.to_json(F.array(body)), r"(?s)^\[|\]$", "")
+    return F.when(tconst.rlike(NEEDS_ESCAPE), escaped).otherwise(F.concat(quote, body, quote))
 
 
 def is_star_vote(tconst: Column, vote: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.catalogue import decade, listed, rating_value, weighted_score
+from marquee.functions.catalogue import decade, exact_rating, listed, weighted_score
 
 
 def preview(table: DataFrame, *columns: str, rows: int = 10, key: str | None = None) -> DataFrame:
@@ -77,15 +77,18 @@ def director_averages(
     People who share a name are one director, unless ``by="nconst"``. Sums per
     director id are formed before the names are joined: the exploded rows then
     never travel (partial sums do), a prolific director is a single row in the
-    join, and the mean comes from the summed sums, which is the same mean.
+    join, and the mean comes from the summed sums, which is the same mean. Sums
+    are exact, so the ranking is the same however the rows were split.
     """
-    rating = rating_value(F.col("averageRating"))
+    films = movie_crew_ratings(crew, ratings, titles).select(
+        "tconst", "directors", exact_rating(F.col("averageRating")).alias("rating")
+    )
     tallies = (
-        explode_directors(movie_crew_ratings(crew, ratings, titles))
+        explode_directors(films)
         .groupBy("director")
         .agg(
-            F.sum(rating).alias("rating_sum"),
-            F.count(rating).alias("rated"),
+            F.sum("rating").alias("rating_sum"),
+            F.count("rating").alias("rated"),
             F.count("tconst").alias("movies"),
         )
     )
@@ -95,7 +98,9 @@ def director_averages(
         tallies.join(people, tallies["director"] == people["nconst"])
         .groupBy(*keys)
         .agg(
-            F.try_divide(F.sum("rating_sum"), F.sum("rated")).alias("averageRating"),
+            F.try_divide(F.sum("rating_sum").cast("double"), F.sum("rated")).alias(
+                "averageRating"
+            ),
             F.sum("movies").alias("movieCount"),
         )
     )

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from marquee.functions.votes import (
     is_star_vote,
-    message_parts,
+    is_vote_message,
+    message_title,
     message_value,
+    message_vote,
     row_key,
-    strip,
-    whole_number,
 )
 from marquee.schemas import VOTE_LOG_COLUMNS
 
@@ -23,19 +23,16 @@ def classify_messages(messages: DataFrame, strict: bool = False) -> DataFrame:
 
     A message is accepted if it has two parts and the second is a whole number.
     The id may be empty and the number out of range; ``strict`` also asks for
-    what a producer checks. ``accepted`` is never NULL.
+    what a producer checks. ``accepted`` is never NULL; the other two columns
+    mean nothing where it is false.
     """
-    parts = message_parts(F.col("value"))
-    vote = whole_number(strip(F.get(parts, F.lit(1))))
-    tconst = strip(F.get(parts, F.lit(0)))
-    accepted = (F.size(parts) == 2) & vote.isNotNull()
+    value = F.col("value").cast("string")
+    tconst, vote = message_title(value), message_vote(value)
+    accepted = is_vote_message(value)
     if strict:
         accepted = accepted & is_star_vote(tconst, vote)
     return messages.select(
-        "*",
-        tconst.alias("tconst"),
-        vote.alias("vote"),
-        F.coalesce(accepted, F.lit(False)).alias("accepted"),
+        "*", tconst.alias("tconst"), vote.alias("vote"), accepted.alias("accepted")
     )
 
 

@@ -26,8 +26,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _id(prefix: str, key: Column) -> Column:
     """Prefix and key, zero-padded to seven digits and never cut."""
     digits = key.cast("string")
-    width = F.greatest(F.lit(7), F.length(digits))
-    return F.concat(F.lit(prefix), F.call_function("lpad", digits, width, F.lit("0")))
+    padded = F.when(key < 10_000_000, F.lpad(digits, 7, "0")).otherwise(digits)
+    return F.concat(F.lit(prefix), padded)
 
 
 def _no_text() -> Column:

@@ -109,13 +109,17 @@ VIEWS = {
         from (select tconst, averageRating, unnest(string_split(directors, ',')) as director
               from movie_crew_ratings)
         join name_basics on director = nconst""",
-    "weighted_scores": f"""
-        select primaryName,
-               round(avg(cast(averageRating as double)), {DIGITS}) as averageRating,
-               count(tconst) as movieCount,
-               round(avg(cast(averageRating as double)) * ln(count(tconst) + 1), {DIGITS})
-                   as weightedScore
+    # Ratings have one decimal. Their sum as DECIMAL is exact; as DOUBLE it would
+    # change with the order of the rows, and with it the rounding of exact halves.
+    "director_means": """
+        select primaryName, count(tconst) as movieCount,
+               cast(sum(cast(averageRating as decimal(18, 1))) as double) / count(averageRating)
+                   as mean
         from director_titles group by primaryName""",
+    "weighted_scores": f"""
+        select primaryName, round(mean, {DIGITS}) as averageRating, movieCount,
+               round(mean * ln(movieCount + 1), {DIGITS}) as weightedScore
+        from director_means""",
     "top_directors": """
         select * from weighted_scores order by weightedScore desc, primaryName limit 25""",
     "merged": """

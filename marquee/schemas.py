@@ -2,49 +2,69 @@
 
 from __future__ import annotations
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+
+def _schema(columns: str, **types: DataType) -> StructType:
+    """Nullable columns in the given order: text, unless a type is named."""
+    return StructType(
+        [StructField(name, types.get(name, StringType())) for name in columns.split()]
+    )
+
 
 # The column lists of the seven catalogue dumps, as text tables.
 RAW_SCHEMAS: dict[str, StructType] = {
-    name: StructType.fromDDL(ddl)
-    for name, ddl in {
-        "name_basics": (
-            "nconst STRING, primaryName STRING, birthYear STRING, deathYear STRING, "
-            "primaryProfession STRING, knownForTitles STRING"
-        ),
-        "title_akas": (
-            "titleId STRING, ordering INT, title STRING, region STRING, language STRING, "
-            "types STRING, attributes STRING, isOriginalTitle STRING"
-        ),
-        "title_basics": (
-            "tconst STRING, titleType STRING, primaryTitle STRING, originalTitle STRING, "
-            "isAdult STRING, startYear STRING, endYear STRING, runtimeMinutes STRING, "
-            "genres STRING"
-        ),
-        "title_crew": "tconst STRING, directors STRING, writers STRING",
-        "title_episode": (
-            "tconst STRING, parentTconst STRING, seasonNumber INT, episodeNumber INT"
-        ),
-        "title_principals": (
-            "tconst STRING, ordering INT, nconst STRING, category STRING, job STRING, "
-            "characters STRING"
-        ),
-        "title_ratings": "tconst STRING, averageRating STRING, numVotes INT",
-    }.items()
+    "name_basics": _schema(
+        "nconst primaryName birthYear deathYear primaryProfession knownForTitles"
+    ),
+    "title_akas": _schema(
+        "titleId ordering title region language types attributes isOriginalTitle",
+        ordering=IntegerType(),
+    ),
+    "title_basics": _schema(
+        "tconst titleType primaryTitle originalTitle isAdult startYear endYear "
+        "runtimeMinutes genres"
+    ),
+    "title_crew": _schema("tconst directors writers"),
+    "title_episode": _schema(
+        "tconst parentTconst seasonNumber episodeNumber",
+        seasonNumber=IntegerType(),
+        episodeNumber=IntegerType(),
+    ),
+    "title_principals": _schema(
+        "tconst ordering nconst category job characters", ordering=IntegerType()
+    ),
+    "title_ratings": _schema("tconst averageRating numVotes", numVotes=IntegerType()),
 }
 
 # Titles after the cast, with the partition column last.
-PARTITIONED_TITLES = StructType.fromDDL(
-    "tconst STRING, titleType STRING, primaryTitle STRING, originalTitle STRING, "
-    "isAdult INT, endYear STRING, runtimeMinutes STRING, genres STRING, startYear INT"
+PARTITIONED_TITLES = _schema(
+    "tconst titleType primaryTitle originalTitle isAdult endYear runtimeMinutes genres startYear",
+    isAdult=IntegerType(),
+    startYear=IntegerType(),
 )
 
 # Ratings after votes were folded in: typed, unlike the dump.
-FOLDED_RATINGS = StructType.fromDDL("tconst STRING, averageRating DOUBLE, numVotes BIGINT")
+FOLDED_RATINGS = _schema(
+    "tconst averageRating numVotes", averageRating=DoubleType(), numVotes=LongType()
+)
 
 # One line per message, accepted or not; see streaming.votes.
-MESSAGE_LOG = StructType.fromDDL(
-    "msg_offset BIGINT, ts_ms BIGINT, tconst STRING, vote INT, value STRING, accepted BOOLEAN"
+MESSAGE_LOG = _schema(
+    "msg_offset ts_ms tconst vote value accepted",
+    msg_offset=LongType(),
+    ts_ms=LongType(),
+    vote=IntegerType(),
+    accepted=BooleanType(),
 )
 
 VOTE_LOG_COLUMNS = ("msg_offset", "tconst", "ts_ms", "vote")

@@ -39,12 +39,13 @@ def start_message_log(
     ``read_vote_log`` and ``read_quarantine``. The file sink commits a batch
     as a whole, so a restart neither loses nor repeats a message.
     """
+    accepted = F.col("accepted")
     rows = classify_messages(messages).select(
         "msg_offset",
         F.unix_millis("ts").alias("ts_ms"),
-        "tconst",
-        "vote",
-        F.when(~F.col("accepted"), F.col("value")).alias("value"),
+        F.when(accepted, F.col("tconst")).alias("tconst"),
+        F.when(accepted, F.col("vote")).alias("vote"),
+        F.when(~accepted, F.col("value")).alias("value"),
         "accepted",
     )
     assert rows.columns == MESSAGE_LOG.names
