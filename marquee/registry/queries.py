@@ -17,7 +17,12 @@ from marquee.sinks.tables import write_copy, write_folded_ratings, write_raw, wr
 from marquee.sinks.votes import write_vote_store
 from marquee.sources.dumps import read_dump
 from marquee.sources.tables import load_folded_ratings, load_raw, load_table, load_titles
-from marquee.sources.votes import latest_by_title, read_quarantine, read_vote_log
+from marquee.sources.votes import (
+    latest_by_title,
+    read_quarantine,
+    read_vote_log,
+    read_vote_store,
+)
 from marquee.streaming import votes as vote_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,7 +199,7 @@ def _vote_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the votes in key order and read the range of one key."""
     store = scratch_dir(spark, "vote-store")
     write_vote_store(_votes(spark, sf_dir), store)
-    return votes.range_scan(spark.read.schema("tconst STRING, ts_ms BIGINT, vote INT").parquet(store), TITLE_ID)
+    return votes.range_scan(read_vote_store(spark, store), TITLE_ID)
 
 
 def _recent_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -289,11 +294,11 @@ def _vote_stream_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     vote_streams.start_live_ratings(
         adapters.message_stream(spark, sf_dir),
         adapters.ratings(spark, sf_dir),
-        f"{folder}/rows",
+        folder,
         f"{folder}/checkpoint",
         once=True,
     ).awaitTermination()
-    return _rounded(latest_by_title(spark, f"{folder}/rows", vote_streams.MERGED_SCHEMA))
+    return _rounded(latest_by_title(spark, f"{folder}/ratings", vote_streams.MERGED_SCHEMA))
 
 
 def _vote_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:

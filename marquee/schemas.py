@@ -67,7 +67,10 @@ MESSAGE_LOG = _schema(
     accepted=BooleanType(),
 )
 
-VOTE_LOG_COLUMNS = ("msg_offset", "tconst", "ts_ms", "vote")
+VOTE_STORE = _schema(
+    "msg_offset tconst ts_ms vote", msg_offset=LongType(), ts_ms=LongType(), vote=IntegerType()
+)
+VOTE_LOG_COLUMNS = tuple(VOTE_STORE.names)
 
 # Tables stored as a plain Parquet copy; title_basics is partitioned instead.
 COPIED_TABLES = (

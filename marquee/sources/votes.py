@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.schemas import MESSAGE_LOG, VOTE_LOG_COLUMNS
+from marquee.schemas import MESSAGE_LOG, VOTE_LOG_COLUMNS, VOTE_STORE
 
 
 def read_message_log(spark: SparkSession, path: str) -> DataFrame:
@@ -17,6 +17,11 @@ def read_vote_log(spark: SparkSession, path: str) -> DataFrame:
     return read_message_log(spark, path).where("accepted").select(*VOTE_LOG_COLUMNS)
 
 
+def read_vote_store(spark: SparkSession, path: str) -> DataFrame:
+    """Votes as ``write_vote_store`` left them."""
+    return spark.read.schema(VOTE_STORE).parquet(path)
+
+
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     """Rejected messages with their original text."""
     return (

@@ -8,8 +8,6 @@ the caller names; on a cluster they must be shared storage.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -53,13 +51,13 @@ def start_message_log(
     return _triggered(writer, checkpoint, once, every).start()
 
 
-def _per_batch(path: str, shape: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """A batch writer with a folder per batch; doing a batch again replaces it."""
+def batch_folder(path: str, batch_id: int) -> str:
+    """Where a batch's rows go. Doing a batch again replaces the folder."""
+    return f"{path}/batch_id={batch_id}"
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        shape(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return write
+def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    rows.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
 
 def start_totals(
@@ -71,10 +69,12 @@ def start_totals(
     ones with ``latest_by_title(spark, path, TOTALS_SCHEMA)``. The state holds
     two numbers per voted title.
     """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(batch, path, batch_id)
+
     totals = vote_totals(parse_votes(messages))
-    writer = totals.writeStream.outputMode("update").foreachBatch(
-        _per_batch(path, lambda batch: batch)
-    )
+    writer = totals.writeStream.outputMode("update").foreachBatch(write)
     return _triggered(writer, checkpoint, once, every).start()
 
 
@@ -88,12 +88,21 @@ def start_live_ratings(
 ) -> StreamingQuery:
     """Running totals merged with the batch rating of the titles that changed.
 
-    Read with ``latest_by_title(spark, path, MERGED_SCHEMA)``.
+    Read with ``latest_by_title(spark, f"{path}/ratings", MERGED_SCHEMA)``, and
+    the totals as in ``start_totals`` under ``{path}/totals``. A batch's totals
+    are joined from their files, whose size is known: Spark broadcasts them
+    past the ratings while they are small, and shuffles both when they are not.
     """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(batch, f"{path}/totals", batch_id)
+        changed = batch.sparkSession.read.schema(TOTALS_SCHEMA).parquet(
+            batch_folder(f"{path}/totals", batch_id)
+        )
+        _write_batch(merge_voted(ratings, changed), f"{path}/ratings", batch_id)
+
     totals = vote_totals(parse_votes(messages))
-    writer = totals.writeStream.outputMode("update").foreachBatch(
-        _per_batch(path, lambda batch: merge_voted(ratings, batch))
-    )
+    writer = totals.writeStream.outputMode("update").foreachBatch(write)
     return _triggered(writer, checkpoint, once, every).start()
 
 

@@ -77,7 +77,7 @@ def test_live_ratings_equal_batch_merge(spark, small, stream, batch, tmp_path):
     path = str(tmp_path / "live")
     ratings = adapters.ratings(spark, small)
     finish(streams.start_live_ratings(stream, ratings, path, str(tmp_path / "cp"), once=True))
-    live = latest_by_title(spark, path, streams.MERGED_SCHEMA)
+    live = latest_by_title(spark, f"{path}/ratings", streams.MERGED_SCHEMA)
     expected = rating_ops.merge_voted(ratings, vote_totals(vote_log(batch)))
     assert rows(live) == rows(expected)
 
@@ -97,8 +97,20 @@ def test_folding_batch_by_batch_equals_folding_at_once(spark, small, stream, bat
 
 
 def test_writing_a_batch_again_replaces_it(spark, tmp_path):
-    write = streams._per_batch(str(tmp_path / "rows"), lambda rows: rows)
     for total in (3, 4):
-        write(spark.createDataFrame([("tt1", total, 9)], "tconst string, dn bigint, ds bigint"), 0)
-    totals = latest_by_title(spark, str(tmp_path / "rows"), streams.TOTALS_SCHEMA)
-    assert rows(totals) == [("tt1", 4, 9)]
+        rows_of_batch = spark.createDataFrame([("tt1", total, 9)], streams.TOTALS_SCHEMA)
+        streams._write_batch(rows_of_batch, str(tmp_path), 0)
+    assert rows(latest_by_title(spark, str(tmp_path), streams.TOTALS_SCHEMA)) == [("tt1", 4, 9)]
+
+
+def test_small_batches_are_broadcast_past_the_ratings(spark, small, tmp_path):
+    """Chosen by Spark from the size of the batch's files."""
+    streams._write_batch(
+        spark.createDataFrame([("tt0000012", 1, 5)], streams.TOTALS_SCHEMA), str(tmp_path), 0
+    )
+    changed = spark.read.schema(streams.TOTALS_SCHEMA).parquet(
+        streams.batch_folder(str(tmp_path), 0)
+    )
+    merged = rating_ops.merge_voted(adapters.ratings(spark, small), changed)
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning(tconst" not in text

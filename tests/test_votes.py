@@ -9,6 +9,7 @@ from marquee.functions.votes import key_millis, key_title, row_key
 from marquee.operators import votes
 from marquee.sinks.votes import write_vote_store
 from marquee.sources.messages import topic_messages
+from marquee.sources.votes import read_vote_store
 
 MESSAGES = [
     ('"tt0000001_5"', "tt0000001", 5),
@@ -148,8 +149,8 @@ def test_range_scan_equals_its_definition(log, tconst):
 
 def test_store_is_sorted_and_whole(spark, log, tmp_path):
     write_vote_store(log, str(tmp_path / "store"))
-    stored = spark.read.parquet(str(tmp_path / "store"))
-    assert sorted(rows(stored.select(*log.columns))) == sorted(rows(log))
+    stored = read_vote_store(spark, str(tmp_path / "store"))
+    assert stored.columns == log.columns and sorted(rows(stored)) == sorted(rows(log))
 
 
 def test_a_hot_title_spreads_over_the_store(spark, tmp_path):
