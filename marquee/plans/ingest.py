@@ -7,10 +7,17 @@ from collections.abc import Iterable
 
 from pyspark.sql import SparkSession
 
-from marquee.schemas import COPIED_TABLES, RAW_SCHEMAS, dump_of_table, table_of_dump
-from marquee.sinks.tables import write_copy, write_raw, write_titles
+from marquee.schemas import (
+    COPIED_TABLES,
+    KEYED_TABLES,
+    RAW_SCHEMAS,
+    bucketed_name,
+    dump_of_table,
+    table_of_dump,
+)
+from marquee.sinks.tables import save_bucketed, write_copy, write_raw, write_titles
 from marquee.sources.dumps import read_dump
-from marquee.sources.tables import load_raw
+from marquee.sources.tables import load_raw, load_table, load_titles
 
 log = logging.getLogger(__name__)
 
@@ -40,6 +47,21 @@ def partition_titles(spark: SparkSession, warehouse: str) -> None:
     write_titles(load_raw(spark, warehouse, "title_basics"), warehouse)
 
 
+def bucket_table(
+    spark: SparkSession, warehouse: str, table: str, buckets: int, name: str | None = None
+) -> None:
+    """Bucketed catalog table of a converted table, for joins without shuffles."""
+    if table not in KEYED_TABLES:
+        raise KeyError(f"not one row per key: {table}")
+    rows = (
+        load_titles(spark, warehouse)
+        if table == "title_basics"
+        else load_table(spark, warehouse, table)
+    )
+    path = f"{warehouse}/{bucketed_name(table)}"
+    save_bucketed(rows, name or bucketed_name(table), path, buckets)
+
+
 def refresh(
     spark: SparkSession, landing: str, warehouse: str, dumps: Iterable[str] | None = None
 ) -> None:

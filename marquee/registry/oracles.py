@@ -230,6 +230,8 @@ SELECTS = {
         from title_crew where directors is not null""",
     "crew_ratings": "select * from crew_ratings",
     "movie_crew_ratings": "select * from movie_crew_ratings",
+    "bucketed_movie_crew_ratings": "select * from movie_crew_ratings",
+    "bucketed_rating_by_id": f"select * from title_ratings where tconst = '{TITLE_ID}' limit 1",
     "director_titles": "select * from director_titles",
     "director_avg": "select primaryName, averageRating, movieCount from weighted_scores",
     "weighted_scores": "select * from weighted_scores",
@@ -276,6 +278,7 @@ SELECTS = {
         select msg_offset, epoch_us(ts) // 1000 as ts_ms, value from vote_messages
         where msg_offset not in (select msg_offset from votes_parsed)""",
     "vote_stream_totals": "select * from vote_totals",
+    "vote_stream_state_totals": "select * from vote_totals",
     "vote_stream_merged": _rounded_merge("dn is not null"),
     "vote_stream_fold": FOLD,
     "genre_list": "select distinct genre from genre_by_decade",

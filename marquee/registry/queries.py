@@ -22,6 +22,7 @@ from marquee.sources.votes import (
     read_quarantine,
     read_vote_log,
     read_vote_store,
+    totals_in_state,
 )
 from marquee.streaming import votes as vote_streams
 
@@ -31,6 +32,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 TITLE_ID = "tt0000012"
 GENRE = "ring"
 DIGITS = 6
+# Of the bucketed tables here. A bucket of a large table should hold about 1 GB.
+BUCKETS = 16
 
 
 # Scans and sinks --------------------------------------------------------
@@ -157,6 +160,33 @@ def _movie_crew_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.movie_crew_ratings(*_film_tables(spark, sf_dir))
 
 
+def _bucketed(spark: SparkSession, sf_dir: str, *tables: str) -> list[DataFrame]:
+    """Bucketed catalog tables; the names go, the frames and files stay."""
+    warehouse = scratch_dir(spark, "bucketed")
+    frames = []
+    for table in tables:
+        raw = adapters.raw_table(spark, sf_dir, table)
+        if table == "title_basics":
+            write_titles(raw, warehouse)
+        else:
+            write_copy(raw, warehouse, table)
+        name = f"{table}_{warehouse[-32:]}"
+        ingest.bucket_table(spark, warehouse, table, BUCKETS, name)
+        frames.append(spark.table(name))
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return frames
+
+
+def _bucketed_movie_crew_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return catalogue.movie_crew_ratings(
+        *_bucketed(spark, sf_dir, "title_crew", "title_ratings", "title_basics")
+    )
+
+
+def _bucketed_rating_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ratings.rating_by_id(*_bucketed(spark, sf_dir, "title_ratings"), TITLE_ID)
+
+
 def _director_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return catalogue.director_titles(*_film_tables(spark, sf_dir), adapters.names(spark, sf_dir))
 
@@ -289,6 +319,14 @@ def _vote_stream_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return latest_by_title(spark, f"{folder}/rows", vote_streams.TOTALS_SCHEMA)
 
 
+def _vote_stream_state_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "state-totals")
+    vote_streams.start_totals(
+        adapters.message_stream(spark, sf_dir), f"{folder}/rows", f"{folder}/checkpoint", once=True
+    ).awaitTermination()
+    return totals_in_state(spark, f"{folder}/checkpoint")
+
+
 def _vote_stream_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "live-ratings")
     vote_streams.start_live_ratings(
@@ -376,6 +414,8 @@ QUERIES: dict[str, Query] = {
     "director_explode": _director_explode,
     "crew_ratings": _crew_ratings,
     "movie_crew_ratings": _movie_crew_ratings,
+    "bucketed_movie_crew_ratings": _bucketed_movie_crew_ratings,
+    "bucketed_rating_by_id": _bucketed_rating_by_id,
     "director_titles": _director_titles,
     "director_avg": _director_avg,
     "weighted_scores": _scores,
@@ -397,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "vote_stream_parsed": _vote_stream_parsed,
     "vote_stream_rejected": _vote_stream_rejected,
     "vote_stream_totals": _vote_stream_totals,
+    "vote_stream_state_totals": _vote_stream_state_totals,
     "vote_stream_merged": _vote_stream_merged,
     "vote_stream_fold": _vote_stream_fold,
     "genre_list": _genre_list,

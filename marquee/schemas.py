@@ -81,6 +81,8 @@ COPIED_TABLES = (
     "title_principals",
     "title_ratings",
 )
+# Tables with one row per key, the only ones worth bucketing by it.
+KEYED_TABLES = ("name_basics", "title_basics", "title_crew", "title_episode", "title_ratings")
 PARTITIONED_TABLE = "movies_partitioned_by_startyear"
 DUMP_SUFFIX = ".tsv.gz"
 
@@ -101,3 +103,7 @@ def raw_name(table: str) -> str:
 
 def parquet_name(table: str) -> str:
     return f"{table}_parquet"
+
+
+def bucketed_name(table: str) -> str:
+    return f"{table}_bucketed"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 
@@ -12,13 +13,27 @@ ROCKSDB_PROVIDER = (
 )
 
 
-def build_session(app_name: str = "marquee", master: str | None = None, **conf: str) -> SparkSession:
+# What a task should get out of a shuffle, with room to sort it in memory.
+SHUFFLE_BYTES_PER_TASK = 128 * 2**20
+
+
+def build_session(
+    app_name: str = "marquee",
+    master: str | None = None,
+    largest_shuffle_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
     """A session with the settings the jobs here rely on.
 
     Adaptive execution does the sizing: it coalesces small shuffle partitions,
     splits skewed ones, and turns a join into a broadcast only when the
     measured size of a side is below the threshold. No code in the package
     forces a broadcast.
+
+    Adaptive execution can merge shuffle partitions but starts from a fixed
+    number of them. For large tables give ``largest_shuffle_bytes``, the most
+    that one join or sort is expected to move (compressed), to have enough.
+    Streams are not affected; their state keeps ``spark.sql.shuffle.partitions``.
     """
     settings = {
         "spark.sql.session.timeZone": "UTC",
@@ -34,6 +49,11 @@ def build_session(app_name: str = "marquee", master: str | None = None, **conf:
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
         **conf,
     }
+    if largest_shuffle_bytes is not None:
+        partitions = max(200, math.ceil(largest_shuffle_bytes / SHUFFLE_BYTES_PER_TASK))
+        settings.setdefault(
+            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(partitions)
+        )
     builder = SparkSession.builder.appName(app_name)
     if master is not None:
         builder = builder.master(master)

@@ -55,6 +55,25 @@ def write_titles(raw_titles: DataFrame, warehouse: str) -> None:
     )
 
 
+def save_bucketed(rows: DataFrame, name: str, path: str, buckets: int) -> None:
+    """Catalog table at ``path``, bucketed and sorted by its first column.
+
+    Tables with the same number of buckets join on that column without a
+    shuffle, and a lookup by it reads one bucket. Only for tables of which the
+    column is the key: a bucket cannot be split.
+    """
+    key = rows.columns[0]
+    (
+        rows.repartition(buckets, key)
+        .write.mode("overwrite")
+        .format("parquet")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(name)
+    )
+
+
 def write_folded_ratings(ratings: DataFrame, root: str, version: int) -> None:
     """Store a new version of the ratings next to the ones it was made from."""
     (

@@ -29,6 +29,17 @@ def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def totals_in_state(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """The present totals of a totals stream, from its own state.
+
+    One row per voted title, however many batches there were.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    return state.select(
+        "key.tconst", F.col("value.count").alias("dn"), F.col("value.sum").alias("ds")
+    )
+
+
 def latest_by_title(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Rows written per micro-batch, reduced to the newest one of each title.
 

@@ -10,9 +10,11 @@ from marquee.operators import ratings as rating_ops
 from marquee.operators.catalogue import director_titles
 from marquee.plans.analytics import genre_by_decade, top_directors, votes_by_title_type
 from marquee.registry import adapters
-from marquee.schemas import COPIED_TABLES
+from marquee.plans.ingest import bucket_table
+from marquee.schemas import COPIED_TABLES, MESSAGE_LOG
 from marquee.sinks.tables import write_copy, write_titles
 from marquee.sources.tables import load_table, load_titles
+from marquee.sources.votes import read_vote_log
 
 
 def plan(frame):
@@ -56,6 +58,32 @@ def test_report_reads_two_columns_and_prunes_partitions(spark, warehouse):
     assert re.search(r"PartitionFilters: \[isnotnull\(startYear#\d+\)\]", text)
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, small, no_broadcast):
+    text = plan(registered.queries()["bucketed_movie_crew_ratings"](spark, small))
+    assert text.count("SortMergeJoin") == 2 and "Exchange" not in text
+
+
+def test_a_lookup_reads_one_bucket(spark, warehouse):
+    bucket_table(spark, warehouse, "title_ratings", 16, "ratings_in_buckets")
+    rows = spark.table("ratings_in_buckets")
+
+    def tasks(frame):
+        return frame._jdf.queryExecution().toRdd().getNumPartitions()
+
+    assert tasks(rows) > 1
+    assert tasks(rows.where("tconst = 'tt0000012'")) == 1
+    assert rows.where("tconst = 'tt0000012'").count() == 1
+    spark.sql("DROP TABLE ratings_in_buckets")
+
+
+def test_rejected_messages_are_in_a_folder_of_their_own(spark, tmp_path):
+    rows = spark.createDataFrame([(1, 5, "tt1", 5, None, True), (2, 6, None, None, "x", False)], MESSAGE_LOG)
+    rows.write.partitionBy("accepted").parquet(str(tmp_path / "log"))
+    votes = read_vote_log(spark, str(tmp_path / "log"))
+    assert [tuple(row) for row in votes.collect()] == [(1, "tt1", 5, 5)]
+    assert re.search(r"PartitionFilters: \[[^]]*accepted#\d+", plan(votes))
+
+
 def test_titles_and_ratings_meet_in_one_shuffle_each(spark, warehouse, no_broadcast):
     titles, ratings = load_titles(spark, warehouse), load_table(spark, warehouse, "title_ratings")
     text = plan(votes_by_title_type(titles, ratings))
@@ -99,3 +127,8 @@ def test_hot_directors_are_split_by_adaptive_execution(spark, warehouse, no_broa
     finally:
         for key in settings:
             spark.conf.unset(key)
+
+
+def test_tables_with_several_rows_per_key_are_not_bucketed(spark, warehouse):
+    with pytest.raises(KeyError):
+        bucket_table(spark, warehouse, "title_principals", 4)

@@ -8,7 +8,12 @@ from marquee.operators.votes import rejected_messages, vote_log, vote_totals
 from marquee.registry import adapters
 from marquee.sources.messages import file_messages
 from marquee.sources.tables import load_folded_ratings
-from marquee.sources.votes import latest_by_title, read_quarantine, read_vote_log
+from marquee.sources.votes import (
+    latest_by_title,
+    read_quarantine,
+    read_vote_log,
+    totals_in_state,
+)
 from marquee.streaming import votes as streams
 
 
@@ -69,6 +74,7 @@ def test_running_totals_equal_batch_totals(spark, stream, batch, tmp_path):
     finish(streams.start_totals(stream, path, str(tmp_path / "checkpoint"), once=True))
     totals = latest_by_title(spark, path, streams.TOTALS_SCHEMA)
     assert rows(totals) == rows(vote_totals(vote_log(batch)))
+    assert rows(totals_in_state(spark, str(tmp_path / "checkpoint"))) == rows(totals)
     # Titles voted on in several batches were written more than once.
     assert spark.read.parquet(path).count() > totals.count()
 
