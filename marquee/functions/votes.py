@@ -12,6 +12,7 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 MIN_STARS, MAX_STARS = 1, 5
+VOTE_CELL = "cf:vote"
 
 # Any character, text without "_", one "_", a padded whole number, any character.
 VOTE_MESSAGE = rf"(?s)^.[^_]*_[{WHITESPACE}]*[+-]?[0-9]+[{WHITESPACE}]*.$"

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.functions.votes import (
+    VOTE_CELL,
     is_star_vote,
     is_vote_message,
     message_title,
@@ -61,6 +62,14 @@ def in_key_order(votes: DataFrame) -> DataFrame:
     return votes.orderBy(row_key(F.col("tconst"), F.col("ts_ms")), "msg_offset")
 
 
+def vote_records(votes: DataFrame) -> DataFrame:
+    """Votes as the records of a key-value store: ``row_key`` and a map of cells."""
+    return votes.select(
+        row_key(F.col("tconst"), F.col("ts_ms")).alias("row_key"),
+        F.create_map(F.lit(VOTE_CELL), F.col("vote").cast("string")).alias("data"),
+    )
+
+
 def latest_votes(votes: DataFrame, written: str = "msg_offset") -> DataFrame:
     """One vote per row key: the last one written, as in a store that overwrites."""
     return votes.groupBy("tconst", "ts_ms").agg(F.max_by("vote", written).alias("vote"))

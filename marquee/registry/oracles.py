@@ -240,6 +240,10 @@ SELECTS = {
         select msg_offset, value from vote_messages
         where msg_offset not in (select msg_offset from votes_parsed)""",
     "vote_log": "select * from votes",
+    "vote_records_json": """
+        select '{"row_key":"' || tconst || '_' || ts_ms || '","data":{"cf:vote":"' || vote
+               || '"}}' as json
+        from votes""",
     "vote_latest": "select * from vote_latest",
     "vote_range_scan": f"""
         select * from (select tconst || '_' || ts_ms as row_key, vote from votes)

@@ -15,7 +15,6 @@ from marquee.schemas import COPIED_TABLES
 from marquee.session import scratch_dir
 from marquee.sinks.tables import write_copy, write_folded_ratings, write_raw, write_titles
 from marquee.sinks.votes import write_vote_store
-from marquee.sources.dumps import read_dump
 from marquee.sources.tables import load_folded_ratings, load_raw, load_table, load_titles
 from marquee.sources.votes import (
     latest_by_title,
@@ -221,6 +220,10 @@ def _vote_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return votes.in_key_order(_votes(spark, sf_dir))
 
 
+def _vote_records_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return json_records(votes.vote_records(_vote_log(spark, sf_dir)))
+
+
 def _vote_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return votes.latest_votes(_votes(spark, sf_dir))
 
@@ -422,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "votes_parsed": _votes_parsed,
     "votes_rejected": _votes_rejected,
     "vote_log": _vote_log,
+    "vote_records_json": _vote_records_json,
     "vote_latest": _vote_latest,
     "vote_range_scan": _vote_range_scan,
     "recent_votes": _recent_votes,

@@ -1,18 +1,27 @@
 """Vote messages, from a topic or from files.
 
-Every reader returns ``msg_offset BIGINT, ts TIMESTAMP, value STRING`` (a topic
-adds ``msg_partition``), so that the same pipeline runs on each of them.
+Every reader returns ``msg_offset BIGINT, ts TIMESTAMP, value STRING``, so that
+the same pipeline runs on each of them.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 VOTE_TOPIC = "movie_vote"
 MESSAGE_SCHEMA = "msg_offset BIGINT, ts TIMESTAMP, value STRING"
 
 
+def topic_position(partition: Column, offset: Column) -> Column:
+    """One number per message of a topic, rising with the offset.
+
+    Offsets repeat from partition to partition; a topic has far fewer than
+    65,536 of these.
+    """
+    return F.shiftleft(offset, 16) + partition
+
+
 def topic_messages(
     spark: SparkSession,
     servers: str,
@@ -37,8 +46,7 @@ def topic_messages(
     if max_per_batch is not None:
         reader = reader.option("maxOffsetsPerTrigger", str(max_per_batch))
     return reader.load().select(
-        F.col("partition").alias("msg_partition"),
-        F.col("offset").alias("msg_offset"),
+        topic_position(F.col("partition"), F.col("offset")).alias("msg_offset"),
         F.col("timestamp").alias("ts"),
         F.col("value").cast("string").alias("value"),
     )

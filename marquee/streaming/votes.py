@@ -23,7 +23,9 @@ TOTALS_SCHEMA = "tconst STRING, dn BIGINT, ds BIGINT"
 MERGED_SCHEMA = "tconst STRING, averageRating DOUBLE, numVotes BIGINT"
 
 
-def _triggered(writer: DataStreamWriter, checkpoint: str, once: bool, every: str) -> DataStreamWriter:
+def _triggered(
+    writer: DataStreamWriter, checkpoint: str, once: bool, every: str
+) -> DataStreamWriter:
     writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
 
@@ -38,15 +40,18 @@ def start_message_log(
     as a whole, so a restart neither loses nor repeats a message.
     """
     accepted = F.col("accepted")
-    rows = classify_messages(messages).select(
-        "msg_offset",
-        F.unix_millis("ts").alias("ts_ms"),
-        F.when(accepted, F.col("tconst")).alias("tconst"),
-        F.when(accepted, F.col("vote")).alias("vote"),
-        F.when(~accepted, F.col("value")).alias("value"),
-        "accepted",
+    rows = (
+        classify_messages(messages)
+        .withColumns(
+            {
+                "ts_ms": F.unix_millis("ts"),
+                "tconst": F.when(accepted, F.col("tconst")),
+                "vote": F.when(accepted, F.col("vote")),
+                "value": F.when(~accepted, F.col("value")),
+            }
+        )
+        .select(*MESSAGE_LOG.names)
     )
-    assert rows.columns == MESSAGE_LOG.names
     writer = rows.writeStream.format("parquet").partitionBy("accepted").option("path", path)
     return _triggered(writer, checkpoint, once, every).start()
 

@@ -189,7 +189,9 @@ def test_directors_are_grouped_by_name_or_id(spark, warehouse):
 def test_unreadable_rating_counts_as_a_movie_without_rating(spark, warehouse):
     tables = [
         load_table(spark, warehouse, "title_crew"),
-        spark.createDataFrame([("tt1", "n/a"), ("tt2", "6.0")], "tconst string, averageRating string"),
+        spark.createDataFrame(
+            [("tt1", "n/a"), ("tt2", "6.0")], "tconst string, averageRating string"
+        ),
         load_titles(spark, warehouse),
         load_table(spark, warehouse, "name_basics"),
     ]

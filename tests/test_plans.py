@@ -77,7 +77,8 @@ def test_a_lookup_reads_one_bucket(spark, warehouse):
 
 
 def test_rejected_messages_are_in_a_folder_of_their_own(spark, tmp_path):
-    rows = spark.createDataFrame([(1, 5, "tt1", 5, None, True), (2, 6, None, None, "x", False)], MESSAGE_LOG)
+    messages = [(1, 5, "tt1", 5, None, True), (2, 6, None, None, "x", False)]
+    rows = spark.createDataFrame(messages, MESSAGE_LOG)
     rows.write.partitionBy("accepted").parquet(str(tmp_path / "log"))
     votes = read_vote_log(spark, str(tmp_path / "log"))
     assert [tuple(row) for row in votes.collect()] == [(1, "tt1", 5, 5)]

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from marquee.functions.votes import key_millis, key_title, row_key
 from marquee.operators import votes
 from marquee.sinks.votes import write_vote_store
-from marquee.sources.messages import topic_messages
+from marquee.sources.messages import topic_messages, topic_position
 from marquee.sources.votes import read_vote_store
 
 MESSAGES = [
@@ -180,6 +180,18 @@ def test_encoded_messages_parse_to_the_same_votes(spark):
     assert rows(odd) == [('"a\\"b\\\\c\\n_5"',)]
 
 
+def test_positions_in_a_topic_are_unique(spark):
+    messages = spark.range(64).select(
+        (F.col("id") % 4).cast("int").alias("partition"), F.floor(F.col("id") / 4).alias("offset")
+    )
+    placed = messages.select("*", topic_position(F.col("partition"), F.col("offset")).alias("at"))
+    assert placed.select("at").distinct().count() == 64
+    for partition in range(4):
+        one = placed.where(F.col("partition") == partition).orderBy("offset")
+        positions = [row["at"] for row in one.collect()]
+        assert positions == sorted(positions)
+
+
 def test_topic_needs_the_connector(spark):
     """The connector is no part of this installation; the options are passed on."""
     with pytest.raises(Exception, match="kafka"):
