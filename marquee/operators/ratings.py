@@ -77,7 +77,7 @@ def _totals_of_pieces(
     pieces = _pieces(F.col(text), F.col("lengths.lo"), F.col("lengths.hi"))
     return (
         totals.withColumn("lengths", lengths)
-        .where(F.length(text) >= F.col("lengths.lo"))
+        .where(F.col("lengths.lo").isNotNull() & (F.length(text) >= F.col("lengths.lo")))
         .select("dn", "ds", text, F.explode(pieces).alias("piece"))
         .where((F.col(text) >= F.col("piece")) & wanted)
         .groupBy("piece")
