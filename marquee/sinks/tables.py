@@ -9,12 +9,8 @@ from marquee.schemas import PARTITIONED_TABLE, PARTITIONED_TITLES, parquet_name,
 
 
 def write_raw(rows: DataFrame, warehouse: str, table: str) -> None:
-    """Full refresh of a raw table.
-
-    The dump arrives in one task, so its rows are dealt out evenly before they
-    are written; adaptive execution picks the number of files by size.
-    """
-    rows.hint("rebalance").write.mode("overwrite").parquet(f"{warehouse}/{raw_name(table)}")
+    """Full refresh of a raw table."""
+    rows.write.mode("overwrite").parquet(f"{warehouse}/{raw_name(table)}")
 
 
 def write_copy(rows: DataFrame, warehouse: str, table: str) -> None:
