@@ -27,7 +27,7 @@ def expected_vote(message):
 def test_random_messages(spark):
     rng = random.Random(7)
     alphabet = '"t_ 0159+-.x\t\n\x1c\x85 　é'
-    messages = ["".join(rng.choices(alphabet, k=rng.randint(0, 9))) for _ in range(3000)]
+    messages = ["".join(rng.choices(alphabet, k=rng.randint(0, 9))) for _ in range(6000)]
     messages += [
         f'"{rng.choice(" t")}{n}{rng.choice(["", " "])}_{rng.choice(["", " ", "+"])}{n}　"'
         for n in [rng.randint(-(2**33), 2**33) for _ in range(500)] + list(range(500))

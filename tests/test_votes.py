@@ -18,10 +18,15 @@ MESSAGES = [
     ('"tt5_-3"', "tt5", -3),
     ('"tt6_+4"', "tt6", 4),
     ('"tt6_007"', "tt6", 7),
+    ('"tt6_-0000000000000000000000000000000000008"', "tt6", -8),
+    ('"tt6_2147483647"', "tt6", 2147483647),
+    ('"tt6_-2147483648"', "tt6", -2147483648),
     ('"_5"', "", 5),
     ("xtt7_5y", "tt7", 5),
     ("_tt8_5_", "tt8", 5),
     ('"a\nb_5"', "a\nb", 5),
+    ('"tt1_51-\n', None, None),
+    ('"tt1_51\n', "tt1", 51),
     ('"tt1_x"', None, None),
     ('"tt1_2_3"', None, None),
     ('"tt9"', None, None),
@@ -34,6 +39,7 @@ MESSAGES = [
     ('"tt1_"', None, None),
     ('"tt1_+"', None, None),
     ('"tt1_\x005"', None, None),
+    ('"tt1_2147483648"', None, None),
     ('"tt1_99999999999"', None, None),
     (None, None, None),
 ]
