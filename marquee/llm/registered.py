@@ -4,15 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import quality, sharding
+from marquee.llm import bpe, quality, sharding, url_filter
 from marquee.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 24
+#: What to do, host, path.
+URL_RULES = [
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+]
 
 
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,9 +40,29 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    judged = url_filter.judge(pages, url_filter.fit(url_filter.LABELLED_URLS), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    tokens = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), *vocabulary)
+    decoded = bpe.decode(tokens.select("doc_id", "ids"), *vocabulary)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
+    "op8_url_filters": op8_url_filters,
     "op9_quality_rules": op9_quality_rules,
+    "op10_byte_level_bpe": op10_byte_level_bpe,
 }
 
 ORACLES: dict[str, str] = {}

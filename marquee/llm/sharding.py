@@ -110,8 +110,7 @@ def communication_matrix(sizes: DataFrame, shard_sizes: list[int], seed: str = "
         .groupBy("level", "node").agg(F.sum("n").alias("n"))
     )
     totals = stored(totals, "shard-tree")
-    spark = sizes.sparkSession
-    level = spark.range(1).select(F.lit(0).alias("node"), F.array(*[F.lit(n).cast("bigint") for n in shard_sizes]).alias("line"))
+    level = totals.where(F.col("level") == 0).select("node", F.array(*[F.lit(n).cast("bigint") for n in shard_sizes]).alias("line"))
     for depth in range(1, levels + 1):
         left = totals.where(F.col("level") == depth).where(F.col("node") % 2 == 0).select((F.col("node") / 2).cast("int").alias("node"), F.col("n").alias("left"))
         halves = level.join(left, "node").withColumn("mine", _line(F.col("line"), F.col("left"), f"{seed}-{depth}", F.col("node")))
