@@ -8,12 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, quality, sharding, url_filter
+from marquee.llm import bpe, jaccard_join, quality, sharding, toxicity, url_filter
 from marquee.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 24
+#: Score from which a text counts as toxic.
+TOXIC_FROM = 0.3
 #: What to do, host, path.
 URL_RULES = [
     ("block", "net", "/"),
@@ -40,6 +42,21 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.learn(toxicity.training_rows(docs, table(spark, sf_dir, "labels")))
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"),
+    )
+
+
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.judge(pages, url_filter.fit(url_filter.LABELLED_URLS), URL_RULES)
@@ -60,6 +77,8 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op2_sharding": op2_sharding,
+    "op3_toxicity": op3_toxicity,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op8_url_filters": op8_url_filters,
     "op9_quality_rules": op9_quality_rules,
     "op10_byte_level_bpe": op10_byte_level_bpe,
