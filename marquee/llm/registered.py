@@ -8,12 +8,19 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, jaccard_join, quality, sharding, toxicity, url_filter
+from marquee.llm import bpe, jaccard_join, licences, mixing, oracles, quality, sharding, toxicity, url_filter
 from marquee.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 SHARDS = 24
+#: Sources by the square root of their tokens, the rest as named.
+MARGINS = [
+    mixing.Margin("source", {}, temper=0.5),
+    mixing.Margin("lang", {"en": 0.5, "de": 0.2, "fr": 0.15, "es": 0.15}),
+    mixing.Margin("topic", {"prose": 0.8, "tabular": 0.03}),
+]
+MIX_RATE, MIX_CYCLES, MIX_SEED = 0.4, 6, "mix"
 #: Score from which a text counts as toxic.
 TOXIC_FROM = 0.3
 #: What to do, host, path.
@@ -25,6 +32,12 @@ URL_RULES = [
 ]
 
 
+def op1_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = mixing.with_topic_and_tokens(table(spark, sf_dir, "documents")).select("doc_id", "source", "lang", "topic", "n_tokens")
+    mixed = mixing.mix(docs, MARGINS, MIX_RATE, MIX_CYCLES, MIX_SEED)
+    return mixed.select("doc_id", "source", "lang", "topic", "n_tokens", F.round("chance", 6).alias("chance"), "sampled")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = table(spark, sf_dir, "documents").select(
@@ -57,6 +70,11 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_licence_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = licences.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return docs.select("doc_id", "sentence_ids", "licence", "licences")
+
+
 def op8_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     judged = url_filter.judge(pages, url_filter.fit(url_filter.LABELLED_URLS), URL_RULES)
@@ -76,12 +94,18 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_mixing_sources": op1_mixing_sources,
     "op2_sharding": op2_sharding,
     "op3_toxicity": op3_toxicity,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
+    "op7_licence_scans": op7_licence_scans,
     "op8_url_filters": op8_url_filters,
     "op9_quality_rules": op9_quality_rules,
     "op10_byte_level_bpe": op10_byte_level_bpe,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_mixing_sources": oracles.mixing_sql(MARGINS, MIX_RATE, MIX_CYCLES, MIX_SEED),
+    "op7_licence_scans": oracles.licences_sql(),
+    "op9_quality_rules": oracles.quality_sql(),
+}
