@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, jaccard_join, licences, mixing, oracles, quality, sharding, toxicity, url_filter
+from marquee.llm import bpe, jaccard_join, licences, lm, mixing, oracles, quality, sharding, toxicity, url_filter
 from marquee.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,12 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = lm.train(docs.where(~F.coalesce(lm.held_out(F.col("doc_id")), F.lit(False))))
+    return lm.score(docs, model).withColumn("held_out", lm.held_out(F.col("doc_id")))
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -97,6 +103,7 @@ QUERIES: dict[str, Query] = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_sharding": op2_sharding,
     "op3_toxicity": op3_toxicity,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_licence_scans": op7_licence_scans,
     "op8_url_filters": op8_url_filters,
