@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import bpe, jaccard_join, licences, lm, mixing, oracles, quality, sharding, toxicity, url_filter
+from marquee.llm import ann, bpe, jaccard_join, licences, lm, mixing, oracles, quality, sharding, toxicity, url_filter
 from marquee.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return ann.nearest(rows, F.col("vec_id") % 100 == 0, k=10)
+
+
 def op5_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = lm.train(docs.where(~F.coalesce(lm.held_out(F.col("doc_id")), F.lit(False))))
@@ -103,6 +108,7 @@ QUERIES: dict[str, Query] = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_sharding": op2_sharding,
     "op3_toxicity": op3_toxicity,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_licence_scans": op7_licence_scans,
