@@ -47,6 +47,11 @@ MEMO = 500_000
 #: Postings of one Arrow batch, about.
 BATCH_ROWS = 200_000
 
+#: How size, position and part are packed; a set may have 2**26 shingles.
+N_SHIFT, POS_SHIFT, MAX_PARTS, PART_SHIFT = 37, 11, 2**11 - 1, 48
+#: Bits of the filter that keeps texts of unwanted documents from being moved.
+FILTER_BITS = 2**24
+
 _HASHES: dict[bytes, int] = {}
 
 
@@ -138,12 +143,13 @@ def _summaries(docs: DataFrame, key: str, text: str, size: int, similarity: tupl
 
 
 def _postings(docs: DataFrame, text: str, common, size: int, similarity: tuple[int, int]) -> DataFrame:
-    """Rows (token, part, parts, sid, n, pos) of the first shingles of each set.
+    """Rows (list, sid, meta) of the first shingles of each set; ``meta`` packs size, position and part.
 
     ``common``: a broadcast of common shingles, sorted, and their counts. Their
-    lists are dealt out into parts. A set that recurs in a task is given once.
+    lists are dealt out into parts from 1; whole ones are part 0. A set that
+    recurs in a task is given once.
     """
-    names = ["token", "part", "parts", "sid", "n", "pos"]
+    names = ["list", "sid", "meta"]
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, counts = common.value
@@ -165,17 +171,17 @@ def _postings(docs: DataFrame, text: str, common, size: int, similarity: tuple[i
                 if len(seen) < MEMO:
                     seen.add(sid)
                 length = prefix_length(n, similarity)
-                parts = np.ones(length, np.int32)
+                part = np.zeros(length, np.int64)
                 if len(frequent):
                     at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
                     often = np.where(frequent[at] == tokens, counts[at], 0)
                     order = np.argsort(often, kind="stable")[:length]
                     tokens = tokens[order]
-                    parts = (1 + often[order] // LIST_ROWS).astype(np.int32)
-                out.append((
-                    tokens[:length].view(np.int64), (sid % parts.astype(np.int64)).astype(np.int32), parts,
-                    np.full(length, sid, np.int64), np.full(length, n, np.int32), np.arange(length, dtype=np.int32),
-                ))
+                    parts = np.minimum(often[order] // LIST_ROWS, MAX_PARTS - 1)
+                    part = np.where(parts > 0, 1 + sid % (1 + parts), 0)
+                lists = tokens[:length].view(np.int64) ^ (part << PART_SHIFT)
+                meta = n << N_SHIFT | np.arange(length, dtype=np.int64) << POS_SHIFT | part
+                out.append((lists, np.full(length, sid, np.int64), meta))
                 rows += length
                 if rows > BATCH_ROWS:
                     yield flushed()
@@ -183,13 +189,28 @@ def _postings(docs: DataFrame, text: str, common, size: int, similarity: tuple[i
         if out:
             yield flushed()
 
-    return docs.select(F.col(text)).mapInArrow(batches, "token bigint, part int, parts int, sid bigint, n int, pos int")
+    return docs.select(F.col(text)).mapInArrow(batches, "list bigint, sid bigint, meta bigint")
+
+
+def _only(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows whose ``doc`` may be wanted: a bit filter of fixed size goes to all executors.
+
+    Rows that pass by chance are left to the join that follows; with very many
+    wanted documents the filter passes all.
+    """
+    bit = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
+    marks = wanted.select(F.shiftright(bit, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int")).alias("mark"))
+    words = marks.groupBy("word").agg(F.bit_or("mark").alias("marks"))  # FILTER_BITS / 64 rows at most
+    rows = texts.withColumn("word", F.shiftright(bit, 6)).join(F.broadcast(words), "word")
+    return rows.where(F.col("marks").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int"))) != 0).select("doc", "text")
 
 
 def _overlaps(pairs: DataFrame, members: DataFrame, docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
     """``pairs`` (x, y) with ``nx``, ``ny`` and ``overlap``, computed from the texts of one document of each set."""
     one = members.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min("doc").alias("doc"))
-    texts = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text"))
+    needs = pairs.select(F.col("x").alias("sid"), "y").unionByName(pairs.select(F.col("y").alias("sid"), "y"))
+    wanted = stored(needs.groupBy("sid").agg(F.collect_set("y").alias("ys")).join(one, "sid"), "jaccard-wanted")
+    texts = _only(docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text")), wanted)
 
     def read(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
@@ -202,14 +223,10 @@ def _overlaps(pairs: DataFrame, members: DataFrame, docs: DataFrame, key: str, t
             part = batch.take(pa.array(keep, pa.int64()))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(sets, pa.binary())], names=["sid", "ys", "tokens"])
 
-    def with_sets(wanted: DataFrame) -> DataFrame:
-        rows = wanted.join(one, "sid").join(texts, "doc").select("sid", "text", "ys")
-        return rows.mapInArrow(read, "sid bigint, ys array<bigint>, tokens binary")
-
-    left = with_sets(pairs.groupBy(F.col("x").alias("sid")).agg(F.collect_set("y").alias("ys")))
-    left = left.select(F.col("sid").alias("x"), F.explode("ys").alias("y"), F.col("tokens").alias("a"))
-    right = with_sets(pairs.select(F.col("y").alias("sid")).distinct().withColumn("ys", F.lit(None).cast("array<bigint>")))
-    right = right.select(F.col("sid").alias("y"), F.col("tokens").alias("b")).dropDuplicates(["y"])
+    rows = wanted.join(texts, "doc").select("sid", "text", "ys")
+    sets = stored(rows.mapInArrow(read, "sid bigint, ys array<bigint>, tokens binary"), "jaccard-tokens")
+    left = sets.select(F.col("sid").alias("x"), F.explode("ys").alias("y"), F.col("tokens").alias("a")).where("x != y")
+    right = sets.where(F.array_contains("ys", F.col("sid"))).select(F.col("sid").alias("y"), F.col("tokens").alias("b")).dropDuplicates(["y"])
 
     def meet(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
@@ -232,29 +249,59 @@ def _size_class(n: Column, similarity: tuple[int, int], shift: float = 0.0) -> C
     return F.floor(F.log(n) / F.log(F.lit(den / num)) + shift).cast("int")
 
 
+def _n() -> Column:
+    return F.shiftright("meta", N_SHIFT)
+
+
+def _lists(postings: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Postings of lists that several sets share, with the leading sets of the list.
+
+    Leading is the smallest id among sets of one size class. Classes come in two
+    kinds with shifted borders, so that no group is cut by both. All of it is
+    done on one exchange by list, in which common lists are cut into parts.
+    """
+    whole = W.partitionBy("list")
+    split = F.col("meta").bitwiseAND(F.lit(2**POS_SHIFT - 1)) > 0
+    seen = postings.withColumn("low", F.min("sid").over(whole)).withColumn("high", F.max("sid").over(whole))
+    live = seen.where((F.col("low") != F.col("high")) | split).select("list", "sid", "meta").distinct()
+    for kind in (0, 1):
+        live = live.withColumn(f"class_{kind}", _size_class(_n(), similarity, kind / 2))
+        live = live.withColumn(f"lead_{kind}", F.min("sid").over(W.partitionBy("list", f"class_{kind}")))
+    return live.select("list", "sid", "meta", "lead_0", "lead_1")
+
+
 def _leading(live: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (x, y): each set and the leading sets that share most of its lists.
+    """Pairs (x, y): each set and the two leading sets, one a kind, that share most of its lists.
 
-    Leading is the smallest id of a list among sets of one size class. Classes
-    come in two kinds with shifted borders, so that no group is cut by both.
+    Leading sets of the parts of a common list are compared among each other.
     """
-    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), _size_class(F.col("n"), similarity, k / 2).alias("class")) for k in (0, 1)])
-    rows = live.select("token", "sid", "n", F.inline(kinds))
-    leaders = rows.groupBy("token", "kind", "class").agg(F.min(F.struct("sid", "n")).alias("lead"))
-    shared = rows.join(leaders, ["token", "kind", "class"]).where(F.col("sid") != F.col("lead.sid"))
-    counted = shared.groupBy("sid", "n", "kind", F.col("lead.sid").alias("y"), F.col("lead.n").alias("ny")).agg(F.count("*").alias("c"))
-    able = counted.where(least_overlap(F.col("n"), F.col("ny"), similarity) <= F.least("n", "ny")).where(20 * F.col("c") >= F.col("n"))
-    best = able.groupBy(F.col("sid").alias("x"), "kind").agg(F.max(F.struct("c", (-F.col("y")).alias("minus"), "y")).alias("best"))
-    return best.select("x", F.col("best.y").alias("y")).distinct()
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), F.col(f"lead_{k}").alias("y")) for k in (0, 1)])
+    rows = live.select("sid", _n().alias("n"), F.inline(kinds)).where("sid != y")
+    counted = rows.groupBy("sid", "kind", "y").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    best = counted.where(20 * F.col("c") >= F.col("n")).groupBy(F.col("sid").alias("x"), "kind").agg(F.max(F.struct("c", "y")).alias("best"))
+    part = F.col("meta").bitwiseAND(F.lit(2**POS_SHIFT - 1))
+    leaders = live.where(part > 0).where("sid = lead_0").select(_token().alias("token"), _size_class(_n(), similarity).alias("class"), F.col("sid").alias("x")).distinct()
+    first = leaders.groupBy("token", "class").agg(F.min("x").alias("y"))
+    across = leaders.join(first, ["token", "class"]).where("x != y").select("x", "y")
+    return best.select("x", F.col("best.y").alias("y")).unionByName(across).distinct()
+
+
+def _token() -> Column:
+    """The shingle of a list, whatever its part."""
+    return F.col("list").bitwiseXOR(F.shiftleft(F.col("meta").bitwiseAND(F.lit(2**POS_SHIFT - 1)), PART_SHIFT))
 
 
 def _left_over(live: DataFrame, labels: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Pairs (x, y, nx, ny) of unconnected sets that could link by sizes, positions and counts."""
-    known = live.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    apart = known.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
+    rows = live.select(_token().alias("token"), "sid", "meta").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
+    rows = rows.withColumn("root", F.coalesce("root", "sid"))
+    apart = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
     num, den = similarity
-    rest = F.col("n") - (F.col("n") - F.ceil(F.lit(num) * F.col("n") / F.lit(den)) + 1)
-    rows = known.join(apart, "token", "left_semi").withColumn("class", _size_class(F.col("n"), similarity)).withColumn("rest", rest)
+    rows = rows.join(apart, "token", "left_semi").select(
+        "token", "sid", "root", _n().cast("int").alias("n"), F.shiftright("meta", POS_SHIFT).bitwiseAND(F.lit(2 ** (N_SHIFT - POS_SHIFT) - 1)).cast("int").alias("pos")
+    )
+    rest = F.ceil(F.lit(num) * F.col("n") / F.lit(den)) - 1
+    rows = rows.withColumn("class", _size_class(F.col("n"), similarity)).withColumn("rest", rest)
     a = rows.select("token", "class", *[F.col(c).alias(f"{c}_x") for c in ("sid", "n", "pos", "root", "rest")])
     b = rows.select("token", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"), *[F.col(c).alias(f"{c}_y") for c in ("sid", "n", "pos", "root", "rest")])
     met = a.join(b, ["token", "class"]).where("root_x != root_y and (n_x < n_y or (n_x = n_y and sid_x < sid_y))")
@@ -290,9 +337,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     often = summaries.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_FROM)
     common = sorted((r["token"] % 2**64, r["n"]) for r in often.orderBy(F.desc("n"), "token").limit(MAX_COMMON).collect())
     shared = docs.sparkSession.sparkContext.broadcast((np.array([t for t, _ in common], np.uint64), np.array([n for _, n in common], np.int64)))
-    lists = W.partitionBy("token", "part")
-    postings = _postings(docs, text, shared, size, similarity).withColumn("low", F.min("sid").over(lists)).withColumn("high", F.max("sid").over(lists))
-    live = postings.where("low != high or parts > 1").select("token", "sid", "n", "pos").distinct()
+    live = _lists(_postings(docs, text, shared, size, similarity), similarity)
     live = stored(live, "jaccard-lists")
     answers = stored(_overlaps(_leading(live, similarity), members, docs, key, text, size), "jaccard-answers")
     links = F.col("overlap") >= least_overlap(F.col("nx"), F.col("ny"), similarity)
