@@ -6,23 +6,37 @@
     compact LOG STORE                    message log → votes in key order
     live SERVERS WAREHOUSE OUT CHECKPOINT    topic → ratings of the titles that change
     fold SERVERS WAREHOUSE ROOT CHECKPOINT   topic → versions of the ratings table
+    totals SERVERS OUT CHECKPOINT        topic → running totals
+    rating TITLE WAREHOUSE STORE OUT     rating of a title with its stored votes, as JSON
+    votes TITLE STORE OUT                votes of a title in a vote store, as JSON lines
+
+``--shuffle-bytes N`` before the job's name says how much its largest shuffle is
+expected to move; ``--strict`` makes the streams take plain title ids only.
 """
 
 from __future__ import annotations
 
 import sys
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from marquee.functions.display import json_records
+from marquee.operators.ratings import merged_rating_by_id
+from marquee.operators.votes import range_scan, vote_records
 from marquee.plans import analytics
 from marquee.plans.ingest import refresh
 from marquee.session import build_session
 from marquee.sinks.votes import write_vote_store
 from marquee.sources.messages import topic_messages
 from marquee.sources.tables import load_table, load_titles
-from marquee.sources.votes import read_vote_log
-from marquee.streaming.votes import start_folding, start_live_ratings, start_message_log
+from marquee.sources.votes import read_vote_log, read_vote_store
+from marquee.streaming.votes import (
+    start_folding,
+    start_live_ratings,
+    start_message_log,
+    start_totals,
+)
 
 
 def report(spark: SparkSession, name: str, warehouse: str) -> DataFrame:
@@ -48,24 +62,46 @@ def run_report(spark: SparkSession, name: str, warehouse: str, out: str) -> None
     json_records(report(spark, name, warehouse)).write.mode("overwrite").text(out)
 
 
-def run_log(spark: SparkSession, servers: str, log: str, checkpoint: str) -> None:
-    start_message_log(topic_messages(spark, servers), log, checkpoint).awaitTermination()
+def run_log(spark: SparkSession, servers: str, log: str, checkpoint: str, strict: bool = False) -> None:
+    messages = topic_messages(spark, servers)
+    start_message_log(messages, log, checkpoint, strict=strict).awaitTermination()
 
 
 def run_compact(spark: SparkSession, log: str, store: str) -> None:
     write_vote_store(read_vote_log(spark, log), store)
 
 
-def run_live(spark: SparkSession, servers: str, warehouse: str, out: str, checkpoint: str) -> None:
-    ratings = load_table(spark, warehouse, "title_ratings")
-    start_live_ratings(
-        topic_messages(spark, servers), ratings, out, checkpoint
-    ).awaitTermination()
+def run_live(
+    spark: SparkSession, servers: str, warehouse: str, out: str, checkpoint: str, strict: bool = False
+) -> None:
+    messages = topic_messages(spark, servers)
+    ratings = partial(load_table, spark, warehouse, "title_ratings")
+    start_live_ratings(messages, ratings, out, checkpoint, strict=strict).awaitTermination()
+
+
+def run_fold(
+    spark: SparkSession, servers: str, warehouse: str, root: str, checkpoint: str, strict: bool = False
+) -> None:
+    messages = topic_messages(spark, servers)
+    ratings = partial(load_table, spark, warehouse, "title_ratings")
+    start_folding(messages, ratings, root, checkpoint, strict=strict).awaitTermination()
 
 
-def run_fold(spark: SparkSession, servers: str, warehouse: str, root: str, checkpoint: str) -> None:
+def run_totals(spark: SparkSession, servers: str, out: str, checkpoint: str, strict: bool = False) -> None:
+    messages = topic_messages(spark, servers)
+    start_totals(messages, out, checkpoint, strict=strict).awaitTermination()
+
+
+def run_rating(spark: SparkSession, title: str, warehouse: str, store: str, out: str) -> None:
+    """Only the store's files that may hold the title's keys are read."""
     ratings = load_table(spark, warehouse, "title_ratings")
-    start_folding(topic_messages(spark, servers), ratings, root, checkpoint).awaitTermination()
+    votes = range_scan(read_vote_store(spark, store), title)
+    json_records(merged_rating_by_id(ratings, votes, title)).write.mode("overwrite").text(out)
+
+
+def run_votes(spark: SparkSession, title: str, store: str, out: str) -> None:
+    records = vote_records(range_scan(read_vote_store(spark, store), title))
+    json_records(records).write.mode("overwrite").text(out)
 
 
 JOBS = {
@@ -75,14 +111,28 @@ JOBS = {
     "compact": run_compact,
     "live": run_live,
     "fold": run_fold,
+    "totals": run_totals,
+    "rating": run_rating,
+    "votes": run_votes,
 }
+STREAMS = {"log", "live", "fold", "totals"}
 
 
 def main(arguments: list[str]) -> None:
-    if not arguments or arguments[0] not in JOBS:
+    shuffle_bytes, strict, rest = None, {}, list(arguments)
+    while rest and rest[0].startswith("--"):
+        option = rest.pop(0)
+        if option == "--shuffle-bytes" and rest:
+            shuffle_bytes = int(rest.pop(0))
+        elif option == "--strict":
+            strict = {"strict": True}
+        else:
+            raise SystemExit(__doc__)
+    if not rest or rest[0] not in JOBS or (strict and rest[0] not in STREAMS):
         raise SystemExit(__doc__)
-    job, *rest = arguments
-    JOBS[job](build_session(f"marquee-{job}"), *rest)
+    job, *rest = rest
+    session = build_session(f"marquee-{job}", largest_shuffle_bytes=shuffle_bytes)
+    JOBS[job](session, *rest, **strict)
 
 
 if __name__ == "__main__":

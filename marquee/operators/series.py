@@ -10,8 +10,12 @@ def genre_list(genre_counts: DataFrame) -> DataFrame:
     return genre_counts.select("genre").distinct()
 
 
+def distinct_decades(genre_counts: DataFrame) -> DataFrame:
+    return genre_counts.select("decade").distinct()
+
+
 def decade_list(genre_counts: DataFrame) -> DataFrame:
-    return genre_counts.select("decade").distinct().orderBy("decade")
+    return distinct_decades(genre_counts).orderBy("decade")
 
 
 def decade_ticks(decades: DataFrame, every: int = 2) -> DataFrame:
@@ -19,9 +23,12 @@ def decade_ticks(decades: DataFrame, every: int = 2) -> DataFrame:
 
     The position is counted in two steps, inside blocks of 10,000 decades and
     over the blocks. Years are INT, so there are at most 43,000 blocks: neither
-    step gives one task more than that.
+    step gives one task more than that. Both steps read ``decades``; without an
+    order of their own they share its last exchange, and it is computed once.
     """
     block = F.floor(F.col("decade") / 100_000).alias("block")
+    # Both sides of the join ask for this; said here, it leaves one frame for both.
+    decades = decades.where(F.floor(F.col("decade") / 100_000).isNotNull())
     blocks = decades.groupBy(block).agg(F.count("*").alias("size"))
     earlier = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.select(

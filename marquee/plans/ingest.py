@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Iterable
+import math
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
 
 from marquee.schemas import (
     COPIED_TABLES,
     KEYED_TABLES,
+    PARTITIONED_TABLE,
     RAW_SCHEMAS,
     bucketed_name,
     dump_of_table,
+    parquet_name,
     table_of_dump,
 )
 from marquee.sinks.tables import save_bucketed, write_copy, write_raw, write_titles
 from marquee.sources.dumps import read_dump
 from marquee.sources.tables import load_raw, load_table, load_titles
+from marquee.versions import newest, next_version, stored_bytes
+
+# Stored bytes of a bucket, which one task sorts and writes.
+BUCKET_BYTES = 256 * 2**20
 
 log = logging.getLogger(__name__)
 
@@ -51,6 +59,16 @@ def partition_titles(spark: SparkSession, warehouse: str) -> None:
     write_titles(load_raw(spark, warehouse, "title_basics"), warehouse)
 
 
+def buckets_for(spark: SparkSession, warehouse: str, tables: Iterable[str]) -> int:
+    """Number of buckets for tables to be joined: of the largest, by its stored bytes.
+
+    A power of two, so that tables that grow keep numbers that divide each other.
+    """
+    names = [PARTITIONED_TABLE if t == "title_basics" else parquet_name(t) for t in tables]
+    largest = max(stored_bytes(spark, newest(spark, f"{warehouse}/{name}")) for name in names)
+    return 2 ** max(1, math.ceil(math.log2(max(1, largest / BUCKET_BYTES))))
+
+
 def bucket_table(
     spark: SparkSession, warehouse: str, table: str, buckets: int, name: str | None = None
 ) -> None:
@@ -62,26 +80,54 @@ def bucket_table(
         if table == "title_basics"
         else load_table(spark, warehouse, table)
     )
-    path = f"{warehouse}/{bucketed_name(table)}"
+    path = next_version(spark, f"{warehouse}/{bucketed_name(table)}")
     save_bucketed(rows, name or bucketed_name(table), path, buckets)
 
 
+def at_once(steps: Iterable[Callable[[], None]]) -> None:
+    """Runs independent steps side by side; the first failure is raised once all have ended.
+
+    Spark shares its executors among the jobs of several threads, so that a step
+    with one task does not leave the others idle.
+    """
+    steps = list(steps)
+    if not steps:
+        return
+    with ThreadPoolExecutor(len(steps)) as threads:
+        running = [threads.submit(step) for step in steps]
+    for step in running:
+        step.result()
+
+
 def refresh(
-    spark: SparkSession, landing: str, warehouse: str, dumps: Iterable[str] | None = None
+    spark: SparkSession,
+    landing: str,
+    warehouse: str,
+    dumps: Iterable[str] | None = None,
+    bucketed: Iterable[str] = (),
 ) -> None:
     """Bring the warehouse up to the dumps in the landing folder.
 
-    Any failure ends the refresh. Every step replaces its table, so running it
-    again is safe.
+    Dumps land side by side, then the tables are converted side by side, then
+    those named in ``bucketed`` are stored in buckets as well, all with the same
+    number. Any failure ends the refresh. Every step replaces its table, so
+    running it again is safe.
     """
     if dumps is None:
         dumps = [dump_of_table(table) for table in RAW_SCHEMAS]
-    landed = []
-    for dump, table in known_tables(dumps):
-        land_dump(spark, f"{landing}/{dump}", warehouse, table)
-        landed.append(table)
-    for table in landed:
+    known, bucketed = known_tables(dumps), list(bucketed)
+    at_once(
+        lambda dump=dump, table=table: land_dump(spark, f"{landing}/{dump}", warehouse, table)
+        for dump, table in known
+    )
+
+    def convert(table: str) -> None:
         if table in COPIED_TABLES:
             convert_table(spark, warehouse, table)
         else:
             partition_titles(spark, warehouse)
+
+    at_once(lambda table=table: convert(table) for _, table in known)
+    if bucketed:
+        buckets = buckets_for(spark, warehouse, bucketed)
+        at_once(lambda table=table: bucket_table(spark, warehouse, table, buckets) for table in bucketed)

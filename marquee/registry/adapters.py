@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 
 from marquee.schemas import RAW_SCHEMAS
 
-# A director list holds the suppliers of one thousand consecutive keys, so
-# a title with more of them has several rows and no list grows without bound.
-DIRECTORS_PER_ROW = 1000
+# A director list holds the suppliers of four consecutive keys: a title has several
+# rows, one for each block of keys, at every size, and no list grows.
+DIRECTORS_PER_ROW = 4
 
 EVENT_COLUMNS = "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type STRING"
 

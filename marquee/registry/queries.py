@@ -31,8 +31,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 TITLE_ID = "tt0000012"
 GENRE = "ring"
 DIGITS = 6
-# Of the bucketed tables here. A bucket of a large table should hold about 1 GB.
-BUCKETS = 16
 
 
 # Scans and sinks --------------------------------------------------------
@@ -64,10 +62,14 @@ def _tsv_roundtrip(table: str) -> Query:
 def _parquet_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Convert all six tables; rows and total text length of each copy."""
     warehouse = scratch_dir(spark, "conversion")
-    report = None
-    for table in COPIED_TABLES:
+
+    def convert(table: str) -> None:
         write_raw(adapters.raw_table(spark, sf_dir, table), warehouse, table)
         ingest.convert_table(spark, warehouse, table)
+
+    ingest.at_once(lambda table=table: convert(table) for table in COPIED_TABLES)
+    report = None
+    for table in COPIED_TABLES:
         copied = load_table(spark, warehouse, table)
         lengths = [F.length(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in copied.columns]
         size = lengths[0].cast("bigint")
@@ -102,7 +104,10 @@ def _preview_akas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rating_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ratings.rating_by_id(adapters.ratings(spark, sf_dir), TITLE_ID)
+    """A stored copy, so that the lookup is one pushed to the scan."""
+    warehouse = scratch_dir(spark, "rating-by-id")
+    write_copy(adapters.raw_table(spark, sf_dir, "title_ratings"), warehouse, "title_ratings")
+    return ratings.rating_by_id(load_table(spark, warehouse, "title_ratings"), TITLE_ID)
 
 
 # Reports ----------------------------------------------------------------
@@ -169,17 +174,19 @@ def _bucketed(spark: SparkSession, sf_dir: str, *tables: str) -> list[DataFrame]
             write_titles(raw, warehouse)
         else:
             write_copy(raw, warehouse, table)
+    buckets = ingest.buckets_for(spark, warehouse, tables)
+    for table in tables:
         name = f"{table}_{warehouse[-32:]}"
-        ingest.bucket_table(spark, warehouse, table, BUCKETS, name)
+        ingest.bucket_table(spark, warehouse, table, buckets, name)
         frames.append(spark.table(name))
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     return frames
 
 
 def _bucketed_movie_crew_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalogue.movie_crew_ratings(
-        *_bucketed(spark, sf_dir, "title_crew", "title_ratings", "title_basics")
-    )
+    """The crew has several rows per title here and is joined to the bucketed tables."""
+    rated, titles = _bucketed(spark, sf_dir, "title_ratings", "title_basics")
+    return catalogue.movie_crew_ratings(adapters.crew(spark, sf_dir), rated, titles)
 
 
 def _bucketed_rating_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,7 +374,7 @@ def _decade_list(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _decade_ticks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series.decade_ticks(_decade_list(spark, sf_dir))
+    return series.decade_ticks(series.distinct_decades(_genre_by_decade(spark, sf_dir)))
 
 
 def _genre_series(spark: SparkSession, sf_dir: str) -> DataFrame:

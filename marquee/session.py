@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 
@@ -66,10 +67,15 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new, unused path for intermediate tables and stream checkpoints.
 
     It lies in the shared folder named by ``spark.checkpoint.dir`` so that a
-    lost executor loses no data. A local temporary folder is used only when
-    the session names none, as in a unit test.
+    lost executor loses no data. Without that setting a local temporary folder is
+    used in local mode, as in a unit test; on a cluster its executors would each
+    write to a disk of their own, so there it is an error. Nothing is removed
+    here: whoever owns the shared folder clears ``marquee/`` in it, best by age.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        master = spark.sparkContext.master
+        if re.fullmatch(r"local(\[.*\])?", master) is None:
+            raise ValueError(f"spark.checkpoint.dir must name a shared folder on {master}")
         base = tempfile.mkdtemp(prefix="marquee-")
     return f"{base.rstrip('/')}/marquee/{label}-{uuid.uuid4().hex}"

@@ -1,16 +1,25 @@
-"""Writers of the warehouse tables. Each one replaces the whole table."""
+"""Writers of the warehouse tables. Each one makes a new version of the whole table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 
 from marquee.schemas import PARTITIONED_TABLE, PARTITIONED_TITLES, parquet_name, raw_name
+from marquee.sources.dumps import whole_number
+from marquee.versions import drop_old, next_version, version_path
+
+
+def _write_version(writer: DataFrameWriter, spark: SparkSession, path: str) -> None:
+    """A new version; readers of the one before are not disturbed."""
+    writer.parquet(next_version(spark, path))
+    drop_old(spark, path)
 
 
 def write_raw(rows: DataFrame, warehouse: str, table: str) -> None:
     """Full refresh of a raw table."""
-    rows.write.mode("overwrite").parquet(f"{warehouse}/{raw_name(table)}")
+    _write_version(rows.write, rows.sparkSession, f"{warehouse}/{raw_name(table)}")
 
 
 def write_copy(rows: DataFrame, warehouse: str, table: str) -> None:
@@ -19,18 +28,19 @@ def write_copy(rows: DataFrame, warehouse: str, table: str) -> None:
     Rows are ordered by key inside each file, which lets a lookup by key skip
     nearly all pages of it.
     """
-    (
-        rows.sortWithinPartitions(rows.columns[0])
-        .write.mode("overwrite")
-        .parquet(f"{warehouse}/{parquet_name(table)}")
-    )
+    writer = rows.sortWithinPartitions(rows.columns[0]).write
+    _write_version(writer, rows.sparkSession, f"{warehouse}/{parquet_name(table)}")
 
 
 def typed_titles(raw_titles: DataFrame) -> DataFrame:
     """Raw titles with ``isAdult`` and ``startYear`` as INT, bad text as NULL."""
-    return raw_titles.select(
-        *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in PARTITIONED_TITLES]
-    )
+    columns = []
+    for field in PARTITIONED_TITLES:
+        column = F.col(field.name)
+        if field.dataType == IntegerType() and dict(raw_titles.dtypes)[field.name] == "string":
+            column = whole_number(column, field.dataType)
+        columns.append(column.try_cast(field.dataType).alias(field.name))
+    return raw_titles.select(*columns)
 
 
 def write_titles(raw_titles: DataFrame, warehouse: str) -> None:
@@ -40,15 +50,9 @@ def write_titles(raw_titles: DataFrame, warehouse: str) -> None:
     (or the missing year) may hold a large part of all titles: the rebalance
     hint lets adaptive execution split such a year over several tasks.
     """
-    (
-        typed_titles(raw_titles)
-        .hint("rebalance", "startYear")
-        .sortWithinPartitions("startYear", "tconst")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("startYear")
-        .parquet(f"{warehouse}/{PARTITIONED_TABLE}")
-    )
+    titles = typed_titles(raw_titles).hint("rebalance", "startYear")
+    writer = titles.sortWithinPartitions("startYear", "tconst").write.partitionBy("startYear")
+    _write_version(writer, raw_titles.sparkSession, f"{warehouse}/{PARTITIONED_TABLE}")
 
 
 def save_bucketed(rows: DataFrame, name: str, path: str, buckets: int) -> None:
@@ -75,5 +79,5 @@ def write_folded_ratings(ratings: DataFrame, root: str, version: int) -> None:
     (
         ratings.sortWithinPartitions("tconst")
         .write.mode("overwrite")
-        .parquet(f"{root}/version={version}")
+        .parquet(version_path(root, version))
     )

@@ -14,6 +14,7 @@ from marquee.schemas import (
     parquet_name,
     raw_name,
 )
+from marquee.versions import newest
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -21,21 +22,31 @@ def read_parquet(spark: SparkSession, path: str, schema: StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def read_newest(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """Scan of the newest completed version of a table."""
+    return read_parquet(spark, newest(spark, path), schema)
+
+
 def load_raw(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
-    return read_parquet(spark, f"{warehouse}/{raw_name(table)}", RAW_SCHEMAS[table])
+    return read_newest(spark, f"{warehouse}/{raw_name(table)}", RAW_SCHEMAS[table])
 
 
 def load_table(spark: SparkSession, warehouse: str, table: str) -> DataFrame:
     """Scan one of the six copied tables, every file of its folder."""
     if table not in COPIED_TABLES:
         raise KeyError(f"not a copied table: {table}")
-    return read_parquet(spark, f"{warehouse}/{parquet_name(table)}", RAW_SCHEMAS[table])
+    return read_newest(spark, f"{warehouse}/{parquet_name(table)}", RAW_SCHEMAS[table])
 
 
 def load_titles(spark: SparkSession, warehouse: str) -> DataFrame:
     """Scan the titles partitioned by ``startYear``, which comes last."""
-    return read_parquet(spark, f"{warehouse}/{PARTITIONED_TABLE}", PARTITIONED_TITLES)
+    return read_newest(spark, f"{warehouse}/{PARTITIONED_TABLE}", PARTITIONED_TITLES)
 
 
 def load_folded_ratings(spark: SparkSession, root: str, version: int) -> DataFrame:
     return read_parquet(spark, f"{root}/version={version}", FOLDED_RATINGS)
+
+
+def load_newest_ratings(spark: SparkSession, root: str) -> DataFrame:
+    """The newest completed version that folding has made."""
+    return read_newest(spark, root, FOLDED_RATINGS)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.schemas import MESSAGE_LOG, VOTE_LOG_COLUMNS, VOTE_STORE
+from marquee.versions import newest
 
 
 def read_message_log(spark: SparkSession, path: str) -> DataFrame:
@@ -19,7 +20,7 @@ def read_vote_log(spark: SparkSession, path: str) -> DataFrame:
 
 def read_vote_store(spark: SparkSession, path: str) -> DataFrame:
     """Votes as ``write_vote_store`` left them."""
-    return spark.read.schema(VOTE_STORE).parquet(path)
+    return spark.read.schema(VOTE_STORE).parquet(newest(spark, path))
 
 
 def read_quarantine(spark: SparkSession, path: str) -> DataFrame:

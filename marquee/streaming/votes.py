@@ -8,16 +8,20 @@ the caller names; on a cluster they must be shared storage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
-from marquee.operators.ratings import fold_votes, merge_voted
+from marquee.operators.ratings import fold_totals, merge_voted
 from marquee.operators.votes import classify_messages, parse_votes, vote_totals
 from marquee.schemas import MESSAGE_LOG
 from marquee.sinks.tables import write_folded_ratings
-from marquee.sources.tables import load_folded_ratings
+
+#: The ratings, or a function that loads the present ones.
+Ratings = DataFrame | Callable[[], DataFrame]
 
 TOTALS_SCHEMA = "tconst STRING, dn BIGINT, ds BIGINT"
 MERGED_SCHEMA = "tconst STRING, averageRating DOUBLE, numVotes BIGINT"
@@ -30,8 +34,18 @@ def _triggered(
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
 
 
+def _present(ratings: Ratings) -> DataFrame:
+    """The ratings as they are now: tables replaced by a refresh are looked up anew."""
+    return ratings() if callable(ratings) else ratings
+
+
 def start_message_log(
-    messages: DataFrame, path: str, checkpoint: str, once: bool = False, every: str = "1 second"
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    once: bool = False,
+    every: str = "1 minute",
+    strict: bool = False,
 ) -> StreamingQuery:
     """Append every message to a Parquet log, accepted and rejected apart.
 
@@ -41,7 +55,7 @@ def start_message_log(
     """
     accepted = F.col("accepted")
     rows = (
-        classify_messages(messages)
+        classify_messages(messages, strict)
         .withColumns(
             {
                 "ts_ms": F.unix_millis("ts"),
@@ -66,7 +80,12 @@ def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 def start_totals(
-    messages: DataFrame, path: str, checkpoint: str, once: bool = False, every: str = "1 second"
+    messages: DataFrame,
+    path: str,
+    checkpoint: str,
+    once: bool = False,
+    every: str = "1 minute",
+    strict: bool = False,
 ) -> StreamingQuery:
     """Running number and sum of votes per title.
 
@@ -78,18 +97,19 @@ def start_totals(
     def write(batch: DataFrame, batch_id: int) -> None:
         _write_batch(batch, path, batch_id)
 
-    totals = vote_totals(parse_votes(messages))
+    totals = vote_totals(parse_votes(messages, strict))
     writer = totals.writeStream.outputMode("update").foreachBatch(write)
     return _triggered(writer, checkpoint, once, every).start()
 
 
 def start_live_ratings(
     messages: DataFrame,
-    ratings: DataFrame,
+    ratings: Ratings,
     path: str,
     checkpoint: str,
     once: bool = False,
-    every: str = "1 second",
+    every: str = "10 minutes",
+    strict: bool = False,
 ) -> StreamingQuery:
     """Running totals merged with the batch rating of the titles that changed.
 
@@ -97,6 +117,9 @@ def start_live_ratings(
     the totals as in ``start_totals`` under ``{path}/totals``. A batch's totals
     are joined from their files, whose size is known: Spark broadcasts them
     past the ratings while they are small, and shuffles both when they are not.
+
+    Each batch scans the ratings once, hence the long default interval. Give a
+    function that loads them, so that a batch after a refresh sees the new ones.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -104,32 +127,43 @@ def start_live_ratings(
         changed = batch.sparkSession.read.schema(TOTALS_SCHEMA).parquet(
             batch_folder(f"{path}/totals", batch_id)
         )
-        _write_batch(merge_voted(ratings, changed), f"{path}/ratings", batch_id)
+        _write_batch(merge_voted(_present(ratings), changed), f"{path}/ratings", batch_id)
 
-    totals = vote_totals(parse_votes(messages))
+    totals = vote_totals(parse_votes(messages, strict))
     writer = totals.writeStream.outputMode("update").foreachBatch(write)
     return _triggered(writer, checkpoint, once, every).start()
 
 
 def start_folding(
     messages: DataFrame,
-    ratings: DataFrame,
+    ratings: Ratings,
     root: str,
     checkpoint: str,
     once: bool = False,
     every: str = "10 minutes",
+    strict: bool = False,
 ) -> StreamingQuery:
     """Fold each batch of votes into a new version of the ratings table.
 
-    Batch N makes version N out of version N-1 (batch 0 out of ``ratings``), so
-    doing a batch again gives the same version. The source's options for the
-    batch size set how many votes are folded at a time.
+    Batch N adds its votes to the totals of batch N-1 and makes version N out of
+    the ratings as they are then and these totals, so that doing a batch again
+    adds nothing twice and a refreshed dump shows in the next version. Give a
+    function that loads the ratings for that. The source's options for the batch
+    size set how many votes are folded at a time. Of the versions only the newest
+    is read, see ``load_newest_ratings``; older ones may be removed, the totals of
+    the last two batches not.
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        base = ratings if batch_id == 0 else load_folded_ratings(spark, root, batch_id - 1)
-        write_folded_ratings(fold_votes(base, parse_votes(batch)), root, batch_id)
+        totals = vote_totals(parse_votes(batch, strict))
+        if batch_id:
+            before = spark.read.schema(TOTALS_SCHEMA).parquet(batch_folder(f"{root}/totals", batch_id - 1))
+            both = before.unionByName(totals)
+            totals = both.groupBy("tconst").agg(F.sum("dn").alias("dn"), F.sum("ds").alias("ds"))
+        _write_batch(totals, f"{root}/totals", batch_id)
+        totals = spark.read.schema(TOTALS_SCHEMA).parquet(batch_folder(f"{root}/totals", batch_id))
+        write_folded_ratings(fold_totals(_present(ratings), totals), root, batch_id)
 
     writer = messages.writeStream.foreachBatch(fold)
     return _triggered(writer, checkpoint, once, every).start()

@@ -235,3 +235,23 @@ def test_a_hot_year_is_split_over_files(spark, tmp_path):
     sizes = sorted(row["count"] for row in hot.collect())
     assert sum(sizes) == 20_000 and len(sizes) >= 3 and sizes[-1] < 15_000
     assert written.count() == 60_000
+
+
+def test_blank_lines_nul_and_foreign_headers_are_rows(spark, tmp_path):
+    """Every line but a header of the declared names is a row, as it stands."""
+    path = tmp_path / "d.tsv.gz"
+    write_dump(path, "tconst\taverageRating\tnumVotes", "", "  ", "\0tt1\t1.0\t2", "id\trating\tvotes", "tt2\t\\N\t5.7", "tt3\t1.0\t5.x")
+    assert rows(read_dump(spark, str(path), "title_ratings")) == [
+        ("", None, None),
+        ("  ", None, None),
+        ("\0tt1", "1.0", 2),
+        ("id", "rating", None),
+        ("tt2", None, 5),
+        ("tt3", "1.0", None),
+    ]
+
+
+def test_one_failing_dump_ends_the_refresh(spark, tmp_path):
+    write_dump(tmp_path / "title.crew.tsv.gz", "tconst\tdirectors\twriters", "tt1\tnm1\t\\N")
+    with pytest.raises(Exception, match="title.ratings"):
+        ingest.refresh(spark, str(tmp_path), str(tmp_path / "w"), ["title.crew.tsv.gz", "title.ratings.tsv.gz"])

@@ -6,8 +6,7 @@ from compare import connect, differences
 import __spark_entry__ as registered
 
 # What is registered beyond these has tests of its own.
-QUERIES = {k: q for k, q in registered.queries().items() if k in registered.QUERIES}
-ORACLES = {k: q for k, q in registered.oracle_sql().items() if k in registered.QUERIES}
+QUERIES, ORACLES = registered.QUERIES, registered.ORACLES
 
 
 @pytest.fixture(scope="module")

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 import __spark_entry__ as registered
 from marquee.operators import ratings as rating_ops
 from marquee.operators.catalogue import director_titles
+from marquee.plans import ingest
 from marquee.plans.analytics import genre_by_decade, top_directors, votes_by_title_type
-from marquee.registry import adapters
 from marquee.plans.ingest import bucket_table
+from marquee.registry import adapters, queries
 from marquee.schemas import COPIED_TABLES, MESSAGE_LOG
 from marquee.sinks.tables import write_copy, write_titles
 from marquee.sources.tables import load_table, load_titles
@@ -39,7 +40,7 @@ def no_broadcast(spark):
     spark.conf.set(key, before)
 
 
-@pytest.mark.parametrize("name", registered.queries())
+@pytest.mark.parametrize("name", registered.QUERIES)
 def test_no_pairwise_join_and_no_python_in_the_plan(spark, small, no_broadcast, name):
     text = plan(registered.queries()[name](spark, small))
     for node in ("NestedLoop", "Cartesian", "Python", "Pandas", "BroadcastHashJoin"):
@@ -59,8 +60,25 @@ def test_report_reads_two_columns_and_prunes_partitions(spark, warehouse):
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark, small, no_broadcast):
-    text = plan(registered.queries()["bucketed_movie_crew_ratings"](spark, small))
-    assert text.count("SortMergeJoin") == 2 and "Exchange" not in text
+    rated, titles = queries._bucketed(spark, small, "title_ratings", "title_basics")
+    text = plan(rated.join(titles, "tconst"))
+    assert text.count("SortMergeJoin") == 1 and "Exchange" not in text
+
+
+def test_more_bytes_give_more_buckets(spark, warehouse, monkeypatch):
+    def buckets(size):
+        monkeypatch.setattr(ingest, "stored_bytes", lambda spark, path: size)
+        return ingest.buckets_for(spark, warehouse, ["title_ratings", "title_basics"])
+
+    assert buckets(0) == 2
+    assert buckets(40 * 2**30) == 2 * buckets(20 * 2**30) == 256
+
+
+def test_decade_ticks_scan_the_titles_once(spark, small):
+    rows = registered.queries()["decade_ticks"](spark, small)
+    rows.collect()
+    text = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    assert text.count("FileScan") == 1
 
 
 def test_a_lookup_reads_one_bucket(spark, warehouse):

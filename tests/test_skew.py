@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 
-QUERIES, ORACLES = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLES = registered.QUERIES, registered.ORACLES
 
 
 @pytest.fixture(scope="module")

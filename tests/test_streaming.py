@@ -1,13 +1,17 @@
 """Streams against the batch results of the same messages."""
 
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
 from marquee.operators import ratings as rating_ops
 from marquee.operators.votes import rejected_messages, vote_log, vote_totals
 from marquee.registry import adapters
+from marquee.schemas import RAW_SCHEMAS
+from marquee.sinks.tables import write_copy
 from marquee.sources.messages import file_messages
-from marquee.sources.tables import load_folded_ratings
+from marquee.sources.tables import load_folded_ratings, load_newest_ratings, load_table
 from marquee.sources.votes import (
     latest_by_title,
     read_quarantine,
@@ -120,3 +124,40 @@ def test_small_batches_are_broadcast_past_the_ratings(spark, small, tmp_path):
     merged = rating_ops.merge_voted(adapters.ratings(spark, small), changed)
     text = merged._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in text and "Exchange hashpartitioning(tconst" not in text
+
+
+def test_streams_go_on_after_a_refresh(spark, batch, tmp_path):
+    """Ratings are replaced between two batches: both streams see the new ones."""
+    warehouse, source = str(tmp_path / "w"), str(tmp_path / "in")
+    load = partial(load_table, spark, warehouse, "title_ratings")
+    halves = [batch.where("msg_offset % 2 = 0"), batch.where("msg_offset % 2 = 1")]
+    for average, half in zip(("8.0", "2.0"), halves):
+        table = spark.createDataFrame([("tt0000012", average, 10)], RAW_SCHEMAS["title_ratings"])
+        write_copy(table, warehouse, "title_ratings")
+        half.write.mode("append").parquet(source)
+        for start, name in ((streams.start_live_ratings, "live"), (streams.start_folding, "fold")):
+            messages = file_messages(spark, source)
+            finish(start(messages, load, str(tmp_path / name), str(tmp_path / f"cp-{name}"), once=True))
+
+    def rounded(frame):
+        return rows(frame.withColumn("averageRating", F.round("averageRating", 9)))
+
+    expected = rating_ops.fold_votes(load(), vote_log(batch))
+    assert rounded(load_newest_ratings(spark, str(tmp_path / "fold"))) == rounded(expected)
+    live = latest_by_title(spark, str(tmp_path / "live" / "ratings"), streams.MERGED_SCHEMA)
+    one = live.where("tconst = 'tt0000012'").select("tconst", "averageRating", "numVotes")
+    totals = vote_totals(vote_log(batch)).where("tconst = 'tt0000012'")
+    assert rounded(one) == rounded(rating_ops.merge_voted(load(), totals))
+
+
+def test_a_reader_keeps_its_version(spark, tmp_path):
+    tables = [spark.createDataFrame([(f"tt{k}", "1.0", k)], RAW_SCHEMAS["title_ratings"]) for k in range(5)]
+    write_copy(tables[0], str(tmp_path), "title_ratings")
+    first = load_table(spark, str(tmp_path), "title_ratings")
+    for table in tables[1:3]:
+        write_copy(table, str(tmp_path), "title_ratings")
+    assert rows(first) == [("tt0", "1.0", 0)]
+    assert rows(load_table(spark, str(tmp_path), "title_ratings")) == [("tt2", "1.0", 2)]
+    for table in tables[3:]:
+        write_copy(table, str(tmp_path), "title_ratings")
+    assert sorted(p.name for p in (tmp_path / "title_ratings_parquet").glob("version=*")) == ["version=3", "version=4", "version=5"]
