@@ -68,17 +68,26 @@ def _pieces(text: Column, shortest: Column, longest: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(lengths, of_length)))
 
 
+def _id_lengths(ratings: DataFrame) -> Column:
+    """Shortest and longest ordinary and other ids, from one scan that all uses share."""
+    plain, size = is_plain_id(F.col("tconst")), F.length("tconst")
+    bounds = [
+        bound(F.when(plain if ordinary else ~plain, size)).alias(f"{name}_{kind}")
+        for ordinary, kind in ((True, "plain"), (False, "other"))
+        for bound, name in ((F.min, "lo"), (F.max, "hi"))
+    ]
+    return ratings.agg(F.struct(*bounds)).scalar()
+
+
 def _totals_of_pieces(
-    totals: DataFrame, text: str, ids: DataFrame, wanted: Column
+    totals: DataFrame, text: str, lengths: Column, kind: str, wanted: Column
 ) -> DataFrame:
-    """Sum ``dn``/``ds`` over the pieces of ``text`` that could be one of ``ids``."""
-    size = F.length("tconst")
-    lengths = ids.agg(F.struct(F.min(size).alias("lo"), F.max(size).alias("hi"))).scalar()
-    pieces = _pieces(F.col(text), F.col("lengths.lo"), F.col("lengths.hi"))
+    """Sum ``dn``/``ds`` over the pieces of ``text`` that could be an id of a kind."""
+    lo, hi = F.col(f"lengths.lo_{kind}"), F.col(f"lengths.hi_{kind}")
     return (
         totals.withColumn("lengths", lengths)
-        .where(F.col("lengths.lo").isNotNull() & (F.length(text) >= F.col("lengths.lo")))
-        .select("dn", "ds", text, F.explode(pieces).alias("piece"))
+        .where(lo.isNotNull() & (F.length(text) >= lo))
+        .select("dn", "ds", text, F.explode(_pieces(F.col(text), lo, hi)).alias("piece"))
         .where((F.col(text) >= F.col("piece")) & wanted)
         .groupBy("piece")
         .agg(F.sum("dn").alias("dn"), F.sum("ds").alias("ds"))
@@ -100,19 +109,15 @@ def merged_ratings_contains(ratings: DataFrame, votes: DataFrame) -> DataFrame:
 
     Both sides of the final join hold one row per id.
     """
-    plain = is_plain_id(F.col("tconst"))
+    lengths = _id_lengths(ratings)
     piece_is_plain = is_plain_id(F.col("piece"))
-    by_title = _totals_of_pieces(
-        vote_totals(votes), "tconst", ratings.where(plain), piece_is_plain
-    )
+    by_title = _totals_of_pieces(vote_totals(votes), "tconst", lengths, "plain", piece_is_plain)
     votes_by_key = votes.select(
         F.lit(1).cast("bigint").alias("dn"),
         F.col("vote").cast("bigint").alias("ds"),
         row_key(F.col("tconst"), F.col("ts_ms")).alias("row_key"),
     )
-    by_key = _totals_of_pieces(
-        votes_by_key, "row_key", ratings.where(~plain), ~piece_is_plain
-    )
+    by_key = _totals_of_pieces(votes_by_key, "row_key", lengths, "other", ~piece_is_plain)
     return merge_totals(ratings, by_title.unionByName(by_key).withColumnRenamed("piece", "tconst"))
 
 
