@@ -37,8 +37,13 @@ START, END, FIRST = 0, 1, 2
 DISCOUNT = 0.75
 #: Codes: log10 probabilities from ``LOWEST`` to 0 in equal steps.
 LOWEST, CODES = -16.0, 2**16 - 1
-#: Tokens whose pairs are sent together, and tokens per shard, about.
-FLUSH_TOKENS, SHARD_TOKENS = 2_000_000, 8_000_000
+#: Tokens whose pairs are sent together, and tokens per group of requests, about.
+FLUSH_TOKENS, GROUP_TOKENS = 2_000_000, 8_000_000
+#: Shards of the pairs: as many tries, whatever the size of the corpus, so that a
+#: text gets as many partial sums at most. Rare words have as many or more.
+PAIR_SHARDS = 16
+#: Flushes whose counts are merged in one task.
+FAN_IN = 64
 #: Words counted in a task before they are passed on.
 FLUSH_WORDS = 500_000
 
@@ -64,7 +69,7 @@ class Model:
     back_off: np.ndarray
     train_tokens: int
     vocabulary: int
-    shards: int
+    word_shards: int
     bits: int
 
     def unigram(self, c: np.ndarray) -> np.ndarray:
@@ -150,7 +155,7 @@ def _pair_counts(train: DataFrame, text: str, head, shards: int, bits: int) -> D
             keys, rows = np.concatenate(held), []
             for shard, at in _by_shard(keys, shards):
                 distinct, n = _runs(keys[at])
-                rows.append((shard, _packed(distinct, bits), _squeezed(n, "<u4")))
+                rows.append((shard, _packed(distinct, bits), _squeezed(n, "<u8")))
             columns = list(zip(*rows)) or [[], [], []]
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["shard", "keys", "counts"])
 
@@ -169,17 +174,40 @@ def _pair_counts(train: DataFrame, text: str, head, shards: int, bits: int) -> D
     return train.select(text).mapInArrow(batches, "shard int, keys binary, counts binary")
 
 
-def _merged(table: pa.Table, bits: int) -> pa.Table:
-    """One shard's pairs summed; of each first word: kinds and tokens of what follows."""
+def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs of some flushes, in order, and their counts."""
     keys = np.concatenate([_unpacked(v.as_py()) for v in table.column("keys")])
-    counts = np.concatenate([_spread(v.as_py(), "<u4") for v in table.column("counts")]).astype(np.int64)
+    counts = np.concatenate([_spread(v.as_py(), "<u8") for v in table.column("counts")]).astype(np.int64)
     order = np.argsort(keys, kind="stable")
     distinct, n = _runs(keys[order])
     sums = np.add.reduceat(counts[order], np.concatenate([[0], np.cumsum(n)[:-1]]))
-    firsts, kinds = _runs(_split(distinct, bits)[0])
+    return distinct, sums
+
+
+def _merged(table: pa.Table, bits: int) -> pa.Table:
+    keys, sums = _summed(table)
+    return pa.table([table.column("shard").slice(0, 1), pa.array([_packed(keys, bits)], pa.binary()), pa.array([_squeezed(sums, "<u8")], pa.binary())], names=["shard", "keys", "counts"])
+
+
+def _finished(table: pa.Table, bits: int) -> pa.Table:
+    """One shard's pairs; of each first word: kinds and tokens of what follows."""
+    keys, sums = _summed(table)
+    firsts, kinds = _runs(_split(keys, bits)[0])
     follows = np.add.reduceat(sums, np.concatenate([[0], np.cumsum(kinds)[:-1]]))
     lists = [pa.array([v.tolist()], pa.list_(pa.int64())) for v in (firsts, kinds, follows)]
-    return pa.table([table.column("shard").slice(0, 1), pa.array([_packed(distinct, bits)], pa.binary()), pa.array([_squeezed(sums, "<u4")], pa.binary()), *lists], names=["shard", "keys", "counts", "v", "kinds", "follows"])
+    whole = [table.column("shard").slice(0, 1), pa.array([_packed(keys, bits)], pa.binary()), pa.array([_squeezed(sums, "<u8")], pa.binary())]
+    return pa.table([*whole, *lists], names=["shard", "keys", "counts", "v", "kinds", "follows"])
+
+
+def _pairs(parts: DataFrame, flushes: int, bits: int) -> DataFrame:
+    """Pairs and counts by shard, merged in a tree of ``FAN_IN`` flushes a task."""
+    while flushes > FAN_IN:
+        flushes = math.ceil(flushes / FAN_IN)
+        group = F.pmod(F.xxhash64("keys"), F.lit(flushes)).alias("part")
+        merged = parts.select("shard", "keys", "counts", group).groupBy("shard", "part")
+        parts = stored(merged.applyInArrow(lambda table: _merged(table, bits), "shard int, keys binary, counts binary"), "lm-merged")
+    schema = "shard int, keys binary, counts binary, v array<bigint>, kinds array<bigint>, follows array<bigint>"
+    return parts.groupBy("shard").applyInArrow(lambda table: _finished(table, bits), schema)
 
 
 def smoothed(keys: np.ndarray, counts: np.ndarray, context: np.ndarray, back_off: np.ndarray, unigram: np.ndarray, bits: int) -> np.ndarray:
@@ -210,10 +238,10 @@ def train(rows: DataFrame, text: str = "text", bits: int = BITS) -> Model:
     top = words.orderBy(F.desc("c"), "word").limit(2**bits - FIRST).collect()
     head = [bytes(r["word"]) for r in top]
     counts = np.array([texts, texts, *(r["c"] for r in top)], np.int64)
-    shards = max(4, math.ceil(n / SHARD_TOKENS))
     ids = spark.sparkContext.broadcast({w: k + FIRST for k, w in enumerate(head)})
-    parts = _pair_counts(rows, text, ids, shards, bits)
-    pairs = stored(parts.groupBy("shard").applyInArrow(lambda table: _merged(table, bits), "shard int, keys binary, counts binary, v array<bigint>, kinds array<bigint>, follows array<bigint>"), "lm-pairs")
+    parts = _pair_counts(rows, text, ids, PAIR_SHARDS, bits)
+    pairs = stored(_pairs(parts, math.ceil(n / FLUSH_TOKENS), bits), "lm-pairs")
+    shards = max(PAIR_SHARDS, math.ceil(n / GROUP_TOKENS))
     successors = pairs.select(F.inline(F.arrays_zip("v", "kinds", "follows"))).groupBy("v").agg(F.sum("kinds").alias("kinds"), F.sum("follows").alias("follows"))
     back_off = np.ones(len(counts))
     for r in successors.collect():  # one number for each dense id
@@ -225,7 +253,7 @@ def train(rows: DataFrame, text: str = "text", bits: int = BITS) -> Model:
         context, weights, unigram = fixed.value
         for batch in stream:
             for shard, keys, sums in zip(*(batch.column(k) for k in range(3))):
-                keys, sums = _unpacked(keys.as_py()), _spread(sums.as_py(), "<u4")
+                keys, sums = _unpacked(keys.as_py()), _spread(sums.as_py(), "<u8")
                 codes = quantised(smoothed(keys, sums, context, weights, unigram, bits))
                 trie = NgramTrie.of(np.stack(_split(keys, bits), 1), codes, 2**bits)
                 yield pa.RecordBatch.from_arrays([pa.array([shard.as_py()], pa.int32()), pa.array([trie.to_bytes()], pa.binary())], names=["shard", "trie"])
@@ -240,7 +268,8 @@ def _requests(docs: DataFrame, model: Model, ids, what: str) -> DataFrame:
     ``keys`` are distinct; ``times`` says how often each occurs, ``places`` in
     which of ``rows``.
     """
-    shards, bits = model.shards, model.bits
+    bits = model.bits
+    shards = PAIR_SHARDS if what == "pairs" else model.word_shards
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids.value
@@ -339,8 +368,11 @@ def _pair_sums(docs: DataFrame, model: Model, ids, fixed) -> DataFrame:
 
             return _sums(requests, value_of)
 
-    requests = _requests(docs, model, ids, "pairs")
-    return model.tries.groupBy("shard").cogroup(requests.groupBy("shard")).applyInArrow(answer, ANSWER)
+    # A shard's requests are dealt to as many tasks as their number asks for.
+    groups = max(1, math.ceil(model.train_tokens / (PAIR_SHARDS * GROUP_TOKENS)))
+    asked = _requests(docs, model, ids, "pairs").withColumn("part", F.pmod(F.xxhash64("rows"), F.lit(groups)).cast("int"))
+    tries = model.tries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    return tries.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part")).applyInArrow(answer, ANSWER)
 
 
 def _rare_sums(docs: DataFrame, model: Model, ids) -> DataFrame:
@@ -357,7 +389,7 @@ def _rare_sums(docs: DataFrame, model: Model, ids) -> DataFrame:
 
     least = int(model.counts[-1]) if len(model.counts) == 2**model.bits else 0
     rare = model.words.where(F.col("c") <= least) if least else model.words.where("c < 0")
-    dealt = rare.select((F.crc32("word") % model.shards).cast("int").alias("shard"), "word", "c")
+    dealt = rare.select((F.crc32("word") % model.word_shards).cast("int").alias("shard"), "word", "c")
     return dealt.groupBy("shard").cogroup(_requests(docs, model, ids, "rare").groupBy("shard")).applyInArrow(answer, ANSWER)
 
 

@@ -13,6 +13,8 @@ import numpy as np
 
 #: Every so many values the place of their high bits is noted.
 SAMPLE = 32
+#: Values of a level, at most, that a process decodes as a whole to search it.
+DECODED = 2**24
 _POPCOUNT = np.array([bin(k).count("1") for k in range(256)], np.uint8)
 
 
@@ -26,6 +28,7 @@ def _select_in_byte() -> np.ndarray:
 
 
 _SELECT = _select_in_byte()
+_EIGHT = np.arange(8)
 
 
 @dataclass
@@ -41,6 +44,8 @@ class EliasFano:
     lows: np.ndarray
     highs: np.ndarray
     samples: np.ndarray
+    _marks: np.ndarray | None = None
+    _decoded: np.ndarray | None = None
 
     @classmethod
     def of(cls, values: np.ndarray, universe: int) -> EliasFano:
@@ -49,7 +54,7 @@ class EliasFano:
         low_bits = max(0, (max(1, int(universe)) // max(1, n)).bit_length() - 1)
         high = (values >> np.uint64(low_bits)).astype(np.int64)
         places = high + np.arange(n)
-        bits = np.zeros((int(places[-1]) if n else 0) // 8 + 9, np.uint8)
+        bits = np.zeros((int(places[-1]) if n else 0) // 8 + 17, np.uint8)
         np.bitwise_or.at(bits, places >> 3, (1 << (places & 7)).astype(np.uint8))
         lows = np.zeros((n * low_bits + 7) // 8 + 8, np.uint8)
         for k in range(low_bits):
@@ -63,18 +68,53 @@ class EliasFano:
         at = np.asarray(at, np.int64)
         place = self.samples[at // SAMPLE].astype(np.int64)
         byte = place >> 3
-        # Set bits to skip, counted from the start of the sample's byte.
+        # Set bits to skip, counted from the start of the sample's byte; eight bytes at a time.
         skip = at % SAMPLE + _POPCOUNT[self.highs[byte] & ((1 << (place & 7)) - 1).astype(np.uint8)]
+        out = np.empty(len(at), np.int64)
         active = np.arange(len(at))
         while len(active):
-            here = _POPCOUNT[self.highs[byte[active]]]
-            on = skip[active] >= here
-            active, here = active[on], here[on]
-            skip[active] -= here
-            byte[active] += 1
-        place = (byte << 3) + _SELECT[self.highs[byte], skip]
+            row = self.highs[byte[active][:, None] + _EIGHT]
+            upto = np.cumsum(_POPCOUNT[row], axis=1, dtype=np.int64)
+            found = upto[:, -1] > skip[active]
+            after = active[~found]
+            skip[after] -= upto[~found, -1]
+            byte[after] += 8
+            here, row, upto = active[found], row[found], upto[found]
+            k = (upto <= skip[here][:, None]).sum(1)
+            rows = np.arange(len(here))
+            rest = skip[here] - np.where(k > 0, upto[rows, np.maximum(k - 1, 0)], 0)
+            out[here] = (byte[here] + k << 3) + _SELECT[row[rows, k], rest]
+            active = after
+        place = out
         return ((place - at).astype(np.uint64) << np.uint64(self.low_bits)) | self._low(at)
 
+    def decoded(self) -> np.ndarray:
+        """The whole sequence, kept: for many searches in one process."""
+        if self._decoded is None:
+            self._decoded = self.all()
+        return self._decoded
+
+    def marks(self) -> np.ndarray:
+        """Every SAMPLE-th value, to begin searches with."""
+        if self._marks is None:
+            self._marks = self.take(np.arange(0, self.n, SAMPLE))
+        return self._marks
+
+    def successor(self, wanted: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+        """Places of the first values from ``low`` to before ``high`` that are not smaller; else ``high``."""
+        block = np.searchsorted(self.marks(), wanted, "left")
+        start, end = np.maximum(low, (block - 1) * SAMPLE), np.minimum(high, block * SAMPLE)
+        low, high = np.minimum(start, high), np.maximum(end, np.minimum(start, high))
+        low, high = low.copy(), high.copy()
+        open_ = np.flatnonzero(low < high)
+        while len(open_):
+            middle = (low[open_] + high[open_]) // 2
+            smaller = self.take(middle) < wanted[open_]
+            low[open_[smaller]] = middle[smaller] + 1
+            high[open_[~smaller]] = middle[~smaller]
+            open_ = open_[low[open_] < high[open_]]
+        return low
+
     def _low(self, at: np.ndarray) -> np.ndarray:
         if not self.low_bits:
             return np.zeros(len(at), np.uint64)
@@ -134,26 +174,33 @@ class NgramTrie:
             parents, above = ranks.astype(np.int64), len(nodes)
         return cls(base, levels, pointers, np.asarray(codes, np.uint16))
 
-    def find(self, grams: np.ndarray) -> np.ndarray:
-        """Ranks of n-grams, -1 for those that are not there."""
+    def find(self, grams: np.ndarray, decode_up_to: int = DECODED) -> np.ndarray:
+        """Ranks of n-grams, -1 for those that are not there.
+
+        A word is searched among its context's successors. Levels of up to
+        ``decode_up_to`` values are decoded once and searched in memory, larger
+        ones are searched where they lie.
+        """
         found = np.zeros(len(grams), np.int64)
         for k, level in enumerate(self.levels):
             at = np.flatnonzero(found >= 0)
             parent, word = found[at], grams[at, k].astype(np.int64)
+            wanted = (parent * self.base + word).astype(np.uint64)
+            if level.n <= decode_up_to:
+                values = level.decoded()
+                low = np.searchsorted(values, wanted)
+                there = low < level.n
+                hit = np.flatnonzero(there)[values[low[there]] == wanted[there]]
+                found[at] = -1
+                found[at[hit]] = low[hit]
+                continue
             if k:
-                low = self.pointers[k - 1].take(parent).astype(np.int64)
-                high = self.pointers[k - 1].take(parent + 1).astype(np.int64)
+                contexts, of = np.unique(parent, return_inverse=True)
+                low = self.pointers[k - 1].take(contexts).astype(np.int64)[of]
+                end = self.pointers[k - 1].take(contexts + 1).astype(np.int64)[of]
             else:
-                low, high = np.zeros(len(at), np.int64), np.full(len(at), level.n, np.int64)
-            wanted, end = (parent * self.base + word).astype(np.uint64), high.copy()
-            while True:  # the first successor that is not smaller
-                open_ = np.flatnonzero(low < high)
-                if not len(open_):
-                    break
-                middle = (low[open_] + high[open_]) // 2
-                smaller = level.take(middle) < wanted[open_]
-                low[open_[smaller]] = middle[smaller] + 1
-                high[open_[~smaller]] = middle[~smaller]
+                low, end = np.zeros(len(at), np.int64), np.full(len(at), level.n, np.int64)
+            low = level.successor(wanted, low, end)
             there = np.flatnonzero(low < end)
             hit = there[level.take(low[there]) == wanted[there]]
             found[at] = -1
