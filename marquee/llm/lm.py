@@ -26,6 +26,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from marquee.llm.common import stored
@@ -57,7 +58,7 @@ def tokens(text: str | None) -> list[bytes]:
 class Model:
     """``words`` (word, c) and ``tries`` (shard, trie) are stored tables; the rest is of fixed size.
 
-    ``head``: frequent words in order of their ids; ``counts``: of each id as a
+    ``head``: words with a count of ``least`` or more in order of their ids; ``counts``: of each id as a
     token (START: as a context); ``back_off``: g(v) of each id, 1 where nothing is
     known.
     """
@@ -71,6 +72,7 @@ class Model:
     vocabulary: int
     word_shards: int
     bits: int
+    least: int
 
     def unigram(self, c: np.ndarray) -> np.ndarray:
         """log10 of the add-one probability; an unseen word has the count 0."""
@@ -227,15 +229,18 @@ def restored(codes: np.ndarray) -> np.ndarray:
 def train(rows: DataFrame, text: str = "text", bits: int = BITS) -> Model:
     """A model of all texts of ``rows``; NULL texts are empty and still end.
 
-    The driver gets the 2**bits most frequent words and one number for each of
-    them. Without rows every word has the probability of an unseen one.
+    The driver gets the most frequent words, fewer than 2**bits, and one number
+    for each of them; words of one count are all among them or none. Without rows every word has the probability of an unseen one.
     """
     spark = rows.sparkSession
     words = stored(_word_counts(rows, text), "lm-words")
     texts = rows.count()
     size = words.agg(F.count("*").alias("kinds"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
     n, kinds = size["n"] + texts, size["kinds"] + (texts > 0)
-    top = words.orderBy(F.desc("c"), "word").limit(2**bits - FIRST).collect()
+    # The least count that few enough words reach: one row per distinct count.
+    reach = words.groupBy("c").agg(F.count("*").alias("n")).withColumn("upto", F.sum("n").over(W.orderBy(F.desc("c"))))
+    least = reach.where(F.col("upto") <= 2**bits - FIRST).agg(F.min("c")).first()[0] or 2**62
+    top = sorted(words.where(F.col("c") >= least).collect(), key=lambda r: (-r["c"], bytes(r["word"])))
     head = [bytes(r["word"]) for r in top]
     counts = np.array([texts, texts, *(r["c"] for r in top)], np.int64)
     ids = spark.sparkContext.broadcast({w: k + FIRST for k, w in enumerate(head)})
@@ -246,7 +251,7 @@ def train(rows: DataFrame, text: str = "text", bits: int = BITS) -> Model:
     back_off = np.ones(len(counts))
     for r in successors.collect():  # one number for each dense id
         back_off[r["v"]] = 1 - (r["follows"] - DISCOUNT * r["kinds"]) / counts[r["v"]]
-    model = Model(words, pairs, head, counts, back_off, int(n), int(kinds), shards, bits)
+    model = Model(words, pairs, head, counts, back_off, int(n), int(kinds), shards, bits, least)
     fixed = spark.sparkContext.broadcast((counts, back_off, model.unigram(counts)))
 
     def tries(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -259,7 +264,7 @@ def train(rows: DataFrame, text: str = "text", bits: int = BITS) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array([shard.as_py()], pa.int32()), pa.array([trie.to_bytes()], pa.binary())], names=["shard", "trie"])
 
     stored_tries = stored(pairs.select("shard", "keys", "counts").mapInArrow(tries, "shard int, trie binary"), "lm-tries")
-    return Model(words, stored_tries, head, counts, back_off, int(n), int(kinds), shards, bits)
+    return Model(words, stored_tries, head, counts, back_off, int(n), int(kinds), shards, bits, least)
 
 
 def _requests(docs: DataFrame, model: Model, ids, what: str) -> DataFrame:
@@ -387,9 +392,7 @@ def _rare_sums(docs: DataFrame, model: Model, ids) -> DataFrame:
 
         return _sums(requests, value_of)
 
-    least = int(model.counts[-1]) if len(model.counts) == 2**model.bits else 0
-    rare = model.words.where(F.col("c") <= least) if least else model.words.where("c < 0")
-    dealt = rare.select((F.crc32("word") % model.word_shards).cast("int").alias("shard"), "word", "c")
+    dealt = model.words.where(F.col("c") < model.least).select((F.crc32("word") % model.word_shards).cast("int").alias("shard"), "word", "c")
     return dealt.groupBy("shard").cogroup(_requests(docs, model, ids, "rare").groupBy("shard")).applyInArrow(answer, ANSWER)
 
 

@@ -79,8 +79,9 @@ def expected_scores(texts, train, head_size):
     found = {k: re.findall(r"[^\x20\x09-\x0D]+", t) + [None] for k, t in lower.items()}
     c = Counter(w for k in train for w in found[k])
     n, kinds = sum(c.values()), len(c)
-    ranked = sorted(((w, m) for w, m in c.items() if w is not None), key=lambda x: (-x[1], x[0].encode()))
-    head = {w for w, _ in ranked[: head_size - 2]} | {None, 0}
+    ranked = sorted((m for w, m in c.items() if w is not None), reverse=True)
+    over = ranked[head_size - 2] if len(ranked) > head_size - 2 else 0  # words of one count are in or out together
+    head = {w for w, m in c.items() if w is not None and m > over} | {None, 0}
     pairs = Counter(p for k in train for p in zip([0, *found[k]], found[k]) if p[0] in head and p[1] in head)
     context = {**c, 0: len(train)}
     follows, successors = Counter(), Counter()
