@@ -9,18 +9,21 @@ shingles reaches a bound; the result is the connected components of the links.
   that common passages hardly ever propose a pair.
 * Index lists hold (size, position) and are cut into blocks by size: pairs whose
   sizes or positions rule a link out are skipped with their blocks.
-* Set relations: each set is first compared with one leading set of its lists.
-  The computed answers then decide most other pairs: for x and y with known
-  overlaps with the same r, |x&y| is at least |x&r| + |y&r| - |r| and at most
-  |y&r| + |x| - |x&r|. Sets that are already connected need no pair at all, so a
-  group of thousands of copies costs one comparison each. Only pairs that are
-  left are computed from the sets themselves.
+* Set relations: each set proposes the leading sets of its lists; what proposals
+  connect is a cluster of similar sets. In a cluster one set's answers are
+  computed, and they bound those of the others: for x and y with known overlaps
+  with r, |x&y| is at most |y&r| + |x| - |x&r|. A set is computed only where the
+  bounds and the connections so far leave a link open, and only links that connect
+  are given, so that thousands of copies give as many rows, not as many squared.
+* Pairs of different clusters are counted on their lists, and those that the
+  counts leave open are computed from the sets themselves.
 
 No cap, no sample: every pair that could link is decided, in one of these ways.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import stored
 from marquee.llm.graph import components
+from marquee.llm.succinct import EliasFano
 
 WORDS = 5
 #: A link from 75 of 100 on.
@@ -39,16 +43,22 @@ SIMILARITY = (75, 100)
 #: Common shingles that are moved to the end of the order, at most: those with
 #: the highest counts. Any choice gives the same links; this bounds a broadcast.
 MAX_COMMON = 200_000
-COMMON_FROM = 24
+COMMON_FROM = 16
+#: First bits of a shingle's hash by which it is counted; bytes of text whose
+#: shingles are counted in one task, and shingles that are passed on together.
+FINGERPRINT, COUNT_BYTES, FLUSH_SHINGLES = 46, 64 * 2**20, 4_000_000
 #: Postings of one list, about, that are looked at together.
 LIST_ROWS = 20_000
+#: Shingles, about, of the sets of a cluster that are compared together.
+BLOCK_SHINGLES = 1_000_000
 #: Entries of the memo of word hashes in a Python worker.
 MEMO = 500_000
 #: Postings of one Arrow batch, about.
 BATCH_ROWS = 200_000
 
-#: How size, position and part are packed; a set may have 2**26 shingles.
-N_SHIFT, POS_SHIFT, MAX_PARTS, PART_SHIFT = 37, 11, 2**11 - 1, 48
+#: How size, position, core (of 511) and part are packed; a set may have 2**24
+#: shingles, a prefix 2**22, a list 255 parts.
+N_SHIFT, POS_SHIFT, CORE_SHIFT, MAX_PARTS, PART_SHIFT = 39, 17, 8, 2**8 - 1, 48
 #: Bits of the filter that keeps texts of unwanted documents from being moved.
 FILTER_BITS = 2**24
 
@@ -102,48 +112,72 @@ def least_overlap(nx: Column, ny: Column, similarity: tuple[int, int] = SIMILARI
     return F.ceil(F.lit(num) * (nx + ny) / F.lit(num + den))
 
 
-def _summaries(docs: DataFrame, key: str, text: str, size: int, similarity: tuple[int, int]) -> DataFrame:
-    """A row (key, sid, n) per document, and rows (token, n) of prefix shingles found twice or more in a task."""
+def _summaries(docs: DataFrame, key: str, text: str, size: int, similarity: tuple[int, int], bits: int) -> DataFrame:
+    """A row (doc, sid, n) per document, and rows (bucket, keys): fingerprints of shingles, to be counted.
+
+    Counted are twice as many of a set's first shingles as its prefix has, 64 at
+    least. A bucket is the first ``bits`` of a fingerprint, the rest is packed. A
+    set that recurs in a task is counted once there.
+    """
+    names = ["doc", "sid", "n", "bucket", "keys"]
+    below = np.uint64(FINGERPRINT - bits)
+
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: list[np.ndarray] = []
-        held, tokens, times = 0, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        held: list[np.ndarray] = []
+        size_held = 0
         seen: set[int] = set()
 
-        def summed(tokens, times):
-            new, n = np.unique(np.concatenate(counts) if counts else np.zeros(0, np.uint64), return_counts=True)
-            both, weights = np.concatenate([tokens, new]), np.concatenate([times, n])
-            own, at = np.unique(both, return_inverse=True)
-            return own, np.bincount(at, weights, len(own)).astype(np.int64)
+        def counted() -> pa.RecordBatch:
+            prints = np.sort(np.concatenate(held))
+            buckets = (prints >> below).astype(np.int64)
+            ends = np.searchsorted(buckets, np.arange(2**bits + 1))
+            rows = [(k, prints[ends[k] : ends[k + 1]]) for k in range(2**bits) if ends[k] < ends[k + 1]]
+            packed = [EliasFano.of(p & np.uint64((1 << int(below)) - 1), 1 << int(below)).to_bytes() for _, p in rows]
+            nothing = pa.nulls(len(rows), pa.int64())
+            return pa.RecordBatch.from_arrays([nothing, nothing, nothing, pa.array([k for k, _ in rows], pa.int32()), pa.array(packed, pa.binary())], names=names)
 
         for batch in stream:
-            ids, ns, sids = [], [], []
-            for key_, value in zip(batch.column(0), batch.column(1)):
+            ns, sids = [], []
+            for value in batch.column(1):
                 s = shingle_set(value.as_py(), size)
                 sid = set_id(s) if len(s) else None
-                ids.append(key_)
                 ns.append(len(s))
                 sids.append(sid)
                 if len(s) and sid not in seen:
                     if len(seen) < MEMO:
                         seen.add(sid)
-                    counts.append(s[: prefix_length(len(s), similarity)])
-                    held += len(counts[-1])
-                    if held > 4_000_000:
-                        tokens, times = summed(tokens, times)
-                        tokens, times = tokens[times > 1], times[times > 1]  # what is frequent comes again
-                        counts, held = [], 0
-            nothing = pa.nulls(len(ids), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(sids, pa.int64()), pa.array(ns, pa.int64()), nothing], names=["doc", "sid", "n", "token"])
-        tokens, times = summed(tokens, times)
-        tokens, times = tokens[times > 1], times[times > 1]
-        nothing = pa.nulls(len(tokens), pa.int64())
-        yield pa.RecordBatch.from_arrays([nothing, nothing, pa.array(times), pa.array(tokens.view(np.int64))], names=["doc", "sid", "n", "token"])
-
-    return docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text)).mapInArrow(batches, "doc bigint, sid bigint, n bigint, token bigint")
+                    held.append(s[: max(64, 2 * prefix_length(len(s), similarity))] >> np.uint64(64 - FINGERPRINT))
+                    size_held += len(held[-1])
+                    if size_held > FLUSH_SHINGLES:
+                        yield counted()
+                        held, size_held = [], 0
+            nothing = pa.nulls(len(ns), pa.int32()), pa.nulls(len(ns), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sids, pa.int64()), pa.array(ns, pa.int64()), *nothing], names=names)
+        if held:
+            yield counted()
+
+    return docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text)).mapInArrow(batches, "doc bigint, sid bigint, n bigint, bucket int, keys binary")
+
+
+def _common(summaries: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of the most common shingles, sorted, and their counts."""
+    def count(table: pa.Table) -> pa.Table:
+        keys = np.sort(np.concatenate([EliasFano.opened(np.frombuffer(v.as_buffer(), np.uint8))[0].all() for v in table.column("keys")]))
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        n = np.diff(np.append(first, len(keys)))
+        often = n >= COMMON_FROM
+        bucket = table.column("bucket")[0].as_py() << (FINGERPRINT - bits)
+        return pa.table([pa.array(keys[first[often]].astype(np.int64) + bucket), pa.array(n[often])], names=["print", "n"])
+
+    counted = summaries.where(F.col("keys").isNotNull()).select("bucket", "keys").groupBy("bucket").applyInArrow(count, "print bigint, n bigint")
+    best = sorted((r["print"], r["n"]) for r in counted.orderBy(F.desc("n"), "print").limit(MAX_COMMON).collect())
+    return np.array([p for p, _ in best], np.uint64), np.array([n for _, n in best], np.int64)
 
 
 def _postings(docs: DataFrame, text: str, common, size: int, similarity: tuple[int, int]) -> DataFrame:
-    """Rows (list, sid, meta) of the first shingles of each set; ``meta`` packs size, position and part.
+    """Rows (list, sid, meta) of the first shingles of each set; ``meta`` packs size, position, core and part.
+
+    Core is the share of common shingles in the set.
 
     ``common``: a broadcast of common shingles, sorted, and their counts. Their
     lists are dealt out into parts from 1; whole ones are part 0. A set that
@@ -171,16 +205,18 @@ def _postings(docs: DataFrame, text: str, common, size: int, similarity: tuple[i
                 if len(seen) < MEMO:
                     seen.add(sid)
                 length = prefix_length(n, similarity)
-                part = np.zeros(length, np.int64)
+                part, core = np.zeros(length, np.int64), 0
                 if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, tokens), len(frequent) - 1)
-                    often = np.where(frequent[at] == tokens, counts[at], 0)
+                    prints = tokens >> np.uint64(64 - FINGERPRINT)
+                    at = np.minimum(np.searchsorted(frequent, prints), len(frequent) - 1)
+                    often = np.where(frequent[at] == prints, counts[at], 0)
+                    core = int(511 * (often > 0).mean())
                     order = np.argsort(often, kind="stable")[:length]
                     tokens = tokens[order]
                     parts = np.minimum(often[order] // LIST_ROWS, MAX_PARTS - 1)
                     part = np.where(parts > 0, 1 + sid % (1 + parts), 0)
                 lists = tokens[:length].view(np.int64) ^ (part << PART_SHIFT)
-                meta = n << N_SHIFT | np.arange(length, dtype=np.int64) << POS_SHIFT | part
+                meta = n << N_SHIFT | np.arange(length, dtype=np.int64) << POS_SHIFT | core << CORE_SHIFT | part
                 out.append((lists, np.full(length, sid, np.int64), meta))
                 rows += length
                 if rows > BATCH_ROWS:
@@ -205,12 +241,11 @@ def _only(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     return rows.where(F.col("marks").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int"))) != 0).select("doc", "text")
 
 
-def _overlaps(pairs: DataFrame, members: DataFrame, docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """``pairs`` (x, y) with ``nx``, ``ny`` and ``overlap``, computed from the texts of one document of each set."""
+def _sets(wanted: DataFrame, members: DataFrame, docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """``wanted`` (sid and others) with ``tokens``, each set made anew from the text of one document that has it."""
     one = members.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min("doc").alias("doc"))
-    needs = pairs.select(F.col("x").alias("sid"), "y").unionByName(pairs.select(F.col("y").alias("sid"), "y"))
-    wanted = stored(needs.groupBy("sid").agg(F.collect_set("y").alias("ys")).join(one, "sid"), "jaccard-wanted")
-    texts = _only(docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text")), wanted)
+    found = stored(wanted.select("sid").distinct().join(one, "sid"), "jaccard-wanted")
+    texts = _only(docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text")), found)
 
     def read(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
@@ -218,15 +253,88 @@ def _overlaps(pairs: DataFrame, members: DataFrame, docs: DataFrame, key: str, t
             for k, (sid, value) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
                 tokens = shingle_set(value.as_py(), size)
                 if len(tokens) and set_id(tokens) == sid:  # an id may stand for several texts
-                    keep.append(k)
+                    keep.append(sid)
                     sets.append(tokens.tobytes())
-            part = batch.take(pa.array(keep, pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(2), pa.array(sets, pa.binary())], names=["sid", "ys", "tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(sets, pa.binary())], names=["sid", "tokens"])
+
+    read_once = found.join(texts, "doc").select("sid", "text").mapInArrow(read, "sid bigint, tokens binary")
+    return wanted.join(read_once.dropDuplicates(["sid"]), "sid")
+
+
+def cluster_links(sets: list[np.ndarray], similarity: tuple[int, int] = SIMILARITY) -> list[tuple[int, int]]:
+    """Links (places in ``sets``) that connect whatever the links among these sets connect.
+
+    Sets are taken by how common their shingles are here, so that the text that
+    others were made from comes first. Its overlaps with all others are computed;
+    for each further set they bound every overlap, and a set is computed only if
+    some set that it is not yet connected with may reach the similarity.
+    """
+    num, den = similarity
+    sizes = np.array([len(s) for s in sets])
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    _, token, counts = np.unique(flat, return_inverse=True, return_counts=True)
+    lists = owner[np.argsort(token, kind="stable")]
+    starts = np.cumsum(counts) - counts
+    core = np.bincount(owner, counts[token]) / sizes
+    ends = np.cumsum(sizes)
+    need = -(-num * (sizes[:, None] + sizes[None, :]) // (num + den)) if len(sets) <= 512 else None
+    label, links, known = np.arange(len(sets)), [], []
+    for x in np.lexsort((-sizes, -core)):
+        apart = label != label[x]
+        if not apart.any():
+            break
+        least = need[x] if need is not None else -(-num * (sizes[x] + sizes) // (num + den))
+        most = np.minimum(sizes[x], sizes)
+        for of, overlap in known:
+            most = np.minimum(most, np.minimum(overlap + sizes[x] - overlap[x], overlap[x] + sizes - overlap))
+        if not (apart & (most >= least)).any():
+            continue
+        own = token[ends[x] - sizes[x] : ends[x]]
+        n = counts[own]
+        at = np.repeat(starts[own] - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+        overlap = np.bincount(lists[at], minlength=len(sets))
+        if len(known) < 4:
+            known.append((x, overlap))
+        for y in np.flatnonzero(apart & (overlap >= least)):
+            if label[y] != label[x]:
+                links.append((int(x), int(y)))
+                label[label == label[y]] = label[x]
+    return links
+
+
+def _linked_in_clusters(clusters: DataFrame, members: DataFrame, docs: DataFrame, key: str, text: str, size: int, similarity: tuple[int, int]) -> DataFrame:
+    """Links (a, b) among the sets of each cluster (node, root).
+
+    A cluster is cut into blocks of about ``BLOCK_SHINGLES``; each two of them, and
+    each alone, are one group, so that no group grows with its cluster.
+    """
+    sized = members.where(F.col("sid").isNotNull()).select("sid", "n").distinct()
+    rows = clusters.select(F.col("node").alias("sid"), "root").join(sized, "sid")
+    volume = rows.groupBy("root").agg(F.ceil(F.sum("n") / F.lit(BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    rows = rows.join(volume, "root").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    rows = _sets(rows.select("sid", "root", "block", "blocks"), members, docs, key, text, size)
+    rows = stored(rows, "jaccard-tokens").select("sid", "root", "block", "tokens", other.alias("other"))
+    rows = rows.select("sid", "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "tokens")
+
+    def link(table: pa.Table) -> pa.Table:
+        table = table.sort_by("sid")
+        sets = [np.frombuffer(v.as_py(), np.uint64) for v in table.column("tokens")]
+        sids = table.column("sid").to_pylist()
+        found = cluster_links(sets, similarity) if len(sets) > 1 else []
+        return pa.table([pa.array([sids[x] for x, _ in found], pa.int64()), pa.array([sids[y] for _, y in found], pa.int64())], names=["a", "b"])
 
-    rows = wanted.join(texts, "doc").select("sid", "text", "ys")
-    sets = stored(rows.mapInArrow(read, "sid bigint, ys array<bigint>, tokens binary"), "jaccard-tokens")
+    return rows.groupBy("root", "low", "high").applyInArrow(link, "a bigint, b bigint")
+
+
+def _overlaps(pairs: DataFrame, members: DataFrame, docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """``pairs`` (x, y) with ``nx``, ``ny`` and ``overlap``, computed from the texts of one document of each set."""
+    needs = pairs.select(F.col("x").alias("sid"), "y").unionByName(pairs.select(F.col("y").alias("sid"), "y"))
+    wanted = needs.groupBy("sid").agg(F.collect_set("y").alias("ys"))
+    sets = stored(_sets(wanted, members, docs, key, text, size), "jaccard-tokens")
     left = sets.select(F.col("sid").alias("x"), F.explode("ys").alias("y"), F.col("tokens").alias("a")).where("x != y")
-    right = sets.where(F.array_contains("ys", F.col("sid"))).select(F.col("sid").alias("y"), F.col("tokens").alias("b")).dropDuplicates(["y"])
+    right = sets.where(F.array_contains("ys", F.col("sid"))).select(F.col("sid").alias("y"), F.col("tokens").alias("b"))
 
     def meet(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
@@ -249,6 +357,10 @@ def _size_class(n: Column, similarity: tuple[int, int], shift: float = 0.0) -> C
     return F.floor(F.log(n) / F.log(F.lit(den / num)) + shift).cast("int")
 
 
+def _part() -> Column:
+    return F.col("meta").bitwiseAND(F.lit(2**CORE_SHIFT - 1))
+
+
 def _n() -> Column:
     return F.shiftright("meta", N_SHIFT)
 
@@ -256,17 +368,20 @@ def _n() -> Column:
 def _lists(postings: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Postings of lists that several sets share, with the leading sets of the list.
 
-    Leading is the smallest id among sets of one size class. Classes come in two
-    kinds with shifted borders, so that no group is cut by both. All of it is
-    done on one exchange by list, in which common lists are cut into parts.
+    Leading is, among sets of one size class, that with the largest core: of a
+    text and its altered copies this is the text itself, which links with more of
+    them than they do with each other. Classes come in two kinds with shifted
+    borders, so that no group is cut by both. All of it is done on one exchange by
+    list, in which common lists are cut into parts.
     """
     whole = W.partitionBy("list")
-    split = F.col("meta").bitwiseAND(F.lit(2**POS_SHIFT - 1)) > 0
+    split = _part() > 0
     seen = postings.withColumn("low", F.min("sid").over(whole)).withColumn("high", F.max("sid").over(whole))
     live = seen.where((F.col("low") != F.col("high")) | split).select("list", "sid", "meta").distinct()
     for kind in (0, 1):
         live = live.withColumn(f"class_{kind}", _size_class(_n(), similarity, kind / 2))
-        live = live.withColumn(f"lead_{kind}", F.min("sid").over(W.partitionBy("list", f"class_{kind}")))
+        order = F.struct(F.shiftright("meta", CORE_SHIFT).bitwiseAND(F.lit(2 ** (POS_SHIFT - CORE_SHIFT) - 1)).alias("core"), F.col("sid"))
+        live = live.withColumn(f"lead_{kind}", F.max(order).over(W.partitionBy("list", f"class_{kind}"))["sid"])
     return live.select("list", "sid", "meta", "lead_0", "lead_1")
 
 
@@ -279,8 +394,7 @@ def _leading(live: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     rows = live.select("sid", _n().alias("n"), F.inline(kinds)).where("sid != y")
     counted = rows.groupBy("sid", "kind", "y").agg(F.count("*").alias("c"), F.first("n").alias("n"))
     best = counted.where(20 * F.col("c") >= F.col("n")).groupBy(F.col("sid").alias("x"), "kind").agg(F.max(F.struct("c", "y")).alias("best"))
-    part = F.col("meta").bitwiseAND(F.lit(2**POS_SHIFT - 1))
-    leaders = live.where(part > 0).where("sid = lead_0").select(_token().alias("token"), _size_class(_n(), similarity).alias("class"), F.col("sid").alias("x")).distinct()
+    leaders = live.where(_part() > 0).where("sid = lead_0").select(_token().alias("token"), _size_class(_n(), similarity).alias("class"), F.col("sid").alias("x")).distinct()
     first = leaders.groupBy("token", "class").agg(F.min("x").alias("y"))
     across = leaders.join(first, ["token", "class"]).where("x != y").select("x", "y")
     return best.select("x", F.col("best.y").alias("y")).unionByName(across).distinct()
@@ -288,11 +402,11 @@ def _leading(live: DataFrame, similarity: tuple[int, int]) -> DataFrame:
 
 def _token() -> Column:
     """The shingle of a list, whatever its part."""
-    return F.col("list").bitwiseXOR(F.shiftleft(F.col("meta").bitwiseAND(F.lit(2**POS_SHIFT - 1)), PART_SHIFT))
+    return F.col("list").bitwiseXOR(F.shiftleft(_part(), PART_SHIFT))
 
 
 def _left_over(live: DataFrame, labels: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (x, y, nx, ny) of unconnected sets that could link by sizes, positions and counts."""
+    """Pairs (x, y) of sets of different clusters that could link by sizes, positions and counts."""
     rows = live.select(_token().alias("token"), "sid", "meta").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
     rows = rows.withColumn("root", F.coalesce("root", "sid"))
     apart = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
@@ -302,26 +416,15 @@ def _left_over(live: DataFrame, labels: DataFrame, similarity: tuple[int, int])
     )
     rest = F.ceil(F.lit(num) * F.col("n") / F.lit(den)) - 1
     rows = rows.withColumn("class", _size_class(F.col("n"), similarity)).withColumn("rest", rest)
-    a = rows.select("token", "class", *[F.col(c).alias(f"{c}_x") for c in ("sid", "n", "pos", "root", "rest")])
-    b = rows.select("token", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"), *[F.col(c).alias(f"{c}_y") for c in ("sid", "n", "pos", "root", "rest")])
-    met = a.join(b, ["token", "class"]).where("root_x != root_y and (n_x < n_y or (n_x = n_y and sid_x < sid_y))")
+    a, b = (rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("sid", "n", "pos", "root", "rest", "class")]) for side in "xy")
+    # On the token alone, by which the rows lie already: no further exchange.
+    near = "class_y between class_x and class_x + 1"
+    met = a.join(b, "token").where(f"root_x != root_y and {near} and (n_x < n_y or (n_x = n_y and sid_x < sid_y))")
     least = least_overlap(F.col("n_x"), F.col("n_y"), similarity)
     reach = F.least("pos_x", "pos_y") + 1 + F.least(F.col("n_x") - F.col("pos_x") - 1, F.col("n_y") - F.col("pos_y") - 1)
     counted = met.where(reach >= least).groupBy("sid_x", "sid_y", "n_x", "n_y", "rest_x", "rest_y").agg(F.count("*").alias("c"))
     able = counted.where(F.col("c") + F.greatest("rest_x", "rest_y") >= least)
-    return able.select(F.col("sid_x").alias("x"), F.col("sid_y").alias("y"), F.col("n_x").alias("nx"), F.col("n_y").alias("ny"))
-
-
-def _derived(pairs: DataFrame, answers: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """``pairs`` with ``linked``: true or false if known answers decide, else NULL."""
-    to_x = answers.select("x", F.col("y").alias("r"), F.col("overlap").alias("ox"), F.col("ny").alias("nr"))
-    to_y = answers.select(F.col("x").alias("y"), F.col("y").alias("r"), F.col("overlap").alias("oy"))
-    bounds = pairs.join(to_x, "x").join(to_y, ["y", "r"])
-    most = F.least(F.col("oy") + F.col("nx") - F.col("ox"), F.col("ox") + F.col("ny") - F.col("oy"))
-    bounds = bounds.groupBy("x", "y").agg(F.min(most).alias("most"), F.max(F.col("ox") + F.col("oy") - F.col("nr")).alias("least"))
-    need = least_overlap(F.col("nx"), F.col("ny"), similarity)
-    verdict = F.when(F.col("least") >= need, True).when(F.col("most") < need, False)
-    return pairs.join(bounds, ["x", "y"], "left").withColumn("linked", verdict).select("x", "y", "linked")
+    return able.select(F.col("sid_x").alias("x"), F.col("sid_y").alias("y"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
@@ -332,20 +435,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     went in. NULL and empty texts have the empty set: they link with nothing and
     have their own key. No rows give no rows; other columns are not looked at.
     """
-    summaries = stored(_summaries(docs, key, text, size, similarity), "jaccard-sets")
-    members = summaries.where(F.col("token").isNull()).select("doc", "sid", "n")
-    often = summaries.where(F.col("token").isNotNull()).groupBy("token").agg(F.sum("n").alias("n")).where(F.col("n") >= COMMON_FROM)
-    common = sorted((r["token"] % 2**64, r["n"]) for r in often.orderBy(F.desc("n"), "token").limit(MAX_COMMON).collect())
-    shared = docs.sparkSession.sparkContext.broadcast((np.array([t for t, _ in common], np.uint64), np.array([n for _, n in common], np.int64)))
+    volume = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    bits = max(1, math.ceil(math.log2(max(1, volume / COUNT_BYTES))))
+    summaries = stored(_summaries(docs, key, text, size, similarity, bits), "jaccard-sets")
+    members = summaries.where(F.col("keys").isNull()).select("doc", "sid", "n")
+    shared = docs.sparkSession.sparkContext.broadcast(_common(summaries, bits))
     live = _lists(_postings(docs, text, shared, size, similarity), similarity)
     live = stored(live, "jaccard-lists")
-    answers = stored(_overlaps(_leading(live, similarity), members, docs, key, text, size), "jaccard-answers")
+    clusters = components(_leading(live, similarity).select(F.col("x").alias("a"), F.col("y").alias("b")))
+    first = _linked_in_clusters(clusters, members, docs, key, text, size, similarity)
+    pairs = stored(_left_over(live, clusters, similarity), "jaccard-pairs")
     links = F.col("overlap") >= least_overlap(F.col("nx"), F.col("ny"), similarity)
-    first = answers.where(links).select(F.col("x").alias("a"), F.col("y").alias("b"))
-    pairs = stored(_derived(_left_over(live, components(first), similarity), answers, similarity), "jaccard-pairs")
-    more = _overlaps(pairs.where("linked is null").select("x", "y"), members, docs, key, text, size).where(links)
-    edges = first.unionByName(pairs.where("linked").select(F.col("x").alias("a"), F.col("y").alias("b")))
-    edges = edges.unionByName(more.select(F.col("x").alias("a"), F.col("y").alias("b")))
+    more = _overlaps(pairs, members, docs, key, text, size).where(links)
+    edges = first.unionByName(more.select(F.col("x").alias("a"), F.col("y").alias("b")))
     roots = components(edges)
     least_doc = members.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min("doc").alias("least"))
     rooted = least_doc.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
