@@ -12,6 +12,7 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 MIN_STARS, MAX_STARS = 1, 5
+# Fixed value: the cell that holds a vote in the key-value store.
 VOTE_CELL = "cf:vote"
 
 

@@ -11,6 +11,8 @@ from marquee.functions.votes import (
     VOTE_CELL,
     is_star_vote,
     is_vote_message,
+    key_millis,
+    key_title,
     message_title,
     message_value,
     message_vote,
@@ -103,6 +105,14 @@ def recent_votes(votes: DataFrame) -> DataFrame:
     return votes.orderBy(F.desc("ts_ms"), "tconst", "msg_offset").select("tconst", "vote", "ts_ms")
 
 
+def key_parts(votes: DataFrame) -> DataFrame:
+    """The key of each vote, and the title and time read back from it."""
+    key = row_key(F.col("tconst"), F.col("ts_ms")).alias("row_key")
+    return votes.select(key).select(
+        "row_key", key_title(F.col("row_key")).alias("tconst"), key_millis(F.col("row_key")).alias("ts_ms")
+    )
+
+
 def vote_count(votes: DataFrame) -> DataFrame:
     return votes.agg(F.count("*").alias("n"))
 

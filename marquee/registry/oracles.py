@@ -249,6 +249,10 @@ SELECTS = {
         select * from (select tconst || '_' || ts_ms as row_key, vote from votes)
         where row_key >= '{TITLE_ID}' and contains(row_key, '{TITLE_ID}')""",
     "recent_votes": "select tconst, vote, ts_ms from votes order by ts_ms desc, tconst",
+    "vote_key_parts": """
+        select row_key, split_part(row_key, '_', 1) as tconst,
+               try_cast(split_part(row_key, '_', 2) as bigint) as ts_ms
+        from (select tconst || '_' || cast(ts_ms as varchar) as row_key from votes)""",
     "vote_count": "select count(*) as n from votes",
     "vote_totals": "select * from vote_totals",
     "stored_vote_totals": """

@@ -246,6 +246,10 @@ def _recent_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return votes.recent_votes(_votes(spark, sf_dir))
 
 
+def _vote_key_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return votes.key_parts(_votes(spark, sf_dir))
+
+
 def _vote_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return votes.vote_count(_votes(spark, sf_dir))
 
@@ -436,6 +440,7 @@ QUERIES: dict[str, Query] = {
     "vote_latest": _vote_latest,
     "vote_range_scan": _vote_range_scan,
     "recent_votes": _recent_votes,
+    "vote_key_parts": _vote_key_parts,
     "vote_count": _vote_count,
     "vote_totals": _vote_totals,
     "stored_vote_totals": _stored_vote_totals,

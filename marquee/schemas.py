@@ -83,6 +83,7 @@ COPIED_TABLES = (
 )
 # Tables with one row per key, the only ones worth bucketing by it.
 KEYED_TABLES = ("name_basics", "title_basics", "title_crew", "title_episode", "title_ratings")
+# Fixed value: the name under which queries know the partitioned titles.
 PARTITIONED_TABLE = "movies_partitioned_by_startyear"
 DUMP_SUFFIX = ".tsv.gz"
 

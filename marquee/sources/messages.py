@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Fixed value: the topic that producers write to.
 VOTE_TOPIC = "movie_vote"
 MESSAGE_SCHEMA = "msg_offset BIGINT, ts TIMESTAMP, value STRING"
 
