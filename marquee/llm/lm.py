@@ -1,17 +1,20 @@
 """Scores texts with a bigram model held in Elias-Fano tries.
 
-Words are counted over all training texts. The most frequent ones, a fixed
-number, get dense ids; successions of two of these are counted and smoothed by
-absolute discounting, interpolated with the add-one unigram model, which scores
-all other words. P(w | v) = (c(v,w) - D) / c(v) + g(v) P(w), with
+Words and successions of two words are counted over all training texts and
+smoothed by absolute discounting, interpolated with the add-one unigram model.
+P(w | v) = (c(v,w) - D) / c(v) + g(v) P(w), with
 g(v) = 1 - sum over stored w of (c(v,w) - D) / c(v), sums to one over w.
 
-Pairs are dealt to shards by hash, so that no word's successors need fit into
-one place. Each shard's pairs make a trie of monotone levels with quantised
+The most frequent words, a fixed number, get dense ids; every other word has 63
+bits of its hash. Ids decide only where a pair is counted, never whether.
+
+Pairs of frequent words are dealt to shards by hash, so that no word's successors
+need fit into one place, all others by a rare word in them, which cannot have
+many. Each shard's pairs make a trie of monotone levels with quantised
 probabilities. Texts are not moved: a task sends each shard the pairs that its
 texts hold, once each, with the places where they occur; the shard looks them up
 in its memory-mapped trie and answers with one sum per text. The rare words'
-counts are asked for in the same way.
+counts are asked for in the same way, as words.
 """
 
 from __future__ import annotations
@@ -21,10 +24,11 @@ import tempfile
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -45,6 +49,8 @@ FLUSH_TOKENS, GROUP_TOKENS = 2_000_000, 8_000_000
 PAIR_SHARDS = 16
 #: Flushes whose counts are merged in one task.
 FAN_IN = 64
+#: The bit that sets hashed ids apart from dense ones, and the seed of Spark's hash.
+HASHED, SEED = 2**63, 42
 #: Words counted in a task before they are passed on.
 FLUSH_WORDS = 500_000
 
@@ -56,7 +62,9 @@ def tokens(text: str | None) -> list[bytes]:
 
 @dataclass(frozen=True)
 class Model:
-    """``words`` (word, c) and ``tries`` (shard, trie) are stored tables; the rest is of fixed size.
+    """``words`` (word, c), ``tries`` (shard, trie), ``rest`` (shard, ids, trie: pairs with a
+    rare word) and ``kinds`` (id, kinds: of what follows a rare word) are stored tables, the last
+    two None if such pairs were not asked for; all else is of fixed size.
 
     ``head``: words with a count of ``least`` or more in order of their ids; ``counts``: of each id as a
     token (START: as a context); ``back_off``: g(v) of each id, 1 where nothing is
@@ -65,6 +73,8 @@ class Model:
 
     words: DataFrame
     tries: DataFrame
+    rest: DataFrame | None
+    kinds: DataFrame | None
     head: list[bytes]
     counts: np.ndarray
     back_off: np.ndarray
@@ -148,6 +158,138 @@ def _ids(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
     return out
 
 
+def _own_ids(words: list[bytes], known: dict[bytes, int], own: dict[bytes, int]) -> np.ndarray:
+    """As ``_ids``; a rare word has -1 less its number in ``own``, which takes it up."""
+    out = np.empty(len(words) + 2, np.int64)
+    out[0], out[-1] = START, END
+    out[1:-1] = [-1 - own.setdefault(w, len(own)) if (k := known.get(w)) is None else k for w in words]
+    return out
+
+
+def _hashed(own: dict[bytes, int]) -> np.ndarray:
+    """Ids of rare words, below zero."""
+    return (np.array([xxhash.xxh64_intdigest(w, SEED) for w in own], np.uint64) | np.uint64(HASHED)).view(np.int64)
+
+
+def _hashed_column(word: str) -> Column:
+    return F.xxhash64(word).bitwiseOR(F.lit(-HASHED))
+
+
+def _lasting(ids: np.ndarray, hashed: np.ndarray) -> np.ndarray:
+    """Ids with the hashes of rare words in place of their numbers."""
+    out = ids.copy()
+    out[ids < 0] = hashed[-1 - ids[ids < 0]]
+    return out
+
+
+def _rare_shard(ids: np.ndarray, shards: int) -> np.ndarray:
+    return (ids & (HASHED - 1)) % shards
+
+
+def _grouped(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, its places)."""
+    order = np.argsort(shard, kind="stable")
+    names, sizes = _runs(shard[order]) if len(shard) else (shard, [])
+    yield from zip(names.tolist(), np.split(order, np.cumsum(sizes)[:-1]) if len(shard) else [])
+
+
+def _local(v: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """Distinct ids of pairs, the pairs as places among these, and the bits of a place."""
+    ids, at = np.unique(np.concatenate([v, w]), return_inverse=True)
+    bits = len(ids).bit_length()
+    return ids, (at[: len(v)] << bits | at[len(v) :]).astype(np.uint64), bits
+
+
+def _pairs_of(ids: bytes, keys: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """First and second ids of pairs that were kept as places."""
+    names = _spread(ids, "<i8")
+    v, w = _split(_unpacked(keys), len(names).bit_length())
+    return names[v], names[w]
+
+
+def _rest_counts(train: DataFrame, text: str, head, shards: int) -> DataFrame:
+    """(shard, ids, keys, counts): pairs with a rare word of one flush, dealt by the first such word."""
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, own, held, size = head.value, {}, [], 0
+
+        def out() -> pa.RecordBatch:
+            hashed, rows = _hashed(own), []
+            v, w = (_lasting(np.concatenate(part), hashed) for part in zip(*held))
+            for shard, at in _grouped(_rare_shard(np.where(v < 0, v, w), shards)):
+                ids, keys, bits = _local(v[at], w[at])
+                distinct, n = _runs(np.sort(keys))
+                rows.append((shard, _squeezed(ids, "<i8"), _packed(distinct, bits), _squeezed(n, "<u8")))
+            columns = list(zip(*rows)) or [[]] * 4
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["shard", "ids", "keys", "counts"])
+
+        for batch in stream:
+            for value in batch.column(0):
+                ids = _own_ids(tokens(value.as_py()), known, own)
+                rest = (ids[:-1] < 0) | (ids[1:] < 0)
+                held.append((ids[:-1][rest], ids[1:][rest]))
+                size += len(held[-1][0])
+                if size > FLUSH_TOKENS:
+                    yield out()
+                    own, held, size = {}, [], 0
+        if held:
+            yield out()
+
+    return train.select(text).mapInArrow(batches, "shard int, ids binary, keys binary, counts binary")
+
+
+CONTEXTS = "shard int, ids binary, keys binary, counts binary, kinds binary, v array<bigint>, v_kinds array<bigint>, v_follows array<bigint>"
+
+
+def _contexts(table: pa.Table, shards: int) -> pa.Table:
+    """One shard's pairs, counted and dealt on by the second word if that is rare.
+
+    ``kinds``: of what follows each pair's first word, if that is rare: its pairs
+    are all in one shard. ``v``, ``v_kinds`` and ``v_follows``: of each first word here.
+    """
+    pieces = [_pairs_of(*(c.as_py() for c in row)) for row in zip(table.column("ids"), table.column("keys"))]
+    v, w = (np.concatenate(part) for part in zip(*pieces))
+    counts = np.concatenate([_spread(c.as_py(), "<u8") for c in table.column("counts")]).astype(np.int64)
+    ids, keys, bits = _local(v, w)
+    order = np.argsort(keys, kind="stable")
+    distinct, n = _runs(keys[order])
+    sums = np.add.reduceat(counts[order], np.concatenate([[0], np.cumsum(n)[:-1]]))
+    v, w = (ids[part] for part in _split(distinct, bits))
+    firsts, kinds = _runs(v)
+    follows = np.add.reduceat(sums, np.concatenate([[0], np.cumsum(kinds)[:-1]]))
+    of_pair, rows, stats = np.repeat(kinds, kinds), [], [x.tolist() for x in (firsts, kinds, follows)]
+    for shard, at in _grouped(_rare_shard(np.where(w < 0, w, v), shards)):
+        ids, keys, bits = _local(v[at], w[at])
+        order = np.argsort(keys)
+        rows.append((shard, _squeezed(ids, "<i8"), _packed(keys[order], bits), _squeezed(sums[at][order], "<u8"), _squeezed(of_pair[at][order], "<u8"), *stats))
+        stats = [None] * 3
+    columns = list(zip(*rows))
+    types = [pa.int32(), *[pa.binary()] * 4, *[pa.list_(pa.int64())] * 3]
+    names = ["shard", "ids", "keys", "counts", "kinds", "v", "v_kinds", "v_follows"]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names)
+
+
+def _rest_trie(table: pa.Table, fixed, unigram_of: Callable[[np.ndarray], np.ndarray]) -> pa.Table:
+    """One shard's trie: by how much log10 P(w | v) is above log10 g(v) P(w).
+
+    All pairs before a rare word are in its shard, and so is its count.
+    """
+    context, back_off, unigram = fixed
+    pieces = [_pairs_of(*(c.as_py() for c in row)) for row in zip(table.column("ids"), table.column("keys"))]
+    v, w = (np.concatenate(part) for part in zip(*pieces))
+    counts, kinds = (np.concatenate([_spread(c.as_py(), "<u8") for c in table.column(name)]).astype(np.int64) for name in ("counts", "kinds"))
+    ids, keys, bits = _local(v, w)
+    order = np.argsort(keys)
+    keys, v, w, counts, kinds = (x[order] for x in (keys, v, w, counts, kinds))
+    first, second = _split(keys, bits)
+    alone = unigram_of(np.bincount(second, counts, len(ids)))[second]
+    alone[w >= 0] = unigram[w[w >= 0]]
+    mass = DISCOUNT * kinds
+    mass[v >= 0] = (context * back_off)[v[v >= 0]]
+    codes = quantised(-np.log10(1 + (counts - DISCOUNT) / (mass * 10.0**alone)))
+    trie = NgramTrie.of(np.stack([first, second], 1), codes, 2**bits)
+    return pa.table([table.column("shard").slice(0, 1), pa.array([ids.astype("<i8").tobytes()], pa.binary()), pa.array([trie.to_bytes()], pa.binary())], names=["shard", "ids", "trie"])
+
+
 def _pair_counts(train: DataFrame, text: str, head, shards: int, bits: int) -> DataFrame:
     """(shard, keys, counts): pairs of one flush, their keys packed."""
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -226,13 +368,16 @@ def restored(codes: np.ndarray) -> np.ndarray:
     return codes.astype(float) / CODES * LOWEST
 
 
-def train(rows: DataFrame, text: str = "text", bits: int = BITS) -> Model:
+def train(rows: DataFrame, text: str = "text", bits: int | None = None) -> Model:
     """A model of all texts of ``rows``; NULL texts are empty and still end.
 
-    The driver gets the most frequent words, fewer than 2**bits, and one number
-    for each of them; words of one count are all among them or none. Without rows every word has the probability of an unseen one.
+    The driver gets the most frequent words, fewer than 2**BITS, and one number
+    for each of them; words of one count are all among them or none. All pairs are
+    counted. Only if ``bits`` is given, pairs are those of the fewer than 2**bits most
+    frequent words. Without rows every word has the probability of an unseen one.
     """
-    spark = rows.sparkSession
+    spark, whole = rows.sparkSession, bits is None
+    bits = BITS if whole else bits
     words = stored(_word_counts(rows, text), "lm-words")
     texts = rows.count()
     size = words.agg(F.count("*").alias("kinds"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
@@ -247,11 +392,19 @@ def train(rows: DataFrame, text: str = "text", bits: int = BITS) -> Model:
     parts = _pair_counts(rows, text, ids, PAIR_SHARDS, bits)
     pairs = stored(_pairs(parts, math.ceil(n / FLUSH_TOKENS), bits), "lm-pairs")
     shards = max(PAIR_SHARDS, math.ceil(n / GROUP_TOKENS))
-    successors = pairs.select(F.inline(F.arrays_zip("v", "kinds", "follows"))).groupBy("v").agg(F.sum("kinds").alias("kinds"), F.sum("follows").alias("follows"))
+    successors = pairs.select(F.inline(F.arrays_zip("v", "kinds", "follows")))
+    rest = kinds_of = None
+    if whole:
+        counted = _rest_counts(rows, text, ids, shards).groupBy("shard")
+        rest = stored(counted.applyInArrow(lambda table: _contexts(table, shards), CONTEXTS), "lm-rest")
+        firsts = rest.where("v IS NOT NULL").select(F.inline(F.arrays_zip("v", "v_kinds", "v_follows"))).toDF("v", "kinds", "follows")
+        kinds_of = firsts.where("v < 0").select(F.col("v").alias("id"), "kinds")
+        successors = successors.unionByName(firsts.where("v >= 0"))
+    successors = successors.groupBy("v").agg(F.sum("kinds").alias("kinds"), F.sum("follows").alias("follows"))
     back_off = np.ones(len(counts))
     for r in successors.collect():  # one number for each dense id
         back_off[r["v"]] = 1 - (r["follows"] - DISCOUNT * r["kinds"]) / counts[r["v"]]
-    model = Model(words, pairs, head, counts, back_off, int(n), int(kinds), shards, bits, least)
+    model = Model(words, pairs, rest, kinds_of, head, counts, back_off, int(n), int(kinds), shards, bits, least)
     fixed = spark.sparkContext.broadcast((counts, back_off, model.unigram(counts)))
 
     def tries(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,89 +417,124 @@ def train(rows: DataFrame, text: str = "text", bits: int = BITS) -> Model:
                 yield pa.RecordBatch.from_arrays([pa.array([shard.as_py()], pa.int32()), pa.array([trie.to_bytes()], pa.binary())], names=["shard", "trie"])
 
     stored_tries = stored(pairs.select("shard", "keys", "counts").mapInArrow(tries, "shard int, trie binary"), "lm-tries")
-    return Model(words, stored_tries, head, counts, back_off, int(n), int(kinds), shards, bits, least)
+    if whole:
+        total = n + kinds + 1
+        built = rest.select("shard", "ids", "keys", "counts", "kinds").groupBy("shard")
+        rest = stored(built.applyInArrow(lambda table: _rest_trie(table, fixed.value, lambda c: np.log10((c + 1) / total)), "shard int, ids binary, trie binary"), "lm-rest-tries")
+    return replace(model, tries=stored_tries, rest=rest)
+
 
+def _answers_to(at_rows: np.ndarray, times: np.ndarray, whole: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """``times``, ``places`` and ``rows`` of a request."""
+    in_rows, local = np.unique(at_rows, return_inverse=True)
+    return _squeezed(times, "<u4"), _squeezed(local, "<u2" if len(in_rows) < 2**16 else "<u4"), whole[in_rows].tobytes()
 
-def _requests(docs: DataFrame, model: Model, ids, what: str) -> DataFrame:
-    """(shard, keys, times, places, rows): what the texts of one flush ask of a shard.
+
+def _requests(docs: DataFrame, model: Model, ids) -> DataFrame:
+    """(shard, keys, times, places, rows): what the texts of one flush ask of a shard of frequent words' pairs.
 
     ``keys`` are distinct; ``times`` says how often each occurs, ``places`` in
     which of ``rows``.
     """
     bits = model.bits
-    shards = PAIR_SHARDS if what == "pairs" else model.word_shards
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = ids.value
         names: list[int] = []
-        held: list = []
-        places: list[np.ndarray] = []
+        held: list[np.ndarray] = []
         size = 0
 
         def out() -> pa.RecordBatch:
-            where, answer = np.concatenate(places), []
-            whole = np.array(names, "<i8")
-            if what == "pairs":
-                keys = np.concatenate(held)
-                groups = [(s, at, *_runs(keys[at])) for s, at in _by_shard(keys, shards)]
-                groups = [(s, at, _packed(k, bits), n) for s, at, k, n in groups]
-            else:
-                kinds = {w: k for k, w in enumerate(dict.fromkeys(w for ws in held for w in ws))}
-                own = list(kinds)
-                shard = np.array([zlib.crc32(w) % shards for w in own], np.int64)
-                numbers = np.fromiter((kinds[w] for ws in held for w in ws), np.int64, len(where))
-                order = np.lexsort((numbers, shard[numbers])) if len(own) else np.zeros(0, np.int64)
-                ends = np.searchsorted(shard[numbers[order]], np.arange(shards + 1)) if len(own) else np.zeros(shards + 1, np.int64)
-                groups = []
-                for s in range(shards):
-                    at = order[ends[s] : ends[s + 1]]
-                    if len(at):
-                        k, n = _runs(numbers[at])
-                        groups.append((s, at, b"\n".join(own[x] for x in k), n))
-            for s, at, packed, n in groups:
-                in_rows, local = np.unique(where[at], return_inverse=True)
-                answer.append((s, packed, _squeezed(n, "<u4"), _squeezed(local, "<u2" if len(in_rows) < 2**16 else "<u4"), whole[in_rows].tobytes()))
+            keys, answer = np.concatenate(held), []
+            where, whole = np.repeat(np.arange(len(held)), [len(k) for k in held]), np.array(names, "<i8")
+            for s, at in _by_shard(keys, PAIR_SHARDS):
+                k, n = _runs(keys[at])
+                answer.append((s, _packed(k, bits), *_answers_to(where[at], n, whole)))
             columns = list(zip(*answer)) or [[]] * 5
             return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["shard", "keys", "times", "places", "rows"])
 
         for batch in stream:
             for rid, value in zip(batch.column(2).to_pylist(), batch.column(1)):
-                found = tokens(value.as_py())
-                numbers = _ids(found, known)
-                if what == "pairs":
-                    both = (numbers[:-1] >= 0) & (numbers[1:] >= 0)
-                    asked = (numbers[:-1][both] << bits | numbers[1:][both]).astype(np.uint64)
-                else:
-                    asked = [found[k] for k in np.flatnonzero(numbers[1:-1] < 0)]
+                numbers = _ids(tokens(value.as_py()), known)
+                both = (numbers[:-1] >= 0) & (numbers[1:] >= 0)
                 names.append(rid)
-                held.append(asked)
-                places.append(np.full(len(asked), len(names) - 1, np.int64))
-                size += len(asked)
+                held.append((numbers[:-1][both] << bits | numbers[1:][both]).astype(np.uint64))
+                size += len(held[-1])
                 if size > FLUSH_TOKENS:
                     yield out()
-                    names, held, places, size = [], [], [], 0
+                    names, held, size = [], [], 0
         if size:
             yield out()
 
     return docs.mapInArrow(batches, "shard int, keys binary, times binary, places binary, rows binary")
 
 
-def _sums(requests: pa.Table, value_of: Callable[[bytes], list[np.ndarray]]) -> pa.Table:
+def _rare_requests(docs: DataFrame, model: Model, ids) -> DataFrame:
+    """As ``_requests``, of rare words (``ids`` is NULL and ``keys`` are the words) and
+    of pairs with one (``keys`` are places among ``ids``), dealt by the last rare word."""
+    shards, pairs_too = model.word_shards, model.rest is not None
+
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = ids.value
+        own: dict[bytes, int] = {}
+        names: list[int] = []
+        held: list[tuple[np.ndarray, ...]] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            hashed, spelled, answer, whole = _hashed(own), list(own), [], np.array(names, "<i8")
+            rare, v, w = (np.concatenate(part) for part in zip(*held))
+            rare_row, pair_row = (np.repeat(np.arange(len(held)), [len(h[k]) for h in held]) for k in (0, 1))
+            for s, at in _grouped(_rare_shard(hashed[rare], shards)):
+                at = at[np.argsort(rare[at], kind="stable")]
+                k, n = _runs(rare[at])
+                answer.append((s, None, b"\n".join(spelled[x] for x in k), *_answers_to(rare_row[at], n, whole)))
+            v, w = _lasting(v, hashed), _lasting(w, hashed)
+            for s, at in _grouped(_rare_shard(np.where(w < 0, w, v), shards)):
+                places, keys, bits = _local(v[at], w[at])
+                order = np.argsort(keys, kind="stable")
+                k, n = _runs(keys[order])
+                answer.append((s, _squeezed(places, "<i8"), _packed(k, bits), *_answers_to(pair_row[at[order]], n, whole)))
+            columns = list(zip(*answer)) or [[]] * 6
+            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["shard", "ids", "keys", "times", "places", "rows"])
+
+        for batch in stream:
+            for rid, value in zip(batch.column(2).to_pylist(), batch.column(1)):
+                numbers = _own_ids(tokens(value.as_py()), known, own)
+                rest = np.flatnonzero((numbers[:-1] < 0) | (numbers[1:] < 0))
+                asked = rest if pairs_too else rest[:0]
+                names.append(rid)
+                held.append((-1 - numbers[numbers < 0], numbers[:-1][asked], numbers[1:][asked]))
+                size += len(rest)
+                if size > FLUSH_TOKENS:
+                    yield out()
+                    own, names, held, size = {}, [], [], 0
+        if size:
+            yield out()
+
+    return docs.mapInArrow(batches, "shard int, ids binary, keys binary, times binary, places binary, rows binary")
+
+
+ANSWER = "rid bigint, base double, score double, known bigint"
+
+
+def _sums(requests: pa.Table, value_of: Callable[[dict], tuple[np.ndarray, ...]]) -> pa.Table:
     """Per request and row: sums of what ``value_of`` says of its keys."""
-    rows, sums, known = [], [], []
-    for keys, times, places, names in zip(*(requests.column(c) for c in ("keys", "times", "places", "rows"))):
-        names = np.frombuffer(names.as_py(), "<i8")
-        local = _spread(places.as_py(), "<u2" if len(names) < 2**16 else "<u4").astype(np.int64)
-        times = _spread(times.as_py(), "<u4").astype(np.int64)
-        one, seen = value_of(keys.as_py())
-        rows.append(names)
-        sums.append(np.bincount(local, np.repeat(one, times), len(names)))
-        known.append(np.bincount(local, np.repeat(seen, times), len(names)).astype(np.int64))
-    flat = [np.concatenate(v) if v else np.zeros(0, k) for v, k in ((rows, np.int64), (sums, float), (known, np.int64))]
-    return pa.table([pa.array(v) for v in flat], names=["rid", "sum", "known"])
+    parts: list[tuple[np.ndarray, ...]] = []
+    for request in (r for batch in requests.to_batches(1) for r in batch.to_pylist()):
+        names = np.frombuffer(request["rows"], "<i8")
+        local = _spread(request["places"], "<u2" if len(names) < 2**16 else "<u4").astype(np.int64)
+        times = _spread(request["times"], "<u4").astype(np.int64)
+        parts.append((names, *(np.bincount(local, np.repeat(x, times), len(names)) for x in value_of(request))))
+    kinds = (np.int64, float, float, np.int64)
+    flat = [np.concatenate(p).astype(k) for p, k in zip(zip(*parts), kinds)] if parts else [np.zeros(0, k) for k in kinds]
+    return pa.table([pa.array(x) for x in flat], names=["rid", "base", "score", "known"])
 
 
-ANSWER = "rid bigint, sum double, known bigint"
+def _mapped_trie(data: pa.Scalar, file) -> NgramTrie:
+    file.write(data.as_buffer())
+    file.flush()
+    return NgramTrie.opened(np.memmap(file, np.uint8, "r"))
 
 
 def _pair_sums(docs: DataFrame, model: Model, ids, fixed) -> DataFrame:
@@ -357,43 +545,66 @@ def _pair_sums(docs: DataFrame, model: Model, ids, fixed) -> DataFrame:
         with tempfile.TemporaryFile() as file:
             trie = None
             for value in tries.column("trie"):
-                file.write(value.as_buffer())
-                file.flush()
-                trie = NgramTrie.opened(np.memmap(file, np.uint8, "r"))
+                trie = _mapped_trie(value, file)
 
-            def value_of(packed: bytes) -> list[np.ndarray]:
-                keys = _unpacked(packed)
+            def value_of(request: dict) -> tuple[np.ndarray, ...]:
+                keys = _unpacked(request["keys"])
                 v, w = _split(keys, bits)
                 logs = np.log10(back_off[v]) + unigram[w]
                 if trie is not None:
                     rank = trie.find(np.stack([v, w], 1))
                     hit = rank >= 0
                     logs[hit] = restored(trie.codes[rank[hit]])
-                return [logs, np.zeros(len(keys))]
+                return np.zeros(len(keys)), logs, np.zeros(len(keys))
 
             return _sums(requests, value_of)
 
     # A shard's requests are dealt to as many tasks as their number asks for.
     groups = max(1, math.ceil(model.train_tokens / (PAIR_SHARDS * GROUP_TOKENS)))
-    asked = _requests(docs, model, ids, "pairs").withColumn("part", F.pmod(F.xxhash64("rows"), F.lit(groups)).cast("int"))
+    asked = _requests(docs, model, ids).withColumn("part", F.pmod(F.xxhash64("rows"), F.lit(groups)).cast("int"))
     tries = model.tries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     return tries.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part")).applyInArrow(answer, ANSWER)
 
 
 def _rare_sums(docs: DataFrame, model: Model, ids) -> DataFrame:
-    n, kinds = model.train_tokens, model.vocabulary
+    """A rare word's own probability and its weight as a context; what stored pairs with one add to these."""
+    n, kinds, shards = model.train_tokens, model.vocabulary, model.word_shards
 
-    def answer(words: pa.Table, requests: pa.Table) -> pa.Table:
-        counts = dict(zip(words.column("word").to_pylist(), words.column("c").to_pylist()))
-
-        def value_of(packed: bytes) -> list[np.ndarray]:
-            c = np.array([counts.get(w, 0) for w in packed.split(b"\n")], np.int64)
-            return [np.log10((c + 1) / (n + kinds + 1)), (c > 0).astype(float)]
+    def answer(stock: pa.Table, requests: pa.Table) -> pa.Table:
+        words = stock.filter(stock.column("word").is_valid())
+        known = dict(zip(words.column("word").to_pylist(), zip(words.column("c").to_pylist(), words.column("kinds").to_pylist())))
+        with tempfile.TemporaryFile() as file:
+            trie = names = None
+            for place, value in zip(stock.column("ids"), stock.column("trie")):
+                if value.is_valid:
+                    trie, names = _mapped_trie(value, file), np.frombuffer(place.as_py(), "<i8")
+
+            def value_of(request: dict) -> tuple[np.ndarray, ...]:
+                if request["ids"] is None:
+                    c, follow = np.array([known.get(w, (0, 0)) for w in request["keys"].split(b"\n")], float).T
+                    base = np.log10((c + 1) / (n + kinds + 1))
+                    weight = np.where(follow > 0, DISCOUNT * follow / np.maximum(c, 1), 1.0)
+                    return base, base + np.log10(weight), (c > 0).astype(float)
+                asked = np.stack(_pairs_of(request["ids"], request["keys"]), 1)
+                more = np.zeros(len(asked))
+                if trie is not None:
+                    at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+                    there = np.flatnonzero((names[at] == asked).all(1))
+                    rank = trie.find(at[there])
+                    more[there[rank >= 0]] = -restored(trie.codes[rank[rank >= 0]])
+                return np.zeros(len(asked)), more, np.zeros(len(asked))
 
-        return _sums(requests, value_of)
+            return _sums(requests, value_of)
 
-    dealt = model.words.where(F.col("c") < model.least).select((F.crc32("word") % model.word_shards).cast("int").alias("shard"), "word", "c")
-    return dealt.groupBy("shard").cogroup(_requests(docs, model, ids, "rare").groupBy("shard")).applyInArrow(answer, ANSWER)
+    rare = model.words.where(F.col("c") < model.least).withColumn("id", _hashed_column("word"))
+    follow = rare.withColumn("kinds", F.lit(0).cast("bigint")) if model.kinds is None else rare.join(model.kinds, "id", "left")
+    shard = F.pmod(F.col("id").bitwiseAND(F.lit(HASHED - 1)), F.lit(shards)).cast("int").alias("shard")
+    stock = follow.select(shard, "word", "c", F.coalesce("kinds", F.lit(0)).cast("bigint").alias("kinds"))
+    if model.rest is None:
+        stock = stock.select("*", F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("trie"))
+    else:
+        stock = stock.unionByName(model.rest, allowMissingColumns=True)
+    return stock.groupBy("shard").cogroup(_rare_requests(docs, model, ids).groupBy("shard")).applyInArrow(answer, ANSWER)
 
 
 def _own_sums(docs: DataFrame, model: Model, ids, fixed) -> DataFrame:
@@ -433,19 +644,18 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     doc, whole = F.col(key).cast("bigint"), F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(doc.alias("doc"), whole.alias("text"), F.xxhash64(doc, whole).alias("rid"))
     own = _own_sums(rows, model, ids, fixed)
-    pairs = _pair_sums(rows, model, ids, fixed).select("rid", F.col("sum").alias("pairs"), F.lit(0.0).alias("rare"), "known")
-    rare = _rare_sums(rows, model, ids).select("rid", F.lit(0.0).alias("pairs"), F.col("sum").alias("rare"), "known")
-    asked = pairs.unionByName(rare).groupBy("rid").agg(F.sum("pairs").alias("pairs"), F.sum("rare").alias("rare"), F.sum("known").alias("known"))
+    asked = _pair_sums(rows, model, ids, fixed).unionByName(_rare_sums(rows, model, ids))
+    asked = asked.groupBy("rid").agg(F.sum("base").alias("base"), F.sum("score").alias("asked"), F.sum("known").alias("known"))
     times = rows.groupBy("rid").agg(F.count("*").alias("times"))
     met = own.join(times.join(asked, "rid", "left"), "rid")
-    share = {c: F.coalesce(F.col(c) / F.col("times"), F.lit(0.0)) for c in ("pairs", "rare", "known")}
+    share = {c: F.coalesce(F.col(c) / F.col("times"), F.lit(0.0)) for c in ("base", "asked", "known")}
     return met.select(
         F.col("doc").alias(key),
         "n_tokens",
         (F.col("n_own") + share["known"].cast("bigint")).alias("n_known"),
         F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base_own") + share["rare"]).alias("base_score"),
-        (F.col("score_own") + share["pairs"] + share["rare"]).alias("score"),
+        (F.col("base_own") + share["base"]).alias("base_score"),
+        (F.col("score_own") + share["asked"]).alias("score"),
     )
 
 

@@ -119,6 +119,26 @@ def test_scores_equal_plain_counters(spark, small, bits):
         assert abs(r["base_score"] - base) < 1e-6 and abs(r["score"] - score) < 2e-4 * n
 
 
+def test_pairs_of_rare_words_are_counted(spark):
+    # More words of one count than get dense ids, next to a few frequent ones.
+    texts = {}
+    for k in range(900):
+        named = [f"w{(k * 160 + j) % 144_000}" for j in range(160)]
+        texts[k] = " ".join(w if j % 3 else f"the {w} of" for j, w in enumerate(named)) + " x" * (k % 2)
+        texts[k + 1000] = " ".join(reversed(texts[k].split())) if k % 5 == 0 else texts[k] + f" unseen{k}"
+    train = [k for k in texts if k < 1000 or k % 2]
+    expected = expected_scores(texts, train, 2**40)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    model = lm.train(docs.where(docs["doc_id"].isin(train)))
+    assert len(model.head) < 2**lm.BITS - 2 < model.vocabulary
+    rows = lm.score(docs, model).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        n, known, total, base, score = expected[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"]) == (n, known, total)
+        assert abs(r["base_score"] - base) < 1e-6 and abs(r["score"] - score) < 2e-4 * n
+
+
 def test_scores_of_odd_rows(odd, none):
     rows = lm.score(odd, lm.train(odd)).collect()
     assert len(rows) == odd.count()
