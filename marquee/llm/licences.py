@@ -1,8 +1,10 @@
 """Licence scan by sentence rules.
 
-A text is cut into sentences, each brought to a normal form and looked up among
-the known sentences of licences. The text's known sentences, in order, are then
-matched against rules: sequences of sentences with few others between them.
+A text is brought to a normal form, with signs where sentences and lines end, and
+the known sentences of licences are sought in it. One begins and ends where a
+sentence or a line does and may run over several lines, with comment marks before
+and after each. The text's known sentences, in order, are then matched against
+rules: sequences of sentences with few others between them.
 """
 
 from __future__ import annotations
@@ -40,6 +42,15 @@ SENTENCES = {
     "w": "licensed under the mozilla public license version 2.0",
 }
 
+#: Other wordings of known sentences, as the licences' own notices have them; "|" is
+#: any end of a sentence, line or paragraph.
+WORDINGS = [
+    ("c", "you may obtain a copy of the license at|http //www.apache.org/licenses/license-2.0"),
+    ("h", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("i", "you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("j", "you can redistribute it and/or modify it under the terms of the gnu general public license as published by the free software foundation|either version 2 of the license or at your option any later version"),
+]
+
 #: Licence and its sentences in order; "~" lets up to three others stand between.
 #: The first rule that matches names the text's licence.
 RULES = [
@@ -74,11 +85,33 @@ def normal_form(sentence: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(_lower(sentence), BETWEEN, " "), EDGES, "")
 
 
+#: In a text in lower case: the end of a sentence or paragraph, and of any other line.
+END, LINE = "Y", "Z"
+
+
+def _marked(text: Column) -> Column:
+    """Normal forms of a text's sentences, with END between them and LINE where a line ends in one."""
+    lines = F.regexp_replace(_lower(text), r"\r\n?", "\n")
+    bare = F.regexp_replace(lines, r"(^|\n)[^a-z0-9\n]+", "$1")  # comment marks; lines of nothing else are blank
+    ended = F.regexp_replace(F.regexp_replace(bare, SENTENCE_END, f" {END} "), r"\n{2,}", f" {END} ")
+    spaced = F.regexp_replace(F.regexp_replace(ended, r"\n", f" {LINE} "), r"[^a-z0-9./+YZ-]+", " ")
+    whole = F.regexp_replace(spaced, r"(?<![ ./+YZ-])[ ./+Z-]*+Y[ ./+YZ-]*+", END)
+    return F.regexp_replace(F.regexp_replace(whole, r"(?<![ ./+Z-])[ ./+-]*+Z[ ./+Z-]*+", LINE), EDGES, "")
+
+
+def _wording(sentence: str) -> str:
+    """A known sentence as a regular expression over marked text."""
+    words = sentence.replace(".", r"\.").replace("+", r"\+").replace(" ", "[ Z]").replace("|", "[ YZ]")
+    return f"(?<![^YZ]){words}(?![^YZ])"
+
+
 def letters(text: Column) -> Column:
-    """One letter per sentence of a text, "." for each that is not known."""
-    known = F.create_map(*[F.lit(v) for letter, sentence in SENTENCES.items() for v in (sentence, letter)])
-    cut = F.split(F.regexp_replace(text, SENTENCE_END, "$1\n"), "\n")
-    return F.array_join(F.transform(cut, lambda s: F.coalesce(F.element_at(known, normal_form(s)), F.lit("."))), "")
+    """One letter per known sentence of a text, "." for each other between them."""
+    code = _marked(text)
+    known = [*SENTENCES.items(), *WORDINGS]
+    for letter, sentence in sorted(known, key=lambda k: -len(k[1])):  # the longer of two that begin alike
+        code = F.regexp_replace(code, _wording(sentence), END + letter.upper() + END)
+    return _lower(F.regexp_replace(F.regexp_replace(F.regexp_replace(code, "Z?Y+Z?", END), "[a-z0-9./+ Z-]+", "."), END, ""))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -93,7 +126,7 @@ def scan(docs: DataFrame, text: str = "text") -> DataFrame:
     of = F.coalesce(F.col(text), F.lit(""))
     held = F.lit(False)
     for anchor in ANCHORS:
-        held = held | F.contains(_lower(of), F.lit(anchor))
+        held = held | F.contains(_lower(of), F.lit(anchor.split()[-1]))  # a line may end before it
     coded = docs.withColumn("sentence_ids", F.when(held, letters(of)).otherwise(F.lit("")))
     code = F.col("sentence_ids")
     matches = F.array_distinct(F.array_compact(F.array(*[F.when(code.rlike(pattern(rule)), F.lit(name)) for name, rule in RULES])))

@@ -58,6 +58,71 @@ def test_rules_match_sentences_in_order(spark, odd, none):
     assert licences.scan(none).count() == 0
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS BE LIABLE FOR ANY CLAIM."""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software is
+distributed on an "AS IS" BASIS."""
+BSD2 = """Copyright (c) 2020, Somebody
+All rights reserved.
+
+Redistribution and use in source and binary forms are permitted provided that
+the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+BSD3 = BSD2 + """3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+GPL3 = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+GPL2 = GPL3.replace("software:", "software;").replace("Foundation, either version 3", "Foundation; either version 2")
+WRAPPED = [(MIT, "gh", "MIT"), (APACHE, "dbc", "Apache-2.0"), (BSD2, "urs", "BSD-2-Clause"), (BSD3, "urst", "BSD-3-Clause"), (GPL3, "ikl", "GPL-3.0"), (GPL2, "jkl", "GPL-2.0")]
+#: One-line notices of the other rules, wrapped at each gap between words.
+SHORT = {"e": "MIT", "f": "MIT", "v": "BSD", "a": "Apache-2.0", "i": "GPL-3.0", "j": "GPL-2.0", "m": "CC-BY-4.0", "n": "CC-BY-SA-4.0", "o": "CC-BY-NC-4.0", "p": "CC-BY-NC-SA-4.0", "q": "CC-BY-4.0", "w": "MPL-2.0", "u": "proprietary"}
+
+
+def test_notices_are_found_over_several_lines(spark):
+    cases = list(WRAPPED)
+    for before, mark in (("", "# "), ("/*\n", " * "), ("", "// "), ("", ";; ")):
+        cases += [(before + "\n".join((mark + line).rstrip() for line in text.split("\n")) + "\n", ids, name) for text, ids, name in WRAPPED]
+    cases += [(text.replace("\n", "\r\n"), ids, name) for text, ids, name in WRAPPED]
+    cases += [("Some words\n" + licences.SENTENCES[k].replace(" ", "\n") + ".\nMore words", k, name) for k, name in SHORT.items()]
+    cases += [("licensed under\n\nthe mit license", "", None), ("it is not licensed under\nthe mit license", "", None), ("x\nlicensed under the mit license y", "", None)]
+    rows = spark.createDataFrame([(k, text) for k, (text, *_) in enumerate(cases)], "doc_id long, text string")
+    got = licences.scan(rows).orderBy("doc_id").collect()
+    assert [(r["sentence_ids"], r["licence"]) for r in got] == [(ids, name) for _, ids, name in cases]
+
+
 def test_grammar_scores_clauses_not_words():
     g = toxicity.Grammar((), ("vermisch",))
     score = g.clause_score
