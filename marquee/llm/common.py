@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +48,14 @@ def spare(columns: list[str], name: str) -> str:
     while name.lower() in taken:
         name = f"_{name}"
     return name
+
+
+def row_ranges(sizes: np.ndarray, limit: int) -> list[tuple[int, int]]:
+    """Ranges of neighbouring rows of at most ``limit`` bytes together; a larger row is alone."""
+    ends, ranges, start = np.cumsum(sizes), [], 0
+    while start < len(sizes):
+        before = ends[start] - sizes[start]
+        stop = max(start + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        ranges.append((start, stop))
+        start = stop
+    return ranges

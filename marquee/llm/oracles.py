@@ -100,3 +100,27 @@ f AS (
          OR NOT regexp_matches(t, '\\p{{L}}') AS rejected
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT rejected AS kept FROM f"""
+
+
+def fill_in_middle_sql(seed: int, fim_rate: int, spm_rate: int) -> str:
+    """Units as a list; what they hold by their lengths."""
+    unit = r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+"
+    group = "CAST('0x' || substr(h, {}, 8) AS BIGINT)"
+    h1, h2, h3, h4 = (group.format(8 * k + 1) for k in range(4))
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('{seed}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+u AS (SELECT *, regexp_extract_all(t, '{unit}') AS units FROM d),
+c AS (SELECT *, CAST(len(units) AS BIGINT) AS n,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR {h3} % 100 >= {fim_rate} THEN 'plain'
+        WHEN {h4} % 100 < {spm_rate} THEN 'spm' ELSE 'psm' END AS form,
+    {h1} % (len(units) + 1) AS a, {h2} % (len(units) + 1) AS b FROM u),
+p AS (SELECT doc_id, t, n, form,
+    CAST(coalesce(list_sum(list_transform(units[1:least(a, b)], lambda x: length(x))), 0) AS BIGINT) AS before,
+    CAST(coalesce(list_sum(list_transform(units[1:greatest(a, b)], lambda x: length(x))), 0) AS BIGINT) AS after FROM c),
+s AS (SELECT *, substr(t, 1, before) AS prefix, substr(t, before + 1, after - before) AS middle, substr(t, after + 1) AS suffix FROM p)
+SELECT doc_id, n, form,
+    CASE WHEN form <> 'plain' THEN before END AS prefix_chars,
+    CASE WHEN form <> 'plain' THEN after - before END AS middle_chars,
+    sha256(CASE form WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+        WHEN 'spm' THEN '<S>' || suffix || '<P>' || prefix || '<M>' || middle ELSE t END) AS output_sha256,
+    sha256(prefix || middle || suffix) AS restored_sha256
+FROM s"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import ann, bpe, jaccard_join, licences, lm, mixing, oracles, quality, sharding, toxicity, url_filter
+from marquee.llm import ann, bpe, fim, jaccard_join, licences, lm, mixing, oracles, quality, sharding, toxicity, url_filter
 from marquee.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,7 @@ MARGINS = [
     mixing.Margin("topic", {"prose": 0.8, "tabular": 0.03}),
 ]
 MIX_RATE, MIX_CYCLES, MIX_SEED = 0.4, 6, "mix"
+FIM_SEED = 42
 #: Score from which a text counts as toxic.
 TOXIC_FROM = 0.3
 #: What to do, host, path.
@@ -104,6 +105,19 @@ def op10_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.rearrange(table(spark, sf_dir, "documents").select("doc_id", "text"), seed=FIM_SEED)
+    return rows.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")).cast("binary"), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_sharding": op2_sharding,
@@ -115,10 +129,12 @@ QUERIES: dict[str, Query] = {
     "op8_url_filters": op8_url_filters,
     "op9_quality_rules": op9_quality_rules,
     "op10_byte_level_bpe": op10_byte_level_bpe,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }
 
 ORACLES: dict[str, str] = {
     "op1_mixing_sources": oracles.mixing_sql(MARGINS, MIX_RATE, MIX_CYCLES, MIX_SEED),
     "op7_licence_scans": oracles.licences_sql(),
     "op9_quality_rules": oracles.quality_sql(),
+    "op11_fill_in_middle": oracles.fill_in_middle_sql(FIM_SEED, fim.FIM_RATE, fim.SPM_RATE),
 }

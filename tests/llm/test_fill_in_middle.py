@@ -1,0 +1,93 @@
+import hashlib
+import random
+import re
+
+import numpy as np
+import pytest
+from compare import connect, differences
+from pyspark.sql import functions as F
+
+from marquee.llm import fim
+from marquee.llm.common import row_ranges
+from marquee.llm.registered import ORACLES, QUERIES
+
+UNIT = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+")
+PARTS = ["a", "b ", " ", "\t\n", "é", "日本", "\U0001f600", "\x08", "\x0e", "\x1f", "!", "\x00", "\x85", "\xa0", "<P>", "<", "S>"]
+
+
+def plain(doc, text, seed=42):
+    """(n, form, prefix_chars, middle_chars, output) by lists of units."""
+    text = text or ""
+    digest = hashlib.sha256(f"{seed}:{'' if doc is None else doc}".encode()).hexdigest()
+    h = [int(digest[8 * k : 8 * k + 8], 16) for k in range(4)]
+    units = UNIT.findall(text)
+    n = len(units)
+    if not text or any(m in text for m in ("<P>", "<S>", "<M>")) or h[2] % 100 >= 50:
+        return n, "plain", None, None, text
+    low, high = sorted((h[0] % (n + 1), h[1] % (n + 1)))
+    prefix, middle, suffix = ("".join(u) for u in (units[:low], units[low:high], units[high:]))
+    if h[3] % 100 < 80:
+        return n, "spm", len(prefix), len(middle), f"<S>{suffix}<P>{prefix}<M>{middle}"
+    return n, "psm", len(prefix), len(middle), f"<P>{prefix}<S>{suffix}<M>{middle}"
+
+
+def test_marks_of_all_bytes():
+    data = np.arange(256, dtype=np.uint8)
+    high = fim.white(data.view("<u8")).view(np.uint8) >> 7
+    assert [k for k in range(256) if high[k]] == [9, 10, 11, 12, 13, 32]
+    first = fim.first_bytes(data.view("<u8")).view(np.uint8) >> 7
+    assert [k for k in range(256) if not first[k]] == list(range(0x80, 0xC0))
+
+
+def test_select_and_before_equal_counting():
+    chance = np.random.default_rng(3)
+    for density in (0.01, 0.3, 0.95):
+        bits = chance.random(8 * 300) < density
+        marks = fim.Marks((bits.astype(np.uint8) << 7).view("<u8"))
+        places = np.flatnonzero(bits)
+        assert (marks.select(np.arange(1, len(places) + 1)) == places).all()
+        assert (marks.before(np.arange(len(bits) + 1)) == np.concatenate([[0], np.cumsum(bits)])).all()
+
+
+def test_row_ranges_cover_all_rows():
+    assert row_ranges(np.array([3, 3, 9, 0, 0, 4], np.int64), 6) == [(0, 2), (2, 3), (3, 6)]
+    assert row_ranges(np.zeros(0, np.int64), 6) == []
+
+
+def test_random_texts_equal_lists_of_units(spark):
+    chance = random.Random(2)
+    rows = [(k, "".join(chance.choices(PARTS[: chance.randint(1, len(PARTS))], k=chance.randint(0, chance.choice([3, 20, 300]))))) for k in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    found = fim.rearrange(docs).withColumn("restored", fim.restore(F.col("output"), F.col("form"))).collect()
+    texts = dict(rows)
+    assert {r["form"] for r in found} == {"plain", "psm", "spm"}
+    for r in found:
+        assert (r["n"], r["form"], r["prefix_chars"], r["middle_chars"], r["output"]) == plain(r["doc_id"], texts[r["doc_id"]])
+        assert r["restored"] == texts[r["doc_id"]]
+
+
+@pytest.mark.parametrize("rate", [50, 100])
+def test_odd_rows(odd, odd_rows, none, rate):
+    found = fim.rearrange(odd, fim_rate=rate)
+    assert set(found.columns) == {*odd.columns, "form", "prefix_chars", "middle_chars", "output"}
+    back = found.withColumn("restored", fim.restore(F.col("output"), F.col("form"))).collect()
+    assert sorted(((r["doc_id"], r["restored"]) for r in back), key=repr) == sorted(((r[0], r[1] or "") for r in odd_rows), key=repr)
+    if rate == 50:
+        for r in back:
+            assert (r["n"], r["form"], r["prefix_chars"], r["middle_chars"], r["output"]) == plain(r["doc_id"], r["text"])
+    assert fim.rearrange(none).count() == 0
+
+
+def test_texts_of_a_block_do_not_matter_to_each_other():
+    chance = random.Random(4)
+    texts = ["".join(chance.choices(PARTS, k=chance.randint(0, 9))).encode() for _ in range(200)]
+    drawn = np.array([[chance.getrandbits(32) for _ in texts] for _ in range(2)])
+    offsets = np.cumsum([0, *map(len, texts)])
+    whole = np.array(fim.cut_places(np.frombuffer(b"".join(texts), np.uint8), offsets, *drawn))
+    for k, text in enumerate(texts):
+        alone = fim.cut_places(np.frombuffer(text, np.uint8), np.array([0, len(text)]), *drawn[:, k : k + 1])
+        assert [c[0] for c in alone] == whole[:, k].tolist()
+
+
+def test_query_equals_sql(spark, small):
+    assert differences(QUERIES["op11_fill_in_middle"](spark, small), connect(small), ORACLES["op11_fill_in_middle"]) is None
