@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import ann, bpe, fim, jaccard_join, licences, lm, mixing, oracles, quality, sharding, toxicity, url_filter
+from marquee.llm import ann, bpe, fim, jaccard_join, licences, lm, mixing, oracles, quality, sentencepiece, sharding, toxicity, url_filter
 from marquee.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,17 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    tokens = sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return sentencepiece.decode(tokens.select("doc_id", "ids"), path).select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(sentencepiece.little_endian(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_mixing_sources": op1_mixing_sources,
     "op2_sharding": op2_sharding,
@@ -130,6 +141,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_byte_level_bpe": op10_byte_level_bpe,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op13_sentencepiece": op13_sentencepiece,
 }
 
 ORACLES: dict[str, str] = {
