@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marquee.llm import ann, bpe, fim, jaccard_join, licences, lm, mixing, oracles, quality, sentencepiece, sharding, toxicity, url_filter
+from marquee.llm import ann, bpe, fim, jaccard_join, licences, lm, mixing, oracles, quality, sentencepiece, sharding, toxicity, url_filter, whitening
 from marquee.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,6 +118,21 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = whitening.whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    parts = F.arrays_zip("whitened", "explained")
+    each = rows.select("vec_id", "n", "deviation", "identity_error", F.posexplode(parts).alias("place", "part"))
+    return each.select(
+        "vec_id",
+        (F.col("place") + 1).cast("int").alias("component"),
+        "n",
+        "deviation",
+        F.col("part.whitened").alias("whitened"),
+        F.col("part.explained").alias("explained"),
+        "identity_error",
+    )
+
+
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
     tokens = sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
@@ -141,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_byte_level_bpe": op10_byte_level_bpe,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_sentencepiece": op13_sentencepiece,
 }
 
