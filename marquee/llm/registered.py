@@ -135,11 +135,11 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
-    tokens = sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
-    return sentencepiece.decode(tokens.select("doc_id", "ids"), path).select(
+    tokens = sentencepiece.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), path, packed="words")
+    return sentencepiece.decode(tokens.select("doc_id", "ids", "words"), path).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(sentencepiece.little_endian(F.col("ids")), 256).alias("ids_sha256"),
+        F.sha2("words", 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 

@@ -21,15 +21,16 @@ Characters that are no piece become the pieces of their bytes.
 
 from __future__ import annotations
 
+import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as proto
 
@@ -41,9 +42,11 @@ SPACE = "▁"
 NO_CHARACTER = "�"
 #: Kinds of pieces in a model file.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-#: Entries of each memo in a Python worker, which is emptied when full; parts of
-#: more characters are not remembered.
-MEMO, RECALLED = 200_000, 48
+#: Entries of the memos of parts and pairs in a Python worker, each of which is emptied
+#: when full; parts of more characters are not remembered.
+MEMO_PARTS, MEMO_PAIRS, RECALLED = 150_000, 400_000, 48
+#: The pairs of a piece of which none is known.
+NONE: dict[str, bool] = {}
 #: Bytes of text, about, that one output batch is made from.
 BATCH_BYTES = 4 * 2**20
 #: A model is sent to all executors; this bounds it.
@@ -81,19 +84,36 @@ class Model:
         self.scores = {p.piece: p.score for p in model.pieces if p.type == NORMAL}
         self.bytes = {int(p.piece[3:5], 16): k for k, p in enumerate(model.pieces) if p.type == BYTE}
         self.values = {k: value for value, k in self.bytes.items()}
-        # A piece that merges do not make out of its characters never occurs.
-        self.made = {p for p in self.ids if len(p) == 1 or self.merged(p) == [p]}
-        self.shorter: dict[str, str | None] = {}
-        self.automaton = ahocorasick.Automaton()
+        self._parts: dict[str, bytes] = {}
+        self._pairs: dict[str, dict[str, bool]] = {}
+        self._known_pairs = 0
+
+    @cached_property
+    def made(self) -> set[str]:
+        """The pieces that merges make out of their characters; others never occur."""
+        return {p for p in self.ids if len(p) == 1 or self.merged(p) == [p]}
+
+    @cached_property
+    def shorter(self) -> dict[str, str | None]:
+        """For each piece the longest other one that it begins with."""
+        made = self.made
+        return {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in made), None) for p in made}
+
+    @cached_property
+    def automaton(self) -> ahocorasick.Automaton:
+        """Finds pieces in reversed texts, the longest of those that end at a place first."""
+        automaton = ahocorasick.Automaton()
         for piece in self.made:
-            self.automaton.add_word(piece[::-1], piece)
-            self.shorter[piece] = next((piece[:k] for k in range(len(piece) - 1, 0, -1) if piece[:k] in self.made), None)
-        self.automaton.make_automaton()
-        # If no piece holds a space after anything else, all texts can be cut there.
-        inner = any(SPACE in p.lstrip(SPACE) for p in self.made)
-        self.parts = (lambda text: [text]) if inner else regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
-        self._parts: dict[str, list[int]] = {}
-        self._pairs: dict[tuple[str, str], bool] = {}
+            automaton.add_word(piece[::-1], piece)
+        automaton.make_automaton()
+        return automaton
+
+    @cached_property
+    def parts(self) -> Callable[[str], list[str]]:
+        """Cuts a text in front of its spaces, if no piece holds a space after anything else."""
+        if any(SPACE in p.lstrip(SPACE) for p in self.made):
+            return lambda text: [text]
+        return regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
 
     def merged(self, text: str) -> list[str]:
         """Merges neighbours of the highest score, the leftmost of equals, until none is left."""
@@ -111,65 +131,76 @@ class Model:
 
     def compatible(self, left: str, right: str) -> bool:
         """Whether two pieces side by side are what their characters merge to."""
-        known = self._pairs.get((left, right))
+        known = self._pairs.get(left, NONE).get(right)
         if known is None:
             known = self.merged(left + right) == [left, right]
-            if len(self._pairs) >= MEMO:
+            if self._known_pairs >= MEMO_PAIRS:
                 self._pairs.clear()
-            self._pairs[left, right] = known
+                self._known_pairs = 0
+            self._pairs.setdefault(left, {})[right] = known
+            self._known_pairs += 1
         return known
 
-    def longest(self, text: str) -> list[str]:
-        """The longest piece that begins at each character; the character itself if none does."""
-        found, last, seen = list(text), len(text) - 1, -1
-        for end, piece in self.automaton.iter(text[::-1]):
-            if end != seen:  # the first match that ends here is the longest
-                found[last - end] = piece
-                seen = end
-        return found
-
     def searched(self, text: str) -> list[str]:
         """The pieces of a text without cuts, by backtracking."""
-        matches, size = self.longest(text), len(text)
+        size, last = len(text), len(text) - 1
+        # The longest piece that begins at each character, by its distance from the end.
+        longest = dict([*self.automaton.iter(text[::-1])][::-1]).get
+        compatible, shorter, pairs = self.compatible, self.shorter.get, self._pairs
         failed = bytearray(size // 8 + 1)
         row: list[str] = []
-        at, piece = 0, matches[0]
-        compatible, shorter = self.compatible, self.shorter
+        at, piece, follow = 0, longest(last) or text[0], None
         while at < size:
             while piece is not None:
                 end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1 and (not row or compatible(row[-1], piece)):
-                    break
-                piece = shorter.get(piece)
+                if not failed[end >> 3] >> (end & 7) & 1:
+                    if not row:
+                        break
+                    known = follow.get(piece)
+                    if known or known is None and compatible(row[-1], piece):
+                        break
+                piece = shorter(piece)
             if piece is not None:
                 row.append(piece)
                 at = end
-                piece = matches[at] if at < size else None
+                if at < size:
+                    follow = pairs.get(piece, NONE)
+                    piece = longest(last - at) or text[at]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
-                last = row.pop()  # never empty: the first piece of the encoding does not fail
-                at -= len(last)
-                piece = shorter.get(last)
+                back = row.pop()  # never empty: the first piece of the encoding does not fail
+                at -= len(back)
+                if row:
+                    follow = pairs.get(row[-1], NONE)
+                piece = shorter(back)
         return row
 
-    def part(self, text: str) -> list[int]:
-        """The ids of a part that no merge leaves."""
-        out: list[int] = []
+    def part(self, text: str) -> bytes:
+        """The ids of a part that no merge leaves, as little-endian words."""
+        ids: list[int] = []
         for piece in [text] if text in self.made else self.searched(text):
             known = self.ids.get(piece)
-            out += [known] if known is not None else [self.bytes[b] for b in piece.encode()]
+            if known is None:
+                ids += [self.bytes[b] for b in piece.encode()]
+            else:
+                ids.append(known)
+        out = struct.pack(f"<{len(ids)}I", *ids)
         if len(text) <= RECALLED:
-            if len(self._parts) >= MEMO:
+            if len(self._parts) >= MEMO_PARTS:
                 self._parts.clear()
             self._parts[text] = out
         return out
 
-    def encode(self, text: str) -> list[int]:
-        """The ids of a whole text, without begin and end."""
+    def packed(self, text: str) -> bytes:
+        """The ids of a whole text, without begin and end, as little-endian words."""
         if not text:
-            return []
+            return b""
         known, part = self._parts.get, self.part
-        return [k for p in self.parts(SPACE + text.replace(" ", SPACE)) for k in (known(p) or part(p))]
+        return b"".join([known(p) or part(p) for p in self.parts(SPACE + text.replace(" ", SPACE))])
+
+    def encode(self, text: str) -> list[int]:
+        """The ids of a whole text, without begin and end."""
+        return np.frombuffer(self.packed(text), "<u4").tolist()
 
     def decode(self, ids: list[int]) -> str:
         """The text of any ids.
@@ -239,32 +270,36 @@ def _without(rows: DataFrame, name: str) -> DataFrame:
     return rows.select(*[c for c in rows.columns if c.lower() != name])
 
 
-def encode(docs: DataFrame, model_path: str, text: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model_path: str, text: str = "text", packed: str | None = None) -> DataFrame:
     """``docs`` with ``ids array<int>``: begin, the pieces of each whole text, end.
 
-    NULL counts as empty; an empty text has begin and end only. Other columns stay
-    as they are, one named ``ids`` is replaced. No shuffle: rows are encoded where
-    they are.
+    NULL counts as empty; an empty text has begin and end only. ``packed`` names a
+    further column for the same ids as little-endian unsigned 32-bit words, one after
+    the other. Other columns stay as they are, those of the new names are replaced.
+    No shuffle: rows are encoded where they are.
     """
     shared = _shared(docs, model_path)
-    rows = _without(docs, "ids")
+    new = [T.StructField("ids", T.ArrayType(T.IntegerType()))] + ([T.StructField(packed, T.BinaryType())] if packed else [])
+    rows = docs
+    for field in new:
+        rows = _without(rows, field.name)
     at = rows.columns.index(text)
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(shared.value)
+        begin, end = struct.pack("<I", model.begin), struct.pack("<I", model.end)
         for batch in stream:
             sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0), np.int64)
             for start, stop in row_ranges(sizes, BATCH_BYTES):
                 part = batch.slice(start, stop - start)
-                found, offsets = [np.zeros(0, np.int32)], [0]
-                for value in part.column(at):
-                    found.append(np.array([model.begin, *model.encode(value.as_py() or ""), model.end], np.int32))
-                    offsets.append(offsets[-1] + len(found[-1]))
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(found), pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "ids"])
-
-    schema = T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return rows.mapInArrow(batches, schema)
+                found = [begin + model.packed(value.as_py() or "") + end for value in part.column(at)]
+                ends = np.cumsum([0, *(len(f) // 4 for f in found)]).astype(np.int32)
+                ids = np.frombuffer(b"".join(found), "<u4").astype(np.int32)
+                columns = [pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))]
+                columns += [pa.array(found, pa.binary())] if packed else []
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], [*part.schema.names, *(f.name for f in new)])
+
+    return rows.mapInArrow(batches, T.StructType([*rows.schema.fields, *new]))
 
 
 def decode(tokens: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
@@ -291,10 +326,3 @@ def decode(tokens: DataFrame, model_path: str, ids: str = "ids") -> DataFrame:
 
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.StringType())])
     return rows.mapInArrow(batches, schema)
-
-
-@F.arrow_udf(T.BinaryType())
-def little_endian(ids: pa.Array) -> pa.Array:
-    """Ids as the bytes of little-endian unsigned 32-bit integers, one after the other."""
-    rows = (value.values.to_numpy(zero_copy_only=False).astype("<u4").tobytes() if value.is_valid else None for value in ids)
-    return pa.array(rows, pa.binary())
