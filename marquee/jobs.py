@@ -3,12 +3,13 @@
     refresh LANDING WAREHOUSE            dumps → tables
     report NAME WAREHOUSE OUT            one report as JSON lines
     log SERVERS LOG CHECKPOINT           topic → message log
-    compact LOG STORE                    message log → votes in key order
+    compact LOG STORE                    new votes of the message log → runs in key order
     live SERVERS WAREHOUSE OUT CHECKPOINT    topic → ratings of the titles that change
     fold SERVERS WAREHOUSE ROOT CHECKPOINT   topic → versions of the ratings table
     totals SERVERS OUT CHECKPOINT        topic → running totals
-    rating TITLE WAREHOUSE STORE OUT     rating of a title with its stored votes, as JSON
-    votes TITLE STORE OUT                votes of a title in a vote store, as JSON lines
+    stored-totals SERVERS OUT CHECKPOINT     topic → totals of a store that overwrites equal keys
+    rating TITLE WAREHOUSE LOG STORE OUT rating of a title with all votes up to now, as JSON
+    votes TITLE LOG STORE OUT            all votes of a title up to now, as JSON lines
 
 ``--shuffle-bytes N`` before the job's name says how much its largest shuffle is
 expected to move; ``--strict`` makes the streams take plain title ids only.
@@ -23,33 +24,34 @@ from pyspark.sql import DataFrame, SparkSession
 
 from marquee.functions.display import json_records
 from marquee.operators.ratings import merged_rating_by_id
-from marquee.operators.votes import range_scan, vote_records
+from marquee.operators.votes import keyed_records, range_scan
 from marquee.plans import analytics
 from marquee.plans.ingest import refresh
 from marquee.session import build_session
-from marquee.sinks.votes import write_vote_store
 from marquee.sources.messages import topic_messages
 from marquee.sources.tables import load_table, load_titles
-from marquee.sources.votes import read_vote_log, read_vote_store
+from marquee.streaming.stored_totals import start_stored_totals
 from marquee.streaming.votes import (
     start_folding,
     start_live_ratings,
     start_message_log,
     start_totals,
 )
+from marquee.versions import pinned
+from marquee.vote_runs import compact, current_votes
 
 
-def report(spark: SparkSession, name: str, warehouse: str) -> DataFrame:
-    """A report over the tables of a warehouse."""
-    titles = load_titles(spark, warehouse)
+def report(spark: SparkSession, name: str, warehouse: str, at: dict[str, int] | None = None) -> DataFrame:
+    """A report over the tables of a warehouse, in the versions ``at`` or the newest."""
+    titles = load_titles(spark, warehouse, at)
     if name == "genre_by_decade":
         return analytics.genre_by_decade(titles)
-    ratings = load_table(spark, warehouse, "title_ratings")
+    ratings = load_table(spark, warehouse, "title_ratings", at)
     if name == "votes_by_title_type":
         return analytics.votes_by_title_type(titles, ratings)
     if name == "top_directors":
-        crew = load_table(spark, warehouse, "title_crew")
-        names = load_table(spark, warehouse, "name_basics")
+        crew = load_table(spark, warehouse, "title_crew", at)
+        names = load_table(spark, warehouse, "name_basics", at)
         return analytics.director_records(analytics.top_directors(crew, ratings, titles, names))
     raise ValueError(f"no such report: {name}")
 
@@ -59,7 +61,9 @@ def run_refresh(spark: SparkSession, landing: str, warehouse: str) -> None:
 
 
 def run_report(spark: SparkSession, name: str, warehouse: str, out: str) -> None:
-    json_records(report(spark, name, warehouse)).write.mode("overwrite").text(out)
+    """All tables as the newest refresh left them, whatever is written meanwhile."""
+    with pinned(spark, warehouse) as at:
+        json_records(report(spark, name, warehouse, at)).write.mode("overwrite").text(out)
 
 
 def run_log(spark: SparkSession, servers: str, log: str, checkpoint: str, strict: bool = False) -> None:
@@ -68,7 +72,7 @@ def run_log(spark: SparkSession, servers: str, log: str, checkpoint: str, strict
 
 
 def run_compact(spark: SparkSession, log: str, store: str) -> None:
-    write_vote_store(read_vote_log(spark, log), store)
+    compact(spark, log, store)
 
 
 def run_live(
@@ -92,15 +96,20 @@ def run_totals(spark: SparkSession, servers: str, out: str, checkpoint: str, str
     start_totals(messages, out, checkpoint, strict=strict).awaitTermination()
 
 
-def run_rating(spark: SparkSession, title: str, warehouse: str, store: str, out: str) -> None:
-    """Only the store's files that may hold the title's keys are read."""
+def run_stored_totals(spark: SparkSession, servers: str, out: str, checkpoint: str, strict: bool = False) -> None:
+    messages = topic_messages(spark, servers)
+    start_stored_totals(messages, out, checkpoint, strict=strict).awaitTermination()
+
+
+def run_rating(spark: SparkSession, title: str, warehouse: str, log: str, store: str, out: str) -> None:
+    """Of the store only the files that may hold the title are read, of the log what is newer."""
     ratings = load_table(spark, warehouse, "title_ratings")
-    votes = range_scan(read_vote_store(spark, store), title)
+    votes = current_votes(spark, log, store, title)
     json_records(merged_rating_by_id(ratings, votes, title)).write.mode("overwrite").text(out)
 
 
-def run_votes(spark: SparkSession, title: str, store: str, out: str) -> None:
-    records = vote_records(range_scan(read_vote_store(spark, store), title))
+def run_votes(spark: SparkSession, title: str, log: str, store: str, out: str) -> None:
+    records = keyed_records(range_scan(current_votes(spark, log, store), title))
     json_records(records).write.mode("overwrite").text(out)
 
 
@@ -112,10 +121,11 @@ JOBS = {
     "live": run_live,
     "fold": run_fold,
     "totals": run_totals,
+    "stored-totals": run_stored_totals,
     "rating": run_rating,
     "votes": run_votes,
 }
-STREAMS = {"log", "live", "fold", "totals"}
+STREAMS = {"log", "live", "fold", "totals", "stored-totals"}
 
 
 def main(arguments: list[str]) -> None:

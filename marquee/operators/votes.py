@@ -66,10 +66,13 @@ def in_key_order(votes: DataFrame) -> DataFrame:
 
 def vote_records(votes: DataFrame) -> DataFrame:
     """Votes as the records of a key-value store: ``row_key`` and a map of cells."""
-    return votes.select(
-        row_key(F.col("tconst"), F.col("ts_ms")).alias("row_key"),
-        F.create_map(F.lit(VOTE_CELL), F.col("vote").cast("string")).alias("data"),
-    )
+    return keyed_records(votes.select(row_key(F.col("tconst"), F.col("ts_ms")).alias("row_key"), "vote"))
+
+
+def keyed_records(votes: DataFrame) -> DataFrame:
+    """The same for ``(row_key, vote)``, as ``range_scan`` returns."""
+    cells = F.create_map(F.lit(VOTE_CELL), F.col("vote").cast("string"))
+    return votes.select("row_key", cells.alias("data"))
 
 
 def latest_votes(votes: DataFrame, written: str = "msg_offset") -> DataFrame:

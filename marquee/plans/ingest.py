@@ -17,12 +17,13 @@ from marquee.schemas import (
     bucketed_name,
     dump_of_table,
     parquet_name,
+    raw_name,
     table_of_dump,
 )
 from marquee.sinks.tables import save_bucketed, write_copy, write_raw, write_titles
 from marquee.sources.dumps import read_dump
 from marquee.sources.tables import load_raw, load_table, load_titles
-from marquee.versions import newest, next_version, stored_bytes
+from marquee.versions import commit, newest, newest_version, next_version, stored_bytes
 
 # Stored bytes of a bucket, which one task sorts and writes.
 BUCKET_BYTES = 256 * 2**20
@@ -59,12 +60,16 @@ def partition_titles(spark: SparkSession, warehouse: str) -> None:
     write_titles(load_raw(spark, warehouse, "title_basics"), warehouse)
 
 
+def _converted_name(table: str) -> str:
+    return PARTITIONED_TABLE if table == "title_basics" else parquet_name(table)
+
+
 def buckets_for(spark: SparkSession, warehouse: str, tables: Iterable[str]) -> int:
     """Number of buckets for tables to be joined: of the largest, by its stored bytes.
 
     A power of two, so that tables that grow keep numbers that divide each other.
     """
-    names = [PARTITIONED_TABLE if t == "title_basics" else parquet_name(t) for t in tables]
+    names = [_converted_name(t) for t in tables]
     largest = max(stored_bytes(spark, newest(spark, f"{warehouse}/{name}")) for name in names)
     return 2 ** max(1, math.ceil(math.log2(max(1, largest / BUCKET_BYTES))))
 
@@ -111,7 +116,8 @@ def refresh(
     Dumps land side by side, then the tables are converted side by side, then
     those named in ``bucketed`` are stored in buckets as well, all with the same
     number. Any failure ends the refresh. Every step replaces its table, so
-    running it again is safe.
+    running it again is safe. When all tables are there, one commit makes them the
+    present ones for readers that pin a commit; until then these see the old ones.
     """
     if dumps is None:
         dumps = [dump_of_table(table) for table in RAW_SCHEMAS]
@@ -128,6 +134,9 @@ def refresh(
             partition_titles(spark, warehouse)
 
     at_once(lambda table=table: convert(table) for _, table in known)
+    names = [name for _, table in known for name in (raw_name(table), _converted_name(table))]
+    if names:
+        commit(spark, warehouse, {name: newest_version(spark, f"{warehouse}/{name}") for name in names})
     if bucketed:
         buckets = buckets_for(spark, warehouse, bucketed)
         at_once(lambda table=table: bucket_table(spark, warehouse, table, buckets) for table in bucketed)

@@ -27,14 +27,14 @@ TOTALS_SCHEMA = "tconst STRING, dn BIGINT, ds BIGINT"
 MERGED_SCHEMA = "tconst STRING, averageRating DOUBLE, numVotes BIGINT"
 
 
-def _triggered(
+def triggered(
     writer: DataStreamWriter, checkpoint: str, once: bool, every: str
 ) -> DataStreamWriter:
     writer = writer.option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True) if once else writer.trigger(processingTime=every)
 
 
-def _present(ratings: Ratings) -> DataFrame:
+def present(ratings: Ratings) -> DataFrame:
     """The ratings as they are now: tables replaced by a refresh are looked up anew."""
     return ratings() if callable(ratings) else ratings
 
@@ -67,7 +67,7 @@ def start_message_log(
         .select(*MESSAGE_LOG.names)
     )
     writer = rows.writeStream.format("parquet").partitionBy("accepted").option("path", path)
-    return _triggered(writer, checkpoint, once, every).start()
+    return triggered(writer, checkpoint, once, every).start()
 
 
 def batch_folder(path: str, batch_id: int) -> str:
@@ -75,7 +75,7 @@ def batch_folder(path: str, batch_id: int) -> str:
     return f"{path}/batch_id={batch_id}"
 
 
-def _write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
     rows.write.mode("overwrite").parquet(batch_folder(path, batch_id))
 
 
@@ -95,11 +95,11 @@ def start_totals(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch, path, batch_id)
+        write_batch(batch, path, batch_id)
 
     totals = vote_totals(parse_votes(messages, strict))
     writer = totals.writeStream.outputMode("update").foreachBatch(write)
-    return _triggered(writer, checkpoint, once, every).start()
+    return triggered(writer, checkpoint, once, every).start()
 
 
 def start_live_ratings(
@@ -123,15 +123,15 @@ def start_live_ratings(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _write_batch(batch, f"{path}/totals", batch_id)
+        write_batch(batch, f"{path}/totals", batch_id)
         changed = batch.sparkSession.read.schema(TOTALS_SCHEMA).parquet(
             batch_folder(f"{path}/totals", batch_id)
         )
-        _write_batch(merge_voted(_present(ratings), changed), f"{path}/ratings", batch_id)
+        write_batch(merge_voted(present(ratings), changed), f"{path}/ratings", batch_id)
 
     totals = vote_totals(parse_votes(messages, strict))
     writer = totals.writeStream.outputMode("update").foreachBatch(write)
-    return _triggered(writer, checkpoint, once, every).start()
+    return triggered(writer, checkpoint, once, every).start()
 
 
 def start_folding(
@@ -161,9 +161,9 @@ def start_folding(
             before = spark.read.schema(TOTALS_SCHEMA).parquet(batch_folder(f"{root}/totals", batch_id - 1))
             both = before.unionByName(totals)
             totals = both.groupBy("tconst").agg(F.sum("dn").alias("dn"), F.sum("ds").alias("ds"))
-        _write_batch(totals, f"{root}/totals", batch_id)
+        write_batch(totals, f"{root}/totals", batch_id)
         totals = spark.read.schema(TOTALS_SCHEMA).parquet(batch_folder(f"{root}/totals", batch_id))
-        write_folded_ratings(fold_totals(_present(ratings), totals), root, batch_id)
+        write_folded_ratings(fold_totals(present(ratings), totals), root, batch_id)
 
     writer = messages.writeStream.foreachBatch(fold)
-    return _triggered(writer, checkpoint, once, every).start()
+    return triggered(writer, checkpoint, once, every).start()

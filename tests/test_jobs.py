@@ -3,13 +3,18 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from marquee import jobs
-from marquee.operators.votes import vote_log
+from marquee.functions.display import json_records
+from marquee.operators.ratings import merged_rating_by_id
+from marquee.operators.votes import keyed_records, range_scan, vote_log
 from marquee.registry import adapters
 from marquee.schemas import RAW_SCHEMAS, dump_of_table
-from marquee.sources.votes import read_vote_store
+from marquee.sources.messages import file_messages
+from marquee.sources.tables import load_table
 from marquee.streaming.votes import start_message_log
+from marquee.vote_runs import newest_manifest, stored_votes
 
 
 @pytest.fixture(scope="module")
@@ -42,7 +47,26 @@ def test_compacted_log_has_all_votes(spark, small, tmp_path):
     start_message_log(stream, log, str(tmp_path / "cp"), once=True).awaitTermination()
     jobs.main(["compact", log, store])
     expected = vote_log(adapters.messages(spark, small))
-    assert sorted(read_vote_store(spark, store).collect()) == sorted(expected.collect())
+    assert sorted(stored_votes(spark, store, newest_manifest(spark, store)).collect()) == sorted(expected.collect())
+
+
+def test_rating_and_votes_know_what_came_after_the_compaction(spark, small, warehouse, tmp_path):
+    log, store, inbox, out = (str(tmp_path / name) for name in ("log", "store", "inbox", "out"))
+    messages = adapters.messages(spark, small)
+    title = vote_log(messages).groupBy("tconst").count().orderBy(F.desc("count"), "tconst").head()["tconst"]
+    middle = vote_log(messages).where(F.col("tconst") == title).agg(F.expr("percentile(msg_offset, 0.5)")).head()[0]
+    for part in (F.col("msg_offset") < middle, F.col("msg_offset") >= middle):
+        messages.where(part).write.mode("append").parquet(inbox)
+        start_message_log(file_messages(spark, inbox), log, str(tmp_path / "cp"), once=True).awaitTermination()
+        if not (tmp_path / "store").exists():
+            jobs.main(["compact", log, store])
+    jobs.main(["votes", title, log, store, out])
+    wanted = json_records(keyed_records(range_scan(vote_log(messages), title))).collect()
+    assert sorted(spark.read.text(out).collect()) == sorted(wanted)
+    jobs.main(["rating", title, warehouse, log, store, out])
+    ratings = load_table(spark, warehouse, "title_ratings")
+    wanted = json_records(merged_rating_by_id(ratings, vote_log(messages), title)).collect()
+    assert spark.read.text(out).collect() == wanted
 
 
 def test_unknown_names(spark, warehouse):
