@@ -214,6 +214,7 @@ SELECTS = {
     "rating_by_id": f"select * from title_ratings where tconst = '{TITLE_ID}' limit 1",
     "genre_by_decade": "select * from genre_by_decade",
     "votes_by_title_type": "select * from votes_by_title_type",
+    "snapshot_report": "select * from votes_by_title_type",
     "top_directors": "select * from top_directors",
     "director_records": """
         select primaryName as director, averageRating, movieCount, weightedScore
@@ -248,6 +249,8 @@ SELECTS = {
     "vote_range_scan": f"""
         select * from (select tconst || '_' || ts_ms as row_key, vote from votes)
         where row_key >= '{TITLE_ID}' and contains(row_key, '{TITLE_ID}')""",
+    "vote_snapshot_lookup": f"""
+        select tconst || '_' || ts_ms as row_key, vote from votes where tconst = '{TITLE_ID}'""",
     "recent_votes": "select tconst, vote, ts_ms from votes order by ts_ms desc, tconst",
     "vote_key_parts": """
         select row_key, split_part(row_key, '_', 1) as tconst,
@@ -286,6 +289,9 @@ SELECTS = {
         select msg_offset, epoch_us(ts) // 1000 as ts_ms, value from vote_messages
         where msg_offset not in (select msg_offset from votes_parsed)""",
     "vote_stream_totals": "select * from vote_totals",
+    "vote_stream_stored_totals": """
+        select tconst, count(*) as dn, cast(sum(vote) as bigint) as ds
+        from vote_latest group by all""",
     "vote_stream_state_totals": "select * from vote_totals",
     "vote_stream_merged": _rounded_merge("dn is not null"),
     "vote_stream_fold": FOLD,

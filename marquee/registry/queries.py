@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from marquee import versions, vote_runs
 from marquee.functions.display import json_records
 from marquee.operators import catalogue, ratings, series, votes
 from marquee.plans import analytics, ingest
@@ -23,6 +24,7 @@ from marquee.sources.votes import (
     read_vote_store,
     totals_in_state,
 )
+from marquee.streaming import stored_totals
 from marquee.streaming import votes as vote_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +147,21 @@ def _title_type_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.title_type_labels(_votes_by_title_type(spark, sf_dir))
 
 
+def _snapshot_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report in the midst of a refresh: ratings without votes are written, but not committed."""
+    warehouse = scratch_dir(spark, "snapshot-report")
+    rated = adapters.raw_table(spark, sf_dir, "title_ratings")
+    write_titles(adapters.raw_table(spark, sf_dir, "title_basics"), warehouse)
+    write_copy(rated, warehouse, "title_ratings")
+    tables = versions.subfolders(spark, warehouse)
+    versions.commit(spark, warehouse, {t: versions.newest_version(spark, f"{warehouse}/{t}") for t in tables})
+    write_copy(rated.withColumn("numVotes", F.lit(0)), warehouse, "title_ratings")
+    at = versions.present(spark, warehouse)
+    return analytics.votes_by_title_type(
+        load_titles(spark, warehouse, at), load_table(spark, warehouse, "title_ratings", at)
+    )
+
+
 # Parts of the reports ---------------------------------------------------
 
 
@@ -242,6 +259,23 @@ def _vote_range_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return votes.range_scan(read_vote_store(spark, store), TITLE_ID)
 
 
+def _vote_snapshot_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The older half of the messages is compacted into the store, the newer half only logged."""
+    folder = scratch_dir(spark, "vote-runs")
+    log, store = f"{folder}/log", f"{folder}/store"
+    messages = adapters.messages(spark, sf_dir)
+    # The events have one row of offsets, as a topic with one partition.
+    one_partition = lambda offset: F.lit(0)
+    middle = messages.agg(F.floor(F.avg("msg_offset"))).head()[0]
+    is_old = F.col("msg_offset") <= F.lit(middle).cast("bigint")
+    for half in (is_old, ~is_old):
+        vote_streams.logged(messages.where(half)).write.mode("append").partitionBy("accepted").parquet(log)
+        if half is is_old:
+            vote_runs.compact(spark, log, store, one_partition)
+    found = vote_runs.current_votes(spark, log, store, TITLE_ID, one_partition)
+    return votes.range_scan(found, TITLE_ID)
+
+
 def _recent_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return votes.recent_votes(_votes(spark, sf_dir))
 
@@ -341,6 +375,14 @@ def _vote_stream_state_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return totals_in_state(spark, f"{folder}/checkpoint")
 
 
+def _vote_stream_stored_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "stored-totals")
+    stored_totals.start_stored_totals(
+        adapters.message_stream(spark, sf_dir), f"{folder}/totals", f"{folder}/checkpoint", once=True
+    ).awaitTermination()
+    return stored_totals.stored_totals(spark, f"{folder}/totals")
+
+
 def _vote_stream_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "live-ratings")
     vote_streams.start_live_ratings(
@@ -420,6 +462,7 @@ QUERIES: dict[str, Query] = {
     "rating_by_id": _rating_by_id,
     "genre_by_decade": _genre_by_decade,
     "votes_by_title_type": _votes_by_title_type,
+    "snapshot_report": _snapshot_report,
     "top_directors": top_directors,
     "director_records": _director_records,
     "director_labels": _director_labels,
@@ -439,6 +482,7 @@ QUERIES: dict[str, Query] = {
     "vote_records_json": _vote_records_json,
     "vote_latest": _vote_latest,
     "vote_range_scan": _vote_range_scan,
+    "vote_snapshot_lookup": _vote_snapshot_lookup,
     "recent_votes": _recent_votes,
     "vote_key_parts": _vote_key_parts,
     "vote_count": _vote_count,
@@ -454,6 +498,7 @@ QUERIES: dict[str, Query] = {
     "vote_stream_rejected": _vote_stream_rejected,
     "vote_stream_totals": _vote_stream_totals,
     "vote_stream_state_totals": _vote_stream_state_totals,
+    "vote_stream_stored_totals": _vote_stream_stored_totals,
     "vote_stream_merged": _vote_stream_merged,
     "vote_stream_fold": _vote_stream_fold,
     "genre_list": _genre_list,

@@ -39,6 +39,23 @@ def present(ratings: Ratings) -> DataFrame:
     return ratings() if callable(ratings) else ratings
 
 
+def logged(messages: DataFrame, strict: bool = False) -> DataFrame:
+    """Messages as rows of the log: accepted ones as votes, others with their text."""
+    accepted = F.col("accepted")
+    return (
+        classify_messages(messages, strict)
+        .withColumns(
+            {
+                "ts_ms": F.unix_millis("ts"),
+                "tconst": F.when(accepted, F.col("tconst")),
+                "vote": F.when(accepted, F.col("vote")),
+                "value": F.when(~accepted, F.col("value")),
+            }
+        )
+        .select(*MESSAGE_LOG.names)
+    )
+
+
 def start_message_log(
     messages: DataFrame,
     path: str,
@@ -53,20 +70,7 @@ def start_message_log(
     ``read_vote_log`` and ``read_quarantine``. The file sink commits a batch
     as a whole, so a restart neither loses nor repeats a message.
     """
-    accepted = F.col("accepted")
-    rows = (
-        classify_messages(messages, strict)
-        .withColumns(
-            {
-                "ts_ms": F.unix_millis("ts"),
-                "tconst": F.when(accepted, F.col("tconst")),
-                "vote": F.when(accepted, F.col("vote")),
-                "value": F.when(~accepted, F.col("value")),
-            }
-        )
-        .select(*MESSAGE_LOG.names)
-    )
-    writer = rows.writeStream.format("parquet").partitionBy("accepted").option("path", path)
+    writer = logged(messages, strict).writeStream.format("parquet").partitionBy("accepted").option("path", path)
     return triggered(writer, checkpoint, once, every).start()
 
 

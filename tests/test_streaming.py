@@ -109,13 +109,13 @@ def test_folding_batch_by_batch_equals_folding_at_once(spark, small, stream, bat
 def test_writing_a_batch_again_replaces_it(spark, tmp_path):
     for total in (3, 4):
         rows_of_batch = spark.createDataFrame([("tt1", total, 9)], streams.TOTALS_SCHEMA)
-        streams._write_batch(rows_of_batch, str(tmp_path), 0)
+        streams.write_batch(rows_of_batch, str(tmp_path), 0)
     assert rows(latest_by_title(spark, str(tmp_path), streams.TOTALS_SCHEMA)) == [("tt1", 4, 9)]
 
 
 def test_small_batches_are_broadcast_past_the_ratings(spark, small, tmp_path):
     """Chosen by Spark from the size of the batch's files."""
-    streams._write_batch(
+    streams.write_batch(
         spark.createDataFrame([("tt0000012", 1, 5)], streams.TOTALS_SCHEMA), str(tmp_path), 0
     )
     changed = spark.read.schema(streams.TOTALS_SCHEMA).parquet(

@@ -89,7 +89,9 @@ def test_runs_and_files_of_a_lookup_do_not_grow_with_age(spark, places):
         lookup = vote_runs.stored_votes(spark, store, manifest, "tt007")
         assert files_read(lookup) <= 2 * len(sizes)
     assert found(vote_runs.stored_votes(spark, store, manifest)) == rows
-    assert sum(kept) >= 4  # many compactions leave the largest run alone
+    # Of sizes 1 to 10 the largest run is left alone at 4+1, 6+1 and 8+1; at 8+2 it
+    # depends on how well the merged votes are compressed.
+    assert sum(kept) >= 3
     assert len(vote_runs.numbered(spark, f"{store}/manifests")) == vote_runs.KEPT
 
 
@@ -113,9 +115,14 @@ def test_old_files_of_the_log_are_not_opened(spark, places):
 
 
 def test_a_hot_title_is_spread_over_files(spark, places):
+    """Ranges as they are cut; adaptive execution would put these few rows together."""
     log, store = places
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     append(spark, log, votes(0, 3000, lambda k: "hot" if k % 3 else f"tt{k}"))
-    vote_runs.compact(spark, log, store)
+    try:
+        vote_runs.compact(spark, log, store)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     sizes = [r["count"] for r in vote_runs.stored_votes(spark, store, vote_runs.newest_manifest(spark, store)).groupBy(F.input_file_name()).count().collect()]
     assert len(sizes) > 1 and max(sizes) < 1500
 
