@@ -7,8 +7,9 @@ shingles reaches a bound; the result is the connected components of the links.
 * Sets that link share a shingle among the first ones of each, in one order for
   all (prefix filter). The order puts shingles that many texts share last, so
   that common passages hardly ever propose a pair.
-* Index lists hold (size, position) and are cut into blocks by size: pairs whose
-  sizes or positions rule a link out are skipped with their blocks.
+* Index lists hold (size, position) and are cut into blocks by size. From a set's
+  position in a list follows up to which size a partner can still share enough of
+  what comes after; the blocks beyond are skipped, and so is a posting that reaches none.
 * Set relations: each set proposes the leading sets of its lists; what proposals
   connect is a cluster of similar sets. In a cluster one set's answers are
   computed, and they bound those of the others: for x and y with known overlaps
@@ -33,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marquee.llm.common import stored
+from marquee.llm.common import spare, stored
 from marquee.llm.graph import components
 from marquee.llm.succinct import EliasFano
 
@@ -51,6 +52,11 @@ FINGERPRINT, COUNT_BYTES, FLUSH_SHINGLES = 46, 64 * 2**20, 4_000_000
 LIST_ROWS = 20_000
 #: Shingles, about, of the sets of a cluster that are compared together.
 BLOCK_SHINGLES = 1_000_000
+#: Blocks of an index list within one size class (sizes from n to n * den / num).
+BLOCKS_IN_CLASS = 3
+#: Positions beyond those of the first common shingle that are looked at: a pair
+#: must then share so many shingles more. Any number gives the same links.
+SLACK = 4
 #: Entries of the memo of word hashes in a Python worker.
 MEMO = 500_000
 #: Postings of one Arrow batch, about.
@@ -112,14 +118,20 @@ def least_overlap(nx: Column, ny: Column, similarity: tuple[int, int] = SIMILARI
     return F.ceil(F.lit(num) * (nx + ny) / F.lit(num + den))
 
 
+def _row(key: str, text: str) -> Column:
+    """What tells rows apart, with or without a key: 128 bits of key and text."""
+    parts = (F.coalesce(c, F.lit("")) for c in (F.col(key).cast("bigint").cast("string"), F.col(text)))
+    return F.unhex(F.md5(F.concat_ws(":", *parts).cast("binary")))
+
+
 def _summaries(docs: DataFrame, key: str, text: str, size: int, similarity: tuple[int, int], bits: int) -> DataFrame:
-    """A row (doc, sid, n) per document, and rows (bucket, keys): fingerprints of shingles, to be counted.
+    """A row (doc, row, sid, n) per document, and rows (bucket, keys): fingerprints of shingles, to be counted.
 
     Counted are twice as many of a set's first shingles as its prefix has, 64 at
     least. A bucket is the first ``bits`` of a fingerprint, the rest is packed. A
     set that recurs in a task is counted once there.
     """
-    names = ["doc", "sid", "n", "bucket", "keys"]
+    names = ["doc", "row", "sid", "n", "bucket", "keys"]
     below = np.uint64(FINGERPRINT - bits)
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,11 +146,11 @@ def _summaries(docs: DataFrame, key: str, text: str, size: int, similarity: tupl
             rows = [(k, prints[ends[k] : ends[k + 1]]) for k in range(2**bits) if ends[k] < ends[k + 1]]
             packed = [EliasFano.of(p & np.uint64((1 << int(below)) - 1), 1 << int(below)).to_bytes() for _, p in rows]
             nothing = pa.nulls(len(rows), pa.int64())
-            return pa.RecordBatch.from_arrays([nothing, nothing, nothing, pa.array([k for k, _ in rows], pa.int32()), pa.array(packed, pa.binary())], names=names)
+            return pa.RecordBatch.from_arrays([nothing, pa.nulls(len(rows), pa.binary()), nothing, nothing, pa.array([k for k, _ in rows], pa.int32()), pa.array(packed, pa.binary())], names=names)
 
         for batch in stream:
             ns, sids = [], []
-            for value in batch.column(1):
+            for value in batch.column(2):
                 s = shingle_set(value.as_py(), size)
                 sid = set_id(s) if len(s) else None
                 ns.append(len(s))
@@ -152,11 +164,12 @@ def _summaries(docs: DataFrame, key: str, text: str, size: int, similarity: tupl
                         yield counted()
                         held, size_held = [], 0
             nothing = pa.nulls(len(ns), pa.int32()), pa.nulls(len(ns), pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sids, pa.int64()), pa.array(ns, pa.int64()), *nothing], names=names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sids, pa.int64()), pa.array(ns, pa.int64()), *nothing], names=names)
         if held:
             yield counted()
 
-    return docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text)).mapInArrow(batches, "doc bigint, sid bigint, n bigint, bucket int, keys binary")
+    rows = docs.select(F.col(key).cast("bigint").alias("doc"), _row(key, text).alias("row"), F.col(text))
+    return rows.mapInArrow(batches, "doc bigint, row binary, sid bigint, n bigint, bucket int, keys binary")
 
 
 def _common(summaries: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -200,6 +213,8 @@ def _postings(docs: DataFrame, text: str, common, size: int, similarity: tuple[i
                 if not len(tokens):
                     continue
                 sid, n = set_id(tokens), len(tokens)
+                if n >= 2 ** (63 - N_SHIFT):
+                    raise ValueError(f"a text of {n} shingles: sizes are packed into {63 - N_SHIFT} bits")
                 if sid in seen:
                     continue
                 if len(seen) < MEMO:
@@ -229,36 +244,38 @@ def _postings(docs: DataFrame, text: str, common, size: int, similarity: tuple[i
 
 
 def _only(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows whose ``doc`` may be wanted: a bit filter of fixed size goes to all executors.
+    """Rows whose ``row`` may be wanted: a bit filter of fixed size goes to all executors.
 
     Rows that pass by chance are left to the join that follows; with very many
-    wanted documents the filter passes all.
+    wanted rows the filter passes all.
     """
-    bit = F.pmod(F.xxhash64("doc"), F.lit(FILTER_BITS))
-    marks = wanted.select(F.shiftright(bit, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int")).alias("mark"))
+    bit = F.pmod(F.xxhash64("row"), F.lit(FILTER_BITS))
+    mark = F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int"))
+    marks = wanted.select(F.shiftright(bit, 6).alias("word"), mark.alias("mark"))
     words = marks.groupBy("word").agg(F.bit_or("mark").alias("marks"))  # FILTER_BITS / 64 rows at most
     rows = texts.withColumn("word", F.shiftright(bit, 6)).join(F.broadcast(words), "word")
-    return rows.where(F.col("marks").bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.bitwiseAND(63).cast("int"))) != 0).select("doc", "text")
+    return rows.where(F.col("marks").bitwiseAND(mark) != 0).select("row", "text")
 
 
 def _sets(wanted: DataFrame, members: DataFrame, docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """``wanted`` (sid and others) with ``tokens``, each set made anew from the text of one document that has it."""
-    one = members.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min("doc").alias("doc"))
-    found = stored(wanted.select("sid").distinct().join(one, "sid"), "jaccard-wanted")
-    texts = _only(docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text")), found)
+    """``wanted`` (sid, each once, and others) with ``tokens``, the set made anew from the text of one row that has it.
+
+    Texts move once; what repeated rows have in common goes before that.
+    """
+    one = members.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min("row").alias("row"))
+    found = stored(wanted.join(one, "sid"), "jaccard-wanted")
+    texts = _only(docs.select(_row(key, text).alias("row"), F.col(text).alias("text")), found)
+    others = [c for c in wanted.columns if c != "sid"]
+    types = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in wanted.select(*others).schema)
 
     def read(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in stream:
-            sets, keep = [], []
-            for k, (sid, value) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1))):
-                tokens = shingle_set(value.as_py(), size)
-                if len(tokens) and set_id(tokens) == sid:  # an id may stand for several texts
-                    keep.append(sid)
-                    sets.append(tokens.tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(keep, pa.int64()), pa.array(sets, pa.binary())], names=["sid", "tokens"])
+            sets = [shingle_set(value.as_py(), size).tobytes() for value in batch.column(1)]
+            kept = [batch.column(k) for k in range(2, batch.num_columns)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *kept, pa.array(sets, pa.binary())], names=["sid", *others, "tokens"])
 
-    read_once = found.join(texts, "doc").select("sid", "text").mapInArrow(read, "sid bigint, tokens binary")
-    return wanted.join(read_once.dropDuplicates(["sid"]), "sid")
+    met = found.join(texts.groupBy("row").agg(F.first("text").alias("text")), "row")
+    return met.select("sid", "text", *others).mapInArrow(read, f"sid bigint, {types}, tokens binary")
 
 
 def cluster_links(sets: list[np.ndarray], similarity: tuple[int, int] = SIMILARITY) -> list[tuple[int, int]]:
@@ -315,7 +332,7 @@ def _linked_in_clusters(clusters: DataFrame, members: DataFrame, docs: DataFrame
     rows = rows.join(volume, "root").withColumn("block", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     rows = _sets(rows.select("sid", "root", "block", "blocks"), members, docs, key, text, size)
-    rows = stored(rows, "jaccard-tokens").select("sid", "root", "block", "tokens", other.alias("other"))
+    rows = rows.select("sid", "root", "block", "tokens", other.alias("other"))
     rows = rows.select("sid", "root", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "tokens")
 
     def link(table: pa.Table) -> pa.Table:
@@ -410,35 +427,62 @@ def _left_over(live: DataFrame, labels: DataFrame, similarity: tuple[int, int])
     rows = live.select(_token().alias("token"), "sid", "meta").join(labels.withColumnRenamed("node", "sid"), "sid", "left")
     rows = rows.withColumn("root", F.coalesce("root", "sid"))
     apart = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low != high").select("token")
-    num, den = similarity
     rows = rows.join(apart, "token", "left_semi").select(
-        "token", "sid", "root", _n().cast("int").alias("n"), F.shiftright("meta", POS_SHIFT).bitwiseAND(F.lit(2 ** (N_SHIFT - POS_SHIFT) - 1)).cast("int").alias("pos")
+        "token", "sid", "root", _n().alias("n"), F.shiftright("meta", POS_SHIFT).bitwiseAND(F.lit(2 ** (N_SHIFT - POS_SHIFT) - 1)).alias("pos")
     )
-    rest = F.ceil(F.lit(num) * F.col("n") / F.lit(den)) - 1
-    rows = rows.withColumn("class", _size_class(F.col("n"), similarity)).withColumn("rest", rest)
-    a, b = (rows.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("sid", "n", "pos", "root", "rest", "class")]) for side in "xy")
-    # On the token alone, by which the rows lie already: no further exchange.
-    near = "class_y between class_x and class_x + 1"
-    met = a.join(b, "token").where(f"root_x != root_y and {near} and (n_x < n_y or (n_x = n_y and sid_x < sid_y))")
+    return _shared(stored(rows, "jaccard-apart"), similarity)
+
+
+def _size_block(n: Column, similarity: tuple[int, int]) -> Column:
+    num, den = similarity
+    return F.floor(F.log(n) / F.log(F.lit(den / num)) * BLOCKS_IN_CLASS).cast("int")
+
+
+def _shared(rows: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (x, y), x not larger than y, of postings (token, sid, root, n, pos) of different roots that could link.
+
+    Sets that must share ``least`` shingles have their first common one so early
+    that ``least`` are left from there on in both; with ``SLACK`` positions more,
+    as far as both prefixes reach, they share so many more of those looked at. The
+    rest that a position leaves bounds the partner's size, and only blocks of
+    sizes within the bound are met. Long blocks are dealt out into parts.
+    """
+    num, den = similarity
+    # num * (nx + ny) <= (num + den) * left: the largest sum of sizes that ``left`` positions allow.
+    reach = F.floor((num + den) * (F.col("n") - F.col("pos") + SLACK) / F.lit(num)).cast("bigint")
+    sized = rows.withColumn("reach", reach)
+    names = ["sid", "n", "pos", "root"]
+    smaller = sized.where(2 * F.col("n") <= F.col("reach")).withColumn("block", _size_block(F.col("n"), similarity))
+    parts = F.ceil(F.count("*") / F.lit(LIST_ROWS)).cast("int").alias("parts")
+    volume = smaller.groupBy("token", "block").agg(parts)
+    low, high = F.floor(num * F.col("n") / F.lit(den)), F.least("n", F.col("reach") - F.col("n"))
+    larger = sized.withColumns({"low": F.greatest(low, F.lit(1)), "high": high}).where("low <= high")
+    blocks = F.sequence(_size_block(F.col("low"), similarity), _size_block(F.col("high"), similarity))
+    larger = larger.withColumn("block", F.explode(blocks)).join(volume, ["token", "block"])
+    a = smaller.join(volume, ["token", "block"]).select(
+        "token", "block", F.pmod(F.xxhash64("sid"), F.col("parts")).cast("int").alias("part"), *[F.col(c).alias(f"{c}_x") for c in names]
+    )
+    b = larger.select("token", "block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), *[F.col(c).alias(f"{c}_y") for c in names])
     least = least_overlap(F.col("n_x"), F.col("n_y"), similarity)
-    reach = F.least("pos_x", "pos_y") + 1 + F.least(F.col("n_x") - F.col("pos_x") - 1, F.col("n_y") - F.col("pos_y") - 1)
-    counted = met.where(reach >= least).groupBy("sid_x", "sid_y", "n_x", "n_y", "rest_x", "rest_y").agg(F.count("*").alias("c"))
-    able = counted.where(F.col("c") + F.greatest("rest_x", "rest_y") >= least)
-    return able.select(F.col("sid_x").alias("x"), F.col("sid_y").alias("y"))
+    rest = F.ceil(F.lit(num) * F.col("n_y") / F.lit(den)) - 1  # of the larger set, behind its prefix
+    slack = F.least(F.lit(SLACK), least - 1 - rest)
+    early = (F.col("pos_x") + least <= F.col("n_x") + slack) & (F.col("pos_y") + least <= F.col("n_y") + slack)
+    apart = (F.col("root_x") != F.col("root_y")) & ((F.col("n_x") < F.col("n_y")) | ((F.col("n_x") == F.col("n_y")) & (F.col("sid_x") < F.col("sid_y"))))
+    met = a.join(b, ["token", "block", "part"]).where(apart & (slack >= 0) & early)
+    counted = met.select(F.col("sid_x").alias("x"), F.col("sid_y").alias("y"), slack.alias("slack")).groupBy("x", "y", "slack").agg(F.count("*").alias("c"))
+    return counted.where("c > slack").select("x", "y")
 
 
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
-    """(key, n_shingles, component_id) per row of ``docs``; ``key`` is a BIGINT.
+def groups(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """(doc, row, n, root, least) per row of ``docs``: its key, what tells it apart, shingles, group, and the group's smallest key.
 
-    ``component_id`` is the smallest key that links reach, the own one included.
-    Rows with equal texts are linked; repeated rows come out as often as they
-    went in. NULL and empty texts have the empty set: they link with nothing and
-    have their own key. No rows give no rows; other columns are not looked at.
+    ``root`` names a group whether its rows have keys or not; rows without shingles
+    have none. ``least`` is NULL where no row of the group has a key.
     """
     volume = docs.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     bits = max(1, math.ceil(math.log2(max(1, volume / COUNT_BYTES))))
     summaries = stored(_summaries(docs, key, text, size, similarity, bits), "jaccard-sets")
-    members = summaries.where(F.col("keys").isNull()).select("doc", "sid", "n")
+    members = summaries.where(F.col("keys").isNull()).select("doc", "row", "sid", "n")
     shared = docs.sparkSession.sparkContext.broadcast(_common(summaries, bits))
     live = _lists(_postings(docs, text, shared, size, similarity), similarity)
     live = stored(live, "jaccard-lists")
@@ -451,7 +495,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", si
     roots = components(edges)
     least_doc = members.where(F.col("sid").isNotNull()).groupBy("sid").agg(F.min("doc").alias("least"))
     rooted = least_doc.join(roots.withColumnRenamed("node", "sid"), "sid", "left").withColumn("root", F.coalesce("root", "sid"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("sid", "component_id")
-    return members.join(named, "sid", "left").select(
-        F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id")
+    named = rooted.select("sid", "root").join(rooted.groupBy("root").agg(F.min("least").alias("least")), "root")
+    return members.join(named, "sid", "left").select("doc", "row", "n", "root", "least")
+
+
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """(key, n_shingles, component_id) per row of ``docs``; ``key`` is a BIGINT.
+
+    ``component_id`` is the smallest key that links reach, the own one included;
+    rows whose key is NULL link like others, and where links reach no key at all
+    it is NULL. Rows with equal texts are linked; repeated rows come out as often
+    as they went in. NULL and empty texts have the empty set: they link with
+    nothing and have their own key. No rows give no rows; other columns are not
+    looked at. A text of 2**24 shingles or more is an error.
+    """
+    return groups(docs, key, text, size, similarity).select(
+        F.col("doc").alias(key), F.col("n").alias("n_shingles"), F.coalesce("least", "doc").alias("component_id")
     )
+
+
+def one_per_group(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = WORDS, similarity: tuple[int, int] = SIMILARITY) -> DataFrame:
+    """Of each group of near duplicates the row with the smallest key, or where none has a key one of its rows.
+
+    Rows without shingles are in no group and stay; repeated rows stay once.
+    """
+    found = groups(docs, key, text, size, similarity)
+    order = F.struct(F.col("doc").isNull().alias("without"), "doc", "row")
+    alone = F.when(F.col("root").isNull(), F.col("row")).alias("alone")
+    name = spare(docs.columns, "row")
+    first = found.groupBy("root", alone).agg(F.min(order)["row"].alias(name)).select(name)
+    rows = docs.withColumn(name, _row(key, text)).join(first, name, "left_semi")
+    return rows.dropDuplicates([name, key, text]).select(*docs.columns)

@@ -37,8 +37,8 @@ def test_components_of_chains_and_stars(spark):
     assert all(got[k] == 100 for k in range(100, 141)) and all(got[k] == 7 for k in range(1000, 1100)) and got[3] == 3
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_near_duplicates_equal_brute_force(spark, seed, monkeypatch):
+def near_copies(seed):
+    """Groups of altered copies of texts, some with a passage that many texts share."""
     chance = random.Random(seed)
     vocabulary = [f"w{k}" for k in range(400)]
     passage = chance.choices(vocabulary, k=25)
@@ -53,11 +53,56 @@ def test_near_duplicates_equal_brute_force(spark, seed, monkeypatch):
                 copy[chance.randrange(len(copy))] = chance.choice(vocabulary)
             texts.append((len(texts) * 3, " ".join(copy)))
     chance.shuffle(texts)
+    return texts
+
+
+#: Everywhere the smallest figures: lists in parts, clusters of many blocks, common shingles last.
+FINE = {"LIST_ROWS": 3, "BLOCK_SHINGLES": 100, "COMMON_FROM": 2, "FLUSH_SHINGLES": 500, "BATCH_ROWS": 50}
+
+
+@pytest.mark.parametrize("seed, figures", [(1, {}), (2, FINE), (3, {**FINE, "SLACK": 0}), (4, {"SLACK": 50, "COMMON_FROM": 3})])
+def test_near_duplicates_equal_brute_force(spark, seed, figures, monkeypatch):
+    for name, value in figures.items():
+        monkeypatch.setattr(jaccard_join, name, value)
+    texts = near_copies(seed)
     rows = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(4)
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(rows).collect()}
     assert got == brute_components(texts)
 
 
+@pytest.mark.parametrize("similar", [True, False])
+def test_pairs_from_lists_alone(spark, similar):
+    """Pairs that are proposed hold all that link, and with positions beyond the first hardly any other."""
+    chance = random.Random(5)
+    sets, names = {}, range(60)
+    for sid in names:
+        base = sets[chance.randrange(sid)] if sid and similar else set()
+        kept = {t for t in base if chance.random() < 0.95}
+        sets[sid] = kept | {chance.randrange(3000) for _ in range(chance.randint(0, 5) if kept else chance.randint(1, 80))}
+    rows = []
+    for sid, tokens in sets.items():
+        first = sorted(tokens)[: jaccard_join.prefix_length(len(tokens))]
+        rows += [(t, sid, sid, len(tokens), k) for k, t in enumerate(first)]
+    frame = spark.createDataFrame(rows, "token bigint, sid bigint, root bigint, n bigint, pos bigint")
+    found = {frozenset(r) for r in jaccard_join._shared(frame, jaccard_join.SIMILARITY).collect()}
+    linked = {frozenset((a, b)) for a in names for b in names if a < b and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert bool(linked) == similar and linked <= found and len(found) <= 5 * len(linked) + 3
+
+
+def test_near_copies_without_keys(spark):
+    words = [f"w{k}" for k in range(40)]
+    other, third = [w + "x" for w in words], [w + "y" for w in words]
+    altered = lambda ws: " ".join(["new", *ws[1:]])
+    texts = [(1, " ".join(words)), (None, altered(words)), (None, " ".join(other)), (None, altered(other)), (5, " ".join(third)), (None, ""), (7, None)]
+    rows = spark.createDataFrame([(k, t, "s") for k, t in texts] + [(None, altered(words), "s")], "doc_id bigint, text string, row string")
+    got = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.near_duplicates(rows).collect()), key=str)
+    assert got == sorted([(1, 36, 1), (None, 36, 1), (None, 36, 1), (None, 36, None), (None, 36, None), (5, 36, 5), (None, 0, None), (7, 0, 7)], key=str)
+    kept = jaccard_join.one_per_group(rows)
+    assert kept.columns == rows.columns
+    kept = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    assert len(kept) == 5 and {(1, " ".join(words)), (5, " ".join(third)), (None, ""), (7, None)} < set(kept)
+
+
 def test_near_duplicates_on_odd_rows(odd, none):
     rows = jaccard_join.near_duplicates(odd).collect()
     assert len(rows) == odd.count()
