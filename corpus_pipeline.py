@@ -33,11 +33,9 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the smallest id; repeated rows once.
 
-    Documents without an id stay if their group has no id at all, one of each text.
+    Documents without an id stay only if no document of their group has one, one of each group.
     """
-    groups = jaccard_join.near_duplicates(docs)
-    first = groups.where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("first")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi").dropDuplicates(["doc_id", "text"])
+    return jaccard_join.one_per_group(docs)
 
 
 def sample_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
