@@ -130,6 +130,13 @@ def cascade(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text", samp
     return docs.withColumn("rejected_by", first_rejection(of, plan_cascade(docs, rules, text, sample_rows)))
 
 
+def _window_hashes(w: Column) -> Column:
+    """64-bit hashes of the 3-word windows of a list of words."""
+    size = F.size(w)
+    trios = F.arrays_zip(w.alias("a"), F.slice(w, 2, F.greatest(size, F.lit(0))).alias("b"), F.slice(w, 3, F.greatest(size, F.lit(0))).alias("c"))
+    return F.transform(F.slice(trios, 1, F.greatest(size - 2, F.lit(0))), lambda x: F.xxhash64(x["a"], x["b"], x["c"]))
+
+
 def _repeat_words(window_hashes: Column) -> Column:
     """Words that lie in 3-word windows found twice or more.
 
@@ -174,8 +181,7 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     with_words = docs.withColumn(of, F.coalesce(F.col(text), F.lit(""))).withColumn(ws, words(F.col(of)))
     w = F.col(ws)
     size = F.size(w)
-    trios = F.arrays_zip(w.alias("a"), F.slice(w, 2, F.greatest(size, F.lit(0))).alias("b"), F.slice(w, 3, F.greatest(size, F.lit(0))).alias("c"))
-    hashes = F.transform(F.slice(trios, 1, F.greatest(size - 2, F.lit(0))), lambda x: F.xxhash64(x["a"], x["b"], x["c"]))
+    hashes = _window_hashes(w)
     lines = F.filter(F.split(F.col(of), "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     out = with_words.withColumns({
         "n_words": size.cast("bigint"),
@@ -197,3 +203,16 @@ def judged(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> Da
     out = measures(cascade(docs, rules, text), text)
     out = out.withColumn("base_failed", base_failed(F.col("n_words"), F.col("n_repeat_words")))
     return out.withColumn("kept", ~F.col("base_failed") & F.col("rejected_by").isNull())
+
+
+def passed(docs: DataFrame, rules: list[Rule] = RULES, text: str = "text") -> DataFrame:
+    """The rows that ``judged`` keeps, without the measures.
+
+    The base rules, which are the dearest, come last and see only what the others
+    leave; a text is split once, and windows are hashed only with enough words.
+    """
+    of = F.coalesce(F.col(text), F.lit(""))
+    base = let(words(of), lambda w: F.when(F.size(w) < 50, F.lit(True)).otherwise(
+        let(_window_hashes(w), lambda h: base_failed(F.size(w), _repeat_words(h)))
+    ))
+    return docs.where(F.when(first_rejection(of, plan_cascade(docs, rules, text)).isNull(), ~base).otherwise(F.lit(False)))

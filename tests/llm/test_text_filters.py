@@ -177,3 +177,18 @@ def test_urls(spark, none):
     assert url_filter.judge(rows.where("false"), weights, registered.URL_RULES).count() == 0
     right = sum((1 / (1 + 2.718281828 ** -(weights[f].sum() + weights[-1]) / len(f) ** 0.5) > 0.5) == bool(y) for u, y in url_filter.LABELLED_URLS for f in [url_filter.features(*url_filter._python_parts(u))])
     assert right == len(url_filter.LABELLED_URLS)
+
+
+def test_passed_rows_are_those_that_are_kept(spark, small, odd, none):
+    """One expression for all of it, in which texts are split once."""
+    docs = spark.read.parquet(f"{small}/documents.parquet")
+    for rows in (docs, odd, none):
+        # The measures take the place of own columns of their names, which ``passed`` leaves alone.
+        kept = quality.judged(rows).where("kept").select("doc_id", "text")
+        got = quality.passed(rows)
+        assert got.columns == rows.columns
+        assert sorted(map(str, got.select("doc_id", "text").collect())) == sorted(map(str, kept.collect()))
+    repeated = spark.createDataFrame([(1, "one two three four five " * 20), (2, " ".join(f"word{k} is here" for k in range(30)))], "doc_id bigint, text string")
+    assert [r["doc_id"] for r in quality.passed(repeated).collect()] == [2]
+    plan = quality.passed(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1
