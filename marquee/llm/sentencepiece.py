@@ -14,13 +14,15 @@ Therefore every prefix of a text has one such row, and a search finds the text's
   replaced by the next shorter one. As the row before a position is the only one,
   a marked position fails whatever leads to it, and each is visited once.
 * If no piece holds a space after anything else, no merge crosses the border in
-  front of a space: texts are cut there, and recurring parts remembered.
+  front of a space: texts are cut there, and recurring parts remembered. So they are
+  between a letter and a sign that no piece holds right after a letter.
 
 Characters that are no piece become the pieces of their bytes.
 """
 
 from __future__ import annotations
 
+import re
 import struct
 import zlib
 from collections.abc import Callable, Iterator
@@ -29,7 +31,6 @@ from functools import cached_property
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 from sentencepiece import sentencepiece_model_pb2 as proto
@@ -44,7 +45,7 @@ NO_CHARACTER = "�"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Entries of the memos of parts and pairs in a Python worker, each of which is emptied
 #: when full; parts of more characters are not remembered.
-MEMO_PARTS, MEMO_PAIRS, RECALLED = 150_000, 400_000, 48
+MEMO_PARTS, MEMO_PAIRS, RECALLED = 300_000, 400_000, 48
 #: The pairs of a piece of which none is known.
 NONE: dict[str, bool] = {}
 #: Bytes of text, about, that one output batch is made from.
@@ -88,6 +89,21 @@ class Model:
         self._pairs: dict[str, dict[str, bool]] = {}
         self._known_pairs = 0
 
+    @cached_property
+    def surfaces(self) -> list[str]:
+        """What each id stands for by itself; control pieces and bytes of longer characters have no text."""
+        of = {
+            NORMAL: lambda k: self.names[k],
+            UNKNOWN: lambda k: self.unknown_surface,
+            BYTE: lambda k: chr(self.values[k]) if self.values[k] < 128 else "",
+        }
+        return [of[kind](k) if kind in of else "" for k, kind in enumerate(self.kinds)]
+
+    @cached_property
+    def special(self) -> frozenset[int]:
+        """Ids whose text depends on others: bytes of longer characters, and what is put for unknown pieces."""
+        return frozenset(k for k, kind in enumerate(self.kinds) if kind == UNKNOWN or kind == BYTE and self.values[k] >= 128)
+
     @cached_property
     def made(self) -> set[str]:
         """The pieces that merges make out of their characters; others never occur."""
@@ -108,12 +124,30 @@ class Model:
         automaton.make_automaton()
         return automaton
 
+    @cached_property
+    def letters(self) -> str:
+        """The letters in pieces."""
+        return "".join(sorted({c for p in self.ids for c in p if c.isalpha()}))
+
+    @cached_property
+    def apart(self) -> str:
+        """Signs that no piece holds right after a letter, so that no merge joins them to one."""
+        after = {b for p in self.ids for a, b in zip(p, p[1:]) if a in self.letters}
+        return "".join(sorted({c for p in self.ids for c in p} - after - {SPACE, *self.letters}))
+
     @cached_property
     def parts(self) -> Callable[[str], list[str]]:
-        """Cuts a text in front of its spaces, if no piece holds a space after anything else."""
+        """Cuts a text where no merge can cross.
+
+        That is in front of spaces, if no piece holds one after anything else, and
+        between a letter and a sign of ``apart``.
+        """
         if any(SPACE in p.lstrip(SPACE) for p in self.made):
             return lambda text: [text]
-        return regex.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
+        letters, apart = f"[{self.letters}]", re.escape(self.apart)
+        other = f"[^{SPACE}{self.letters}]*+"
+        going_on = f"(?:{other}{letters}++(?=[^{SPACE}{apart}]))*+"  # what follows its letters may be joined to them
+        return re.compile(rf"(?!\Z){SPACE}*+{going_on}{other}{letters}*+").findall
 
     def merged(self, text: str) -> list[str]:
         """Merges neighbours of the highest score, the leftmost of equals, until none is left."""
@@ -146,32 +180,31 @@ class Model:
         size, last = len(text), len(text) - 1
         # The longest piece that begins at each character, by its distance from the end.
         longest = dict([*self.automaton.iter(text[::-1])][::-1]).get
-        compatible, shorter, pairs = self.compatible, self.shorter.get, self._pairs
+        compatible, shorter, pairs = self.compatible, self.shorter.get, self._pairs.get
         failed = bytearray(size // 8 + 1)
         row: list[str] = []
-        at, piece, follow = 0, longest(last) or text[0], None
+        at, piece, allowed = 0, longest(last) or text[0], anything
         while at < size:
             while piece is not None:
-                end = at + len(piece)
-                if not failed[end >> 3] >> (end & 7) & 1:
-                    if not row:
-                        break
-                    known = follow.get(piece)
-                    if known or known is None and compatible(row[-1], piece):
+                known = allowed(piece)
+                if known is None:
+                    known = compatible(row[-1], piece)
+                if known:
+                    end = at + len(piece)
+                    if not failed[end >> 3] >> (end & 7) & 1:
                         break
                 piece = shorter(piece)
             if piece is not None:
                 row.append(piece)
                 at = end
                 if at < size:
-                    follow = pairs.get(piece, NONE)
+                    allowed = pairs(piece, NONE).get
                     piece = longest(last - at) or text[at]
             else:
                 failed[at >> 3] |= 1 << (at & 7)
                 back = row.pop()  # never empty: the first piece of the encoding does not fail
                 at -= len(back)
-                if row:
-                    follow = pairs.get(row[-1], NONE)
+                allowed = pairs(row[-1], NONE).get if row else anything
                 piece = shorter(back)
         return row
 
@@ -208,35 +241,34 @@ class Model:
         Begin, end and other control pieces have no text; bytes that are no
         character give a replacement character each; the space in front goes.
         """
-        names, kinds, values = self.names, self.kinds, self.values
+        surfaces, kinds = self.surfaces, self.kinds
+        if self.special.isdisjoint(ids):
+            return "".join([surfaces[k] for k in ids]).removeprefix(SPACE).replace(SPACE, " ")
         out: list[str] = []
         held = bytearray()
-        in_front = True  # the space put in front may still come
         for k in ids:
-            kind = kinds[k]
-            if kind == BYTE:
-                held.append(values[k])
+            if kinds[k] == BYTE:
+                held.append(self.values[k])
                 continue
             if held:
                 out.append(characters(bytes(held)))
                 held.clear()
-                in_front = False
-            if kind == CONTROL:
-                continue
-            if kind == UNKNOWN:
-                out.append(self.unknown_surface)
-                in_front = False
-                continue
-            piece = names[k]
-            if in_front:
-                piece = piece.removeprefix(SPACE)
-                in_front = False
-            out.append(piece)
+            if not out:
+                # Only a piece at the very start loses the space that was put in front.
+                if surfaces[k]:
+                    out.append(surfaces[k].removeprefix(SPACE) if kinds[k] == NORMAL else surfaces[k])
+            else:
+                out.append(surfaces[k])
         if held:
             out.append(characters(bytes(held)))
         return "".join(out).replace(SPACE, " ")
 
 
+def anything(_piece: str) -> bool:
+    """What may stand first in a text."""
+    return True
+
+
 def characters(data: bytes) -> str:
     """UTF-8 read as far as it goes; each byte that is no part of a character is replaced."""
     try:
