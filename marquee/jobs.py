@@ -6,6 +6,7 @@
     compact LOG STORE                    new votes of the message log → runs in key order
     live SERVERS WAREHOUSE OUT CHECKPOINT    topic → ratings of the titles that change
     fold SERVERS WAREHOUSE ROOT CHECKPOINT   topic → versions of the ratings table
+    range-fold SERVERS WAREHOUSE ROOT CHECKPOINT   topic → ratings by key ranges, touched ones rewritten
     totals SERVERS OUT CHECKPOINT        topic → running totals
     stored-totals SERVERS OUT CHECKPOINT     topic → totals of a store that overwrites equal keys
     rating TITLE WAREHOUSE LOG STORE OUT rating of a title with all votes up to now, as JSON
@@ -30,6 +31,7 @@ from marquee.plans.ingest import refresh
 from marquee.session import build_session
 from marquee.sources.messages import topic_messages
 from marquee.sources.tables import load_table, load_titles
+from marquee.streaming.range_folds import start_range_folding
 from marquee.streaming.stored_totals import start_stored_totals
 from marquee.streaming.votes import (
     start_folding,
@@ -91,6 +93,14 @@ def run_fold(
     start_folding(messages, ratings, root, checkpoint, strict=strict).awaitTermination()
 
 
+def run_range_fold(
+    spark: SparkSession, servers: str, warehouse: str, root: str, checkpoint: str, strict: bool = False
+) -> None:
+    messages = topic_messages(spark, servers)
+    ratings = partial(load_table, spark, warehouse, "title_ratings")
+    start_range_folding(messages, ratings, root, checkpoint, strict=strict).awaitTermination()
+
+
 def run_totals(spark: SparkSession, servers: str, out: str, checkpoint: str, strict: bool = False) -> None:
     messages = topic_messages(spark, servers)
     start_totals(messages, out, checkpoint, strict=strict).awaitTermination()
@@ -120,12 +130,13 @@ JOBS = {
     "compact": run_compact,
     "live": run_live,
     "fold": run_fold,
+    "range-fold": run_range_fold,
     "totals": run_totals,
     "stored-totals": run_stored_totals,
     "rating": run_rating,
     "votes": run_votes,
 }
-STREAMS = {"log", "live", "fold", "totals", "stored-totals"}
+STREAMS = {"log", "live", "fold", "range-fold", "totals", "stored-totals"}
 
 
 def main(arguments: list[str]) -> None:

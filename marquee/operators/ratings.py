@@ -121,22 +121,27 @@ def merged_ratings_contains(ratings: DataFrame, votes: DataFrame) -> DataFrame:
     return merge_totals(ratings, by_title.unionByName(by_key).withColumnRenamed("piece", "tconst"))
 
 
-def fold_totals(ratings: DataFrame, totals: DataFrame) -> DataFrame:
-    """The next ratings table: merged ratings, and titles known from votes only.
-
-    Missing values count as zero where votes are added; a title without votes
-    keeps its rating.
-    """
+def folded_columns() -> list[Column]:
+    """Columns of the next ratings table over ratings next to their totals ``dn``/``ds``."""
     average, count = rating_value(F.col("averageRating")), F.col("numVotes").cast("bigint")
     zero = F.lit(0).cast("bigint")
     old_count, added = F.coalesce(count, zero), F.coalesce("dn", zero)
     old_sum = F.coalesce(average * count, F.lit(0.0))
     mean = F.try_divide(old_sum + F.col("ds"), old_count + added)
-    return ratings.join(totals, "tconst", "full").select(
-        "tconst",
+    return [
+        F.col("tconst"),
         F.when(F.col("dn") > 0, mean).otherwise(average).alias("averageRating"),
         (old_count + added).alias("numVotes"),
-    )
+    ]
+
+
+def fold_totals(ratings: DataFrame, totals: DataFrame) -> DataFrame:
+    """The next ratings table: merged ratings, and titles known from votes only.
+
+    Missing values count as zero where votes are added; a title without votes
+    keeps its rating.
+    """
+    return ratings.join(totals, "tconst", "full").select(*folded_columns())
 
 
 def fold_votes(ratings: DataFrame, votes: DataFrame) -> DataFrame:

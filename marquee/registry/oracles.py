@@ -295,6 +295,7 @@ SELECTS = {
     "vote_stream_state_totals": "select * from vote_totals",
     "vote_stream_merged": _rounded_merge("dn is not null"),
     "vote_stream_fold": FOLD,
+    "vote_stream_range_fold": FOLD,
     "genre_list": "select distinct genre from genre_by_decade",
     "decade_list": "select * from decade_list",
     "decade_ticks": """

@@ -26,6 +26,7 @@ from marquee.sources.votes import (
 )
 from marquee.streaming import stored_totals
 from marquee.streaming import votes as vote_streams
+from marquee.streaming.range_folds import load_folded_ranges, start_range_folding
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -408,6 +409,18 @@ def _vote_stream_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(load_folded_ratings(spark, f"{folder}/ratings", query.lastProgress["batchId"]))
 
 
+def _vote_stream_range_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_dir(spark, "range-folding")
+    start_range_folding(
+        adapters.message_stream(spark, sf_dir),
+        adapters.ratings(spark, sf_dir),
+        f"{folder}/ratings",
+        f"{folder}/checkpoint",
+        once=True,
+    ).awaitTermination()
+    return _rounded(load_folded_ranges(spark, f"{folder}/ratings"))
+
+
 # Chart data -------------------------------------------------------------
 
 
@@ -501,6 +514,7 @@ QUERIES: dict[str, Query] = {
     "vote_stream_stored_totals": _vote_stream_stored_totals,
     "vote_stream_merged": _vote_stream_merged,
     "vote_stream_fold": _vote_stream_fold,
+    "vote_stream_range_fold": _vote_stream_range_fold,
     "genre_list": _genre_list,
     "decade_list": _decade_list,
     "decade_ticks": _decade_ticks,
