@@ -144,6 +144,8 @@ class Model:
         """
         if any(SPACE in p.lstrip(SPACE) for p in self.made):
             return lambda text: [text]
+        if not self.letters:
+            return re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+").findall
         letters, apart = f"[{self.letters}]", re.escape(self.apart)
         other = f"[^{SPACE}{self.letters}]*+"
         going_on = f"(?:{other}{letters}++(?=[^{SPACE}{apart}]))*+"  # what follows its letters may be joined to them

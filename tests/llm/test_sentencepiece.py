@@ -48,6 +48,25 @@ def test_decoding_of_any_ids_equals_the_library(model, judge):
         assert model.decode(ids) == judge.decode(ids), ids
 
 
+def test_parts_are_whole_and_no_piece_crosses_their_borders(model):
+    rnd = random.Random(8)
+    signs = ".,;:!?()\"'-\n\t|#ab zßé中😀²" + sentencepiece.SPACE
+    pairs = {p[k : k + 2] for p in model.ids for k in range(len(p) - 1)}
+    for _ in range(3000):
+        text = sentencepiece.SPACE + "".join(rnd.choice(signs) for _ in range(rnd.randint(0, 12)))
+        parts = model.parts(text)
+        assert "".join(parts) == text and all(parts)
+        assert not any(left[-1] + right[0] in pairs for left, right in zip(parts, parts[1:]))
+    assert model.parts("▁well,▁then") == ["▁well", ",", "▁then"]
+
+
+def test_a_model_without_letters_cuts_at_spaces_alone(model):
+    bare = sentencepiece.Model.__new__(sentencepiece.Model)
+    bare.ids = {sentencepiece.SPACE: 0, "1": 1, "2": 2}
+    bare.made = set(bare.ids)
+    assert bare.parts("▁12▁▁x.1") == ["▁12", "▁▁x.1"]
+
+
 def test_merges_equal_the_search(model):
     for text in texts(400, 3):
         if len(text) < 60:
