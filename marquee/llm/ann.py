@@ -30,6 +30,8 @@ ENTRIES = 24
 RELAXED = 1.2
 #: Nodes that are linked, and queries that are searched, together.
 BATCH = 256
+#: Tasks that shards are dealt to, for each shard, so that few meet in one.
+TASKS_PER_SHARD = 4
 #: Queries that are sent to a shard's graph together.
 QUERY_BLOCK = 20_000
 
@@ -222,7 +224,11 @@ def index(rows: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding
         return pa.table([table.column("width"), table.column("shard"), pa.array(np.arange(len(vectors), dtype=np.int32)), entry, table.column("vector"), table.column("ids"), edges], names=["width", "shard", "node", "entry", "vector", "ids", "edges"])
 
     schema = "width int, shard int, node int, entry boolean, vector array<double>, ids array<bigint>, edges array<int>"
-    linked = dealt.select("width", "shard", "vector", "ids").groupBy("width", "shard").applyInArrow(link, schema)
+    # Shards are small in bytes and dear to build: a number of tasks of its own keeps adaptive
+    # execution from putting them together.
+    tasks = TASKS_PER_SHARD * int(shards.agg(F.sum("shards")).first()[0] or 1)
+    spread = dealt.select("width", "shard", "vector", "ids").repartition(tasks, "width", "shard")
+    linked = spread.groupBy("width", "shard").applyInArrow(link, schema)
     return stored(linked, "ann-index")
 
 
