@@ -20,9 +20,9 @@ from marquee.schemas import (
     raw_name,
     table_of_dump,
 )
-from marquee.sinks.tables import save_bucketed, write_copy, write_raw, write_titles
+from marquee.sinks.tables import measures, save_bucketed, write_copy, write_raw, write_titles
 from marquee.sources.dumps import read_dump
-from marquee.sources.tables import load_raw, load_table, load_titles
+from marquee.sources.tables import load_raw, load_table, load_titles, read_parquet
 from marquee.versions import commit, newest, newest_version, next_version, stored_bytes
 
 # Stored bytes of a bucket, which one task sorts and writes.
@@ -52,8 +52,11 @@ def land_dump(spark: SparkSession, path: str, warehouse: str, table: str) -> Non
     write_raw(read_dump(spark, path, table).hint("rebalance"), warehouse, table)
 
 
-def convert_table(spark: SparkSession, warehouse: str, table: str) -> None:
-    write_copy(load_raw(spark, warehouse, table), warehouse, table)
+def convert_table(spark: SparkSession, warehouse: str, table: str) -> dict:
+    """The raw table's copy, compared while it is written with what was measured at landing."""
+    source = newest(spark, f"{warehouse}/{raw_name(table)}")
+    rows = read_parquet(spark, source, RAW_SCHEMAS[table])
+    return write_copy(rows, warehouse, table, measures(spark, source))
 
 
 def partition_titles(spark: SparkSession, warehouse: str) -> None:

@@ -212,6 +212,7 @@ SELECTS = {
     "preview_names": "select nconst, primaryName from name_basics order by nconst limit 10",
     "preview_akas": "select title, region from title_akas order by titleId limit 10",
     "rating_by_id": f"select * from title_ratings where tconst = '{TITLE_ID}' limit 1",
+    "rating_by_id_bloom": f"select * from title_ratings where tconst = '{TITLE_ID}' limit 1",
     "genre_by_decade": "select * from genre_by_decade",
     "votes_by_title_type": "select * from votes_by_title_type",
     "snapshot_report": "select * from votes_by_title_type",
@@ -293,6 +294,7 @@ SELECTS = {
         select tconst, count(*) as dn, cast(sum(vote) as bigint) as ds
         from vote_latest group by all""",
     "vote_stream_state_totals": "select * from vote_totals",
+    "vote_stream_changes": "select * from vote_totals",
     "vote_stream_merged": _rounded_merge("dn is not null"),
     "vote_stream_fold": FOLD,
     "vote_stream_range_fold": FOLD,

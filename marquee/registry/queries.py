@@ -16,13 +16,17 @@ from marquee.schemas import COPIED_TABLES
 from marquee.session import scratch_dir
 from marquee.sinks.tables import write_copy, write_folded_ratings, write_raw, write_titles
 from marquee.sinks.votes import write_vote_store
+from marquee.sources.messages import file_messages
 from marquee.sources.tables import load_folded_ratings, load_raw, load_table, load_titles
 from marquee.sources.votes import (
+    changes_in_state,
+    last_batch,
     latest_by_title,
     read_quarantine,
     read_vote_log,
     read_vote_store,
     totals_in_state,
+    with_changes,
 )
 from marquee.streaming import stored_totals
 from marquee.streaming import votes as vote_streams
@@ -63,26 +67,17 @@ def _tsv_roundtrip(table: str) -> Query:
 
 
 def _parquet_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Convert all six tables; rows and total text length of each copy."""
+    """Convert all six tables; rows and total text length of each copy, measured while it is written."""
     warehouse = scratch_dir(spark, "conversion")
+    copied = {}
 
     def convert(table: str) -> None:
         write_raw(adapters.raw_table(spark, sf_dir, table), warehouse, table)
-        ingest.convert_table(spark, warehouse, table)
+        copied[table] = ingest.convert_table(spark, warehouse, table)
 
     ingest.at_once(lambda table=table: convert(table) for table in COPIED_TABLES)
-    report = None
-    for table in COPIED_TABLES:
-        copied = load_table(spark, warehouse, table)
-        lengths = [F.length(F.coalesce(F.col(c).cast("string"), F.lit(""))) for c in copied.columns]
-        size = lengths[0].cast("bigint")
-        for length in lengths[1:]:
-            size = size + length
-        line = copied.agg(F.count("*").alias("n_rows"), F.sum(size).alias("n_chars")).select(
-            F.lit(table).alias("table_name"), "n_rows", "n_chars"
-        )
-        report = line if report is None else report.unionByName(line)
-    return report
+    lines = [(table, copied[table]["n_rows"], copied[table]["n_chars"]) for table in COPIED_TABLES]
+    return spark.createDataFrame(lines, "table_name STRING, n_rows BIGINT, n_chars BIGINT")
 
 
 def _partitioned_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +108,14 @@ def _rating_by_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ratings.rating_by_id(load_table(spark, warehouse, "title_ratings"), TITLE_ID)
 
 
+def _rating_by_id_bloom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A copy whose Bloom filters are sized by the keys that were counted at landing."""
+    warehouse = scratch_dir(spark, "rating-by-id-bloom")
+    write_raw(adapters.raw_table(spark, sf_dir, "title_ratings"), warehouse, "title_ratings")
+    ingest.convert_table(spark, warehouse, "title_ratings")
+    return ratings.rating_by_id(load_table(spark, warehouse, "title_ratings"), TITLE_ID)
+
+
 # Reports ----------------------------------------------------------------
 
 
@@ -384,6 +387,24 @@ def _vote_stream_stored_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored_totals.stored_totals(spark, f"{folder}/totals")
 
 
+def _vote_stream_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A reader that took the totals after the older half of the messages, and then what changed."""
+    folder = scratch_dir(spark, "state-changes")
+    messages = adapters.messages(spark, sf_dir)
+    middle = messages.agg(F.floor(F.avg("msg_offset"))).head()[0]
+    is_old = F.col("msg_offset") <= F.lit(middle).cast("bigint")
+    for half in (is_old, ~is_old):
+        messages.where(half).write.mode("append").parquet(f"{folder}/messages")
+        vote_streams.start_totals(
+            file_messages(spark, f"{folder}/messages"), f"{folder}/rows", f"{folder}/checkpoint", once=True
+        ).awaitTermination()
+        if half is is_old:
+            mark = last_batch(spark, f"{folder}/checkpoint")
+    before = totals_in_state(spark, f"{folder}/checkpoint", mark)
+    changed = changes_in_state(spark, f"{folder}/checkpoint", mark)
+    return with_changes(before, changed)
+
+
 def _vote_stream_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "live-ratings")
     vote_streams.start_live_ratings(
@@ -473,6 +494,7 @@ QUERIES: dict[str, Query] = {
     "preview_names": _preview_names,
     "preview_akas": _preview_akas,
     "rating_by_id": _rating_by_id,
+    "rating_by_id_bloom": _rating_by_id_bloom,
     "genre_by_decade": _genre_by_decade,
     "votes_by_title_type": _votes_by_title_type,
     "snapshot_report": _snapshot_report,
@@ -512,6 +534,7 @@ QUERIES: dict[str, Query] = {
     "vote_stream_totals": _vote_stream_totals,
     "vote_stream_state_totals": _vote_stream_state_totals,
     "vote_stream_stored_totals": _vote_stream_stored_totals,
+    "vote_stream_changes": _vote_stream_changes,
     "vote_stream_merged": _vote_stream_merged,
     "vote_stream_fold": _vote_stream_fold,
     "vote_stream_range_fold": _vote_stream_range_fold,

@@ -48,6 +48,8 @@ def build_session(
         "spark.sql.sources.partitionOverwriteMode": "static",
         # Running totals hold one entry per voted title, off the JVM heap.
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB_PROVIDER,
+        # A batch stores what it changed, which readers of the state can ask for.
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
         **conf,
     }
     if largest_shuffle_bytes is not None:

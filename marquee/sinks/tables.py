@@ -2,13 +2,84 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+import json
+import math
+
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
 from marquee.schemas import PARTITIONED_TABLE, PARTITIONED_TITLES, parquet_name, raw_name
 from marquee.sources.dumps import whole_number
-from marquee.versions import drop_old, next_version, version_path
+from marquee.versions import complete, drop_old, get_text, next_version, put_text, removed, version_path
+
+#: What was measured while a version was written, next to its files.
+MEASURES = "_measures.json"
+#: Largest Bloom filter of a row group; what it really takes follows from its keys.
+BLOOM_BYTES = 2**20
+BLOOM_BITS_PER_KEY = 10
+
+
+class IncompleteCopy(Exception):
+    """A copy does not hold what its source held; its version has been removed."""
+
+
+def _measure_columns(rows: DataFrame) -> list[Column]:
+    hashed = F.xxhash64(*rows.columns)
+    lengths = [F.length(F.coalesce(F.col(c).cast("string"), F.lit(""))).cast("bigint") for c in rows.columns]
+    return [
+        F.count(F.lit(1)).alias("n_rows"),
+        F.coalesce(F.sum(sum(lengths[1:], lengths[0])), F.lit(0)).alias("n_chars"),
+        # Sums of both halves of the hashes: exact, in any order, and equal rows add up.
+        *(
+            F.coalesce(F.sum(half.cast("decimal(10,0)")), F.lit(0)).cast("string").alias(name)
+            for half, name in ((F.shiftrightunsigned(hashed, 32), "high"), (hashed.bitwiseAND(F.lit(0xFFFFFFFF)), "low"))
+        ),
+        F.approx_count_distinct(rows.columns[0]).alias("n_keys"),
+    ]
+
+
+def _write_measured(rows: DataFrame, path: str, expected: dict | None = None, **options: str) -> dict:
+    """A new version, measured in the tasks that write it, complete only if it is as expected.
+
+    The measures are rows, characters, a sum of row hashes, and about how many keys;
+    the last is not compared. They are taken in the last stage, whose tasks count once
+    each however often they are tried.
+    """
+    spark, version = rows.sparkSession, next_version(rows.sparkSession, path)
+    seen = Observation()
+    writer = rows.observe(seen, *_measure_columns(rows)).write.options(**options)
+    # Readers take a version with a completion mark, so the mark waits for the comparison.
+    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(version)
+    got = seen.get
+    wrong = [name for name, value in (expected or {}).items() if name != "n_keys" and got[name] != value]
+    if wrong:
+        removed(spark, version)
+        raise IncompleteCopy(f"{version}: " + ", ".join(f"{n} is {got[n]}, not {expected[n]}" for n in wrong))
+    put_text(spark, f"{version}/{MEASURES}", json.dumps(got))
+    complete(spark, version)
+    drop_old(spark, path)
+    return got
+
+
+def measures(spark: SparkSession, version: str) -> dict:
+    """What was measured when a raw table's or copy's version was written."""
+    return json.loads(get_text(spark, f"{version}/{MEASURES}"))
+
+
+def _bloom_options(key: str, keys: int | None) -> dict[str, str]:
+    """Bloom filters on the key, each as large as the keys of its row group need.
+
+    Of the sizes up to the one that all keys of the table would need, the writer keeps
+    the smallest that is not too full.
+    """
+    needed = BLOOM_BYTES if keys is None else 2 ** math.ceil(math.log2(max(1024, keys * BLOOM_BITS_PER_KEY / 8)))
+    return {
+        f"parquet.bloom.filter.enabled#{key}": "true",
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.bloom.filter.candidates.number": "10",
+        "parquet.bloom.filter.max.bytes": str(min(needed, 16 * BLOOM_BYTES)),
+    }
 
 
 def _write_version(writer: DataFrameWriter, spark: SparkSession, path: str) -> None:
@@ -17,19 +88,22 @@ def _write_version(writer: DataFrameWriter, spark: SparkSession, path: str) -> N
     drop_old(spark, path)
 
 
-def write_raw(rows: DataFrame, warehouse: str, table: str) -> None:
-    """Full refresh of a raw table."""
-    _write_version(rows.write, rows.sparkSession, f"{warehouse}/{raw_name(table)}")
+def write_raw(rows: DataFrame, warehouse: str, table: str) -> dict:
+    """Full refresh of a raw table; returns what was measured on the way."""
+    return _write_measured(rows, f"{warehouse}/{raw_name(table)}")
 
 
-def write_copy(rows: DataFrame, warehouse: str, table: str) -> None:
-    """Parquet copy of a table, without a shuffle.
+def write_copy(rows: DataFrame, warehouse: str, table: str, expected: dict | None = None) -> dict:
+    """Parquet copy of a table, without a shuffle; returns what was measured on the way.
 
-    Rows are ordered by key inside each file, which lets a lookup by key skip
-    nearly all pages of it.
+    Each file spans all keys. Rows are ordered by key inside it, which lets a lookup
+    skip nearly all pages of a row group, and a Bloom filter on the key lets it skip
+    the row groups without it. With ``expected``, the measures of the source, a copy
+    that differs is removed and ``IncompleteCopy`` raised; the table stays as it was.
     """
-    writer = rows.sortWithinPartitions(rows.columns[0]).write
-    _write_version(writer, rows.sparkSession, f"{warehouse}/{parquet_name(table)}")
+    key = rows.columns[0]
+    blooms = _bloom_options(key, expected and expected["n_keys"])
+    return _write_measured(rows.sortWithinPartitions(key), f"{warehouse}/{parquet_name(table)}", expected, **blooms)
 
 
 def typed_titles(raw_titles: DataFrame) -> DataFrame:

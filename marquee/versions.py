@@ -156,6 +156,12 @@ def completed(spark: SparkSession, path: str) -> bool:
     return files.exists(mark)
 
 
+def complete(spark: SparkSession, path: str) -> None:
+    """Marks a folder as written to its end, which its writer has left to the caller."""
+    files, mark = _files(spark, f"{path}/{COMPLETED}")
+    files.create(mark, True).close()
+
+
 def put_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file that is there whole or not at all: written aside, then renamed.
 
