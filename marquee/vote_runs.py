@@ -33,6 +33,8 @@ GROWTH = 4
 #: Files of the log are skipped if they are older by this much than the newest one
 #: that a compaction took; only clocks of a file system that differ by more could err.
 SLACK_SECONDS = 3600
+#: Below any offset: nothing of that partition is stored.
+NO_MARK = -1
 INDEX = "path STRING, low STRING, high STRING"
 
 
@@ -77,9 +79,10 @@ def tail(spark: SparkSession, log: str, manifest: Manifest, partition=topic_part
         since = F.timestamp_seconds(F.lit(manifest.log_time - SLACK_SECONDS))
         rows = rows.where(F.col("_metadata.file_modification_time") >= since)
     if manifest.marks:
-        marks = spark.createDataFrame(list(manifest.marks.items()), "part BIGINT, mark BIGINT")
-        part = partition(F.col("msg_offset")).cast("bigint")
-        rows = rows.join(marks, part == F.col("part"), "left").where(F.col("mark").isNull() | (F.col("msg_offset") > F.col("mark")))
+        # Partitions are numbered from 0 (16 bits at most), so marks are looked up by place, without a join.
+        marks = F.lit([manifest.marks.get(k, NO_MARK) for k in range(max(manifest.marks) + 1)]).cast("array<bigint>")
+        mark = F.get(marks, partition(F.col("msg_offset")).cast("int"))
+        rows = rows.where(F.col("msg_offset") > F.coalesce(mark, F.lit(NO_MARK)))
     return rows.select(*VOTE_LOG_COLUMNS)
 
 
