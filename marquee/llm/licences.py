@@ -1,10 +1,10 @@
 """Licence scan by sentence rules.
 
 A text is brought to a normal form, with signs where sentences and lines end, and
-the known sentences of licences are sought in it. One begins and ends where a
-sentence or a line does and may run over several lines, with comment marks before
-and after each. The text's known sentences, in order, are then matched against
-rules: sequences of sentences with few others between them.
+cut there into pieces. Each run of neighbouring pieces that may be a known sentence
+is looked up in one map from sentences to identifiers: a sentence may run over
+several lines, with comment marks before and after each. The identifiers, in order,
+are then matched against rules: sequences of sentences with few others between them.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marquee.llm.common import UPPER
+from marquee.llm.quality import let
 
 #: One letter for each known sentence, in normal form. They are
 #: sentences of public licence texts and of the usual notices.
@@ -63,6 +64,9 @@ RULES = [
     ("proprietary", "u"),
 ]
 
+#: One more than the others that a rule lets stand between two sentences.
+OTHERS = 4
+
 #: Each known sentence holds one of these, so that other texts need not be cut.
 ANCHORS = ("licens", "copyright", "warranty", "rights reserved")
 #: How sentences end, and what stands between the words of the normal form.
@@ -73,7 +77,7 @@ EDGES = r"^[ ./+-]+|[ ./+-]+$"
 
 def pattern(rule: str) -> str:
     """A rule as a regular expression over letters, with "." for unknown sentences."""
-    return rule.replace("~", "[.a-z]{0,3}")
+    return rule.replace("~", f"[.a-z]{{0,{OTHERS - 1}}}")
 
 
 def _lower(text: Column) -> Column:
@@ -99,19 +103,77 @@ def _marked(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(whole, r"(?<![ ./+Z-])[ ./+-]*+Z[ ./+Z-]*+", LINE), EDGES, "")
 
 
-def _wording(sentence: str) -> str:
-    """A known sentence as a regular expression over marked text."""
-    words = sentence.replace(".", r"\.").replace("+", r"\+").replace(" ", "[ Z]").replace("|", "[ YZ]")
-    return f"(?<![^YZ]){words}(?![^YZ])"
+def known_sentences() -> dict[str, str]:
+    """Every known wording with its letter, "|" for the end of a sentence inside it.
+
+    Where a wording may end a sentence or go on, both forms are known.
+    """
+    known = {sentence: letter for letter, sentence in SENTENCES.items()}
+    for letter, wording in WORDINGS:
+        known |= {wording: letter, wording.replace("|", " "): letter}
+    return known
+
+
+def _longest_known(pieces: Column, known: dict[str, str]) -> Column:
+    """For each piece the letter and number of pieces of the longest known sentence that begins there.
+
+    Only pieces that begin as a known sentence does are looked at, and runs grow from
+    them until they are as long as the longest. Each run is one look-up.
+    """
+    letter_of = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
+    first_words = F.lit(sorted({sentence.split(" ")[0] for sentence in known}))
+    most_pieces = max(len(sentence.replace("|", " ").split(" ")) for sentence in known)
+    none = F.struct(F.lit(None).cast("string").alias("letter"), F.lit(0).alias("n"))
+
+    def at(piece: Column, i: Column) -> Column:
+        start = F.struct(F.lit("").alias("run"), F.lit(0).alias("n"), none.alias("best"))
+
+        def longer(state: Column, following: Column) -> Column:
+            run, n = F.concat(state["run"], following["text"]), state["n"] + 1
+            letter = F.element_at(letter_of, run)
+            best = F.when(letter.isNotNull(), F.struct(letter.alias("letter"), n.alias("n"))).otherwise(state["best"])
+            return F.struct(F.concat(run, following["gap"]).alias("run"), n.alias("n"), best.alias("best"))
+
+        grown = F.aggregate(F.slice(pieces, i + 1, most_pieces), start, longer, lambda state: state["best"])
+        return F.when(F.array_contains(first_words, F.substring_index(piece["text"], " ", 1)), grown).otherwise(none)
+
+    return F.transform(pieces, at)
 
 
 def letters(text: Column) -> Column:
-    """One letter per known sentence of a text, "." for each other between them."""
-    code = _marked(text)
-    known = [*SENTENCES.items(), *WORDINGS]
-    for letter, sentence in sorted(known, key=lambda k: -len(k[1])):  # the longer of two that begin alike
-        code = F.regexp_replace(code, _wording(sentence), END + letter.upper() + END)
-    return _lower(F.regexp_replace(F.regexp_replace(F.regexp_replace(code, "Z?Y+Z?", END), "[a-z0-9./+ Z-]+", "."), END, ""))
+    """One letter per known sentence of a text, "." for each other between them.
+
+    No rule spans ``OTHERS`` others, so that a longer row of them is as good as one of that length.
+    """
+
+    def pieces(marked: Column) -> Column:
+        texts = F.split(marked, f"[{END}{LINE}]")
+        signs = F.regexp_extract_all(marked, F.lit(f"[{END}{LINE}]"), F.lit(0))
+        gaps = F.transform(signs, lambda sign: F.translate(sign, END + LINE, "| "))
+        return F.transform(
+            F.arrays_zip(texts.alias("text"), gaps.alias("gap")),
+            lambda p: F.struct(p["text"].alias("text"), F.coalesce(p["gap"], F.lit("")).alias("gap")),
+        )
+
+    def coded(cut: Column) -> Column:
+        def state(code: Column, taken: Column, in_other: Column, others: Column) -> Column:
+            return F.struct(code.alias("code"), taken.alias("taken"), in_other.alias("in_other"), others.alias("others"))
+
+        def step(s: Column, p: Column) -> Column:
+            """``taken``: pieces that a sentence found before still covers; ``others``: dots in a row."""
+            goes_on, found = p["piece"]["gap"] == " ", p["found"]
+            adds = ~s["in_other"] & (s["others"] < OTHERS)
+            return (
+                F.when(s["taken"] > 0, state(s["code"], s["taken"] - 1, F.lit(False), F.lit(0)))
+                .when(found["n"] > 0, state(F.concat(s["code"], found["letter"]), found["n"] - 1, F.lit(False), F.lit(0)))
+                .when(adds, state(F.concat(s["code"], F.lit(".")), F.lit(0), goes_on, s["others"] + 1))
+                .otherwise(state(s["code"], F.lit(0), goes_on, s["others"]))
+            )
+
+        found = F.arrays_zip(cut.alias("piece"), _longest_known(cut, known_sentences()).alias("found"))
+        return F.aggregate(found, state(F.lit(""), F.lit(0), F.lit(False), F.lit(0)), step, lambda s: s["code"])
+
+    return let(_marked(text), lambda marked: F.when(marked == "", F.lit("")).otherwise(let(pieces(marked), coded)))
 
 
 def scan(docs: DataFrame, text: str = "text") -> DataFrame:

@@ -55,25 +55,48 @@ FROM e JOIN w{n} w ON {joined}"""
 
 
 def licences_sql() -> str:
-    """Sentences as rows, looked up by a join, and put together again."""
-    known = ", ".join(f"({_quoted(s)}, '{letter}')" for letter, s in licences.SENTENCES.items())
-    held = " OR ".join(f"contains(low, {_quoted(a)})" for a in licences.ANCHORS)
+    """Known sentences compared at the place of each piece; those inside a longer one go."""
+    known = ", ".join(f"({_quoted(s)}, '{letter}')" for s, letter in licences.known_sentences().items())
+    held = " OR ".join(f"contains(low, {_quoted(a.split()[-1])})" for a in licences.ANCHORS)
     upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
     matches = ", ".join(f"CASE WHEN regexp_matches(code, {_quoted(licences.pattern(rule))}) THEN {_quoted(name)} END" for name, rule in licences.RULES)
+    marked = "low"
+    for old, new in [
+        (r"\r\n?", "\n"), (r"(^|\n)[^a-z0-9\n]+", r"\1"), (licences.SENTENCE_END, " Y "), (r"\n{2,}", " Y "), (r"\n", " Z "),
+        (r"[^a-z0-9./+YZ-]+", " "), (r"[ ./+Z-]*Y[ ./+YZ-]*", "Y"), (r"[ ./+-]*Z[ ./+Z-]*", "Z"), (licences.EDGES, ""),
+    ]:
+        marked = f"regexp_replace({marked}, {_quoted(old)}, {_quoted(new)}, 'g')"
     return f"""WITH known(sentence, letter) AS (VALUES {known}),
-d AS (SELECT doc_id, text, translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS low FROM documents),
-cut AS (SELECT doc_id, string_split(regexp_replace(low, '{licences.SENTENCE_END}', '\\1\n', 'g'), chr(10)) AS parts FROM d WHERE {held}),
-line AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS place FROM cut),
+d AS (SELECT row_number() OVER () AS row, doc_id, translate(coalesce(text, ''), '{upper}', '{upper.lower()}') AS low FROM documents),
+m AS MATERIALIZED (SELECT row, {marked} AS marked FROM d WHERE {held}),
+cut AS (SELECT row, string_split_regex(marked, '[YZ]') AS texts, regexp_extract_all(marked, '[YZ]') AS signs FROM m WHERE marked <> ''),
+lone AS (SELECT row, unnest(texts) AS text, unnest(list_append(signs, '')) AS sign, generate_subscripts(texts, 1) AS place FROM cut),
+piece AS MATERIALIZED (
+  SELECT *, coalesce(sum(length(text) + 1) OVER (PARTITION BY row ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+         lag(sign) OVER (PARTITION BY row ORDER BY place) AS before,
+         string_agg(text || sign, '') OVER (PARTITION BY row ORDER BY place ROWS BETWEEN CURRENT ROW AND 40 FOLLOWING) AS ahead FROM lone),
+hit AS (
+  SELECT row, place, start, start + length(sentence) AS stop, letter FROM piece JOIN known
+    ON split_part(text, ' ', 1) = split_part(sentence, ' ', 1)
+   AND translate(substr(ahead, 1, length(sentence)), 'YZ', '| ') = sentence
+   AND substr(ahead, length(sentence) + 1, 1) IN ('', 'Y', 'Z')
+  QUALIFY row_number() OVER (PARTITION BY row, place ORDER BY length(sentence) DESC) = 1),
+kept AS (SELECT * FROM hit h WHERE NOT EXISTS (SELECT 1 FROM hit o WHERE o.row = h.row AND o.start < h.start AND h.start < o.stop)),
+free AS (
+  SELECT p.row, p.place, p.before FROM piece p
+  WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.row = p.row AND k.start <= p.start AND p.start < k.stop)),
+other AS (
+  SELECT row, place, '.' AS letter FROM free f
+  WHERE NOT (before = 'Z' AND EXISTS (SELECT 1 FROM free e WHERE e.row = f.row AND e.place = f.place - 1))),
 coded AS (
-  SELECT doc_id, string_agg(coalesce(letter, '.'), '' ORDER BY place) AS code
-  FROM line LEFT JOIN known ON sentence = regexp_replace(regexp_replace(part, '{licences.BETWEEN}', ' ', 'g'), '{licences.EDGES}', '', 'g')
-  GROUP BY doc_id),
-found AS (SELECT doc_id, code, list_filter([{matches}], lambda x: x IS NOT NULL) AS names FROM coded),
+  SELECT row, string_agg(letter, '' ORDER BY place) AS code
+  FROM (SELECT row, place, letter FROM kept UNION ALL SELECT row, place, letter FROM other) GROUP BY row),
+found AS (SELECT row, code, list_filter([{matches}], lambda x: x IS NOT NULL) AS names FROM coded),
 named AS (
-  SELECT doc_id, replace(code, '.', '') AS code,
+  SELECT row, replace(code, '.', '') AS code,
          nullif(array_to_string(list_filter(names, lambda x, k: list_position(names, x) = k), ','), '') AS names FROM found)
 SELECT d.doc_id, coalesce(code, '') AS sentence_ids, nullif(split_part(coalesce(names, ''), ',', 1), '') AS licence, names AS licences
-FROM d LEFT JOIN named ON d.doc_id = named.doc_id"""
+FROM d LEFT JOIN named ON d.row = named.row"""
 
 
 def quality_sql() -> str:

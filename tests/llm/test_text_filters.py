@@ -1,6 +1,7 @@
 import re
 from collections import Counter
 
+import duckdb
 import pytest
 from compare import connect, differences
 from pyspark.sql import functions as F
@@ -118,9 +119,18 @@ def test_notices_are_found_over_several_lines(spark):
     cases += [(text.replace("\n", "\r\n"), ids, name) for text, ids, name in WRAPPED]
     cases += [("Some words\n" + licences.SENTENCES[k].replace(" ", "\n") + ".\nMore words", k, name) for k, name in SHORT.items()]
     cases += [("licensed under\n\nthe mit license", "", None), ("it is not licensed under\nthe mit license", "", None), ("x\nlicensed under the mit license y", "", None)]
+    first, last = (licences.SENTENCES[k].capitalize() + "." for k in "gh")
+    for n in range(8):  # others between two sentences of a rule, over one line each or two
+        for other in (" Another one.", " Another\none.", "\n\nAnother\none;\n"):
+            cases.append((first + other * n + " " + last, "gh", "MIT" if n <= 3 else None))
+    cases.append((("Some line without a mark\n" * 3 + "An end. ") * 20_000 + "All rights reserved.", "u", "proprietary"))
     rows = spark.createDataFrame([(k, text) for k, (text, *_) in enumerate(cases)], "doc_id long, text string")
     got = licences.scan(rows).orderBy("doc_id").collect()
     assert [(r["sentence_ids"], r["licence"]) for r in got] == [(ids, name) for _, ids, name in cases]
+    con = duckdb.connect()
+    con.register("documents", rows.toPandas())
+    by_sql = con.sql(f"SELECT * FROM ({registered.ORACLES['op7_licence_scans']}) ORDER BY doc_id").fetchall()
+    assert by_sql == [(r["doc_id"], r["sentence_ids"], r["licence"], r["licences"]) for r in got]
 
 
 def test_grammar_scores_clauses_not_words():
