@@ -15,25 +15,29 @@ probabilities. Texts are not moved: a task sends each shard the pairs that its
 texts hold, once each, with the places where they occur; the shard looks them up
 in its memory-mapped trie and answers with one sum per text. The rare words'
 counts are asked for in the same way, as words.
+
+Texts are cut into words three times: to count words, to count pairs of either
+kind, and to ask for what a score takes. Each time many texts are cut at once.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import tempfile
 import zlib
-from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marquee.llm.common import stored
+from marquee.llm.common import row_ranges, stored
 from marquee.llm.succinct import EliasFano, NgramTrie
 
 #: Bits of a dense id. 0 is the start of a text, 1 its end, others are words.
@@ -47,17 +51,67 @@ FLUSH_TOKENS, GROUP_TOKENS = 2_000_000, 8_000_000
 #: Shards of the pairs: as many tries, whatever the size of the corpus, so that a
 #: text gets as many partial sums at most. Rare words have as many or more.
 PAIR_SHARDS = 16
+#: Partitions for each group of requests, so that few tasks get several.
+SPREAD = 6
 #: Flushes whose counts are merged in one task.
 FAN_IN = 64
 #: The bit that sets hashed ids apart from dense ones, and the seed of Spark's hash.
 HASHED, SEED = 2**63, 42
-#: Words counted in a task before they are passed on.
-FLUSH_WORDS = 500_000
-
-
-def tokens(text: str | None) -> list[bytes]:
-    """The words of a text, A-Z in lower case; its end is one more token."""
-    return (text or "").encode().lower().split()
+#: Bytes of texts that are cut at once, and of words that are held, about.
+CUT_BYTES, FLUSH_BYTES = 2**22, 2**25
+#: Bytes that stand between words.
+SPACE = np.zeros(256, bool)
+SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The words of all texts, one after another, A-Z in lower case, and how many each text has."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    _, ends, data = texts.buffers()
+    ends = np.frombuffer(ends, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    start, ends = int(ends[0]), ends - ends[0]
+    data = np.frombuffer(memoryview(data or b"")[start : start + int(ends[-1])].tobytes().lower(), np.uint8)
+    if not len(data):
+        return pa.array([], pa.binary()), np.zeros(len(texts), np.int64)
+    gap = SPACE[data]
+    word = ~gap
+    first, last = word.copy(), word.copy()
+    first[1:] &= gap[:-1]
+    last[:-1] &= gap[1:]
+    inner = ends[(ends > 0) & (ends < len(data))]  # a text's end is a word's, too
+    first[inner], last[inner - 1] = word[inner], word[inner - 1]
+    starts = np.flatnonzero(first)
+    sizes = np.flatnonzero(last) + 1 - starts
+    places = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    words = pa.Array.from_buffers(pa.binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data[word])])
+    return words, np.diff(np.searchsorted(starts, ends))
+
+
+def _flushes(stream: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """(words, how many each text has, rids) of some texts: ``FLUSH_TOKENS`` tokens, about, or one long text.
+
+    Texts are in the first column, rids in the second if there is one.
+    """
+    held, n, size = [], 0, 0
+
+    def out() -> tuple[pa.Array, np.ndarray, np.ndarray]:
+        words, sizes, rids = zip(*held)
+        return pa.concat_arrays(words), np.concatenate(sizes), np.concatenate(rids)
+
+    for batch in stream:
+        lengths = pc.fill_null(pc.binary_length(batch.column(0)), 0).to_numpy(zero_copy_only=False)
+        for start, stop in row_ranges(lengths.astype(np.int64), CUT_BYTES):
+            words, sizes = cut(batch.column(0).slice(start, stop - start))
+            rids = np.array(batch.column(1).slice(start, stop - start), np.int64) if batch.num_columns > 1 else np.zeros(0, np.int64)
+            held.append((words, sizes, rids))
+            n, size = n + len(words) + len(sizes), size + words.nbytes
+            del words, sizes, rids
+            if n > FLUSH_TOKENS or size > FLUSH_BYTES:
+                ready = [out()]
+                held, n, size = [], 0, 0
+                yield ready.pop()
+    if held:
+        yield out()
 
 
 @dataclass(frozen=True)
@@ -91,33 +145,27 @@ class Model:
 
 def _word_counts(train: DataFrame, text: str) -> DataFrame:
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-
-        def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], names=["word", "c"])
-
-        for batch in stream:
-            for value in batch.column(0):
-                counts.update(tokens(value.as_py()))
-                if len(counts) > FLUSH_WORDS:
-                    yield out()
-                    counts.clear()
-        yield out()
+        for words, _, _ in _flushes(stream):
+            counted = words.value_counts()
+            yield pa.RecordBatch.from_arrays([counted.field(0), counted.field(1)], names=["word", "c"])
 
     parts = train.select(text).mapInArrow(batches, "word binary, c bigint")
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
 
 
 def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
-    mixed = (keys + np.uint64(0x9E3779B97F4A7C15)) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((mixed ^ (mixed >> np.uint64(29))) % np.uint64(shards)).astype(np.int64)
+    mixed = keys + np.uint64(0x9E3779B97F4A7C15)
+    mixed *= np.uint64(0xBF58476D1CE4E5B9)
+    mixed ^= mixed >> np.uint64(29)
+    mixed %= np.uint64(shards)
+    return mixed.view(np.int64)
 
 
-def _by_shard(keys: np.ndarray, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+def _by_shard(keys: np.ndarray, shards: int, bits: int) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, places of its keys, in ascending order of the keys)."""
     shard = _shard_of(keys, shards)
-    order = np.lexsort((keys, shard))
-    ends = np.searchsorted(shard[order], np.arange(shards + 1))
+    order = np.argsort((shard.astype(np.uint64) << np.uint64(2 * bits)) | keys)
+    ends = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
     for s in range(shards):
         if ends[s] < ends[s + 1]:
             yield s, order[ends[s] : ends[s + 1]]
@@ -150,38 +198,48 @@ def _spread(data: bytes, kind: str) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), kind)
 
 
-def _ids(words: list[bytes], known: dict[bytes, int]) -> np.ndarray:
-    """Dense ids of a text's tokens between START and END; -1 for rare words."""
-    out = np.empty(len(words) + 2, np.int64)
-    out[0], out[-1] = START, END
-    out[1:-1] = [known.get(w, -1) for w in words]
-    return out
-
-
-def _own_ids(words: list[bytes], known: dict[bytes, int], own: dict[bytes, int]) -> np.ndarray:
-    """As ``_ids``; a rare word has -1 less its number in ``own``, which takes it up."""
-    out = np.empty(len(words) + 2, np.int64)
-    out[0], out[-1] = START, END
-    out[1:-1] = [-1 - own.setdefault(w, len(own)) if (k := known.get(w)) is None else k for w in words]
-    return out
+@dataclass(frozen=True)
+class Flush:
+    """The pairs of some texts, text by text, as ids of their words.
 
+    ``of``: the text of each pair; ``spelled``: distinct rare words; ``rare``: the
+    rare words' places among these, in order, and ``rare_of`` their texts.
+    """
 
-def _hashed(own: dict[bytes, int]) -> np.ndarray:
-    """Ids of rare words, below zero."""
-    return (np.array([xxhash.xxh64_intdigest(w, SEED) for w in own], np.uint64) | np.uint64(HASHED)).view(np.int64)
+    v: np.ndarray
+    w: np.ndarray
+    of: np.ndarray
+    spelled: pa.Array
+    hashed: np.ndarray
+    rare: np.ndarray
+    rare_of: np.ndarray
+
+
+def _flush(words: pa.Array, sizes: np.ndarray, head: pa.Array) -> Flush:
+    """``head``: the words with dense ids, in their order; others have hashed ids, below zero."""
+    kinds = words.dictionary_encode()
+    dense = pc.fill_null(pc.index_in(kinds.dictionary, head), -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    others = np.flatnonzero(dense < 0)
+    spelled = kinds.dictionary.take(pa.array(others))
+    hashed = (np.array([xxhash.xxh64_intdigest(w, SEED) for w in spelled.to_pylist()], np.uint64) | np.uint64(HASHED)).view(np.int64)
+    ids, own = dense + FIRST, np.zeros(len(dense), np.int64)
+    ids[others], own[others] = hashed, np.arange(len(others))
+    at, of = kinds.indices.to_numpy(), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
+    # One row of ids with a START before each text and an END at its end: pairs are its neighbours.
+    v = np.full(len(of) + 1, START)
+    inner = np.ones(len(of), bool)
+    inner[np.cumsum(sizes + 1) - 1] = False  # the last pair of each text, whose second is END
+    w = np.full(len(of), END)
+    w[inner] = ids[at]
+    v[1:][inner] = w[inner]
+    rare = np.flatnonzero(w < 0)
+    return Flush(v[:-1], w, of, spelled, hashed, own[at[dense[at] < 0]], of[rare])
 
 
 def _hashed_column(word: str) -> Column:
     return F.xxhash64(word).bitwiseOR(F.lit(-HASHED))
 
 
-def _lasting(ids: np.ndarray, hashed: np.ndarray) -> np.ndarray:
-    """Ids with the hashes of rare words in place of their numbers."""
-    out = ids.copy()
-    out[ids < 0] = hashed[-1 - ids[ids < 0]]
-    return out
-
-
 def _rare_shard(ids: np.ndarray, shards: int) -> np.ndarray:
     return (ids & (HASHED - 1)) % shards
 
@@ -207,37 +265,35 @@ def _pairs_of(ids: bytes, keys: bytes) -> tuple[np.ndarray, np.ndarray]:
     return names[v], names[w]
 
 
-def _rest_counts(train: DataFrame, text: str, head, shards: int) -> DataFrame:
-    """(shard, ids, keys, counts): pairs with a rare word of one flush, dealt by the first such word."""
-    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own, held, size = head.value, {}, [], 0
-
-        def out() -> pa.RecordBatch:
-            hashed, rows = _hashed(own), []
-            v, w = (_lasting(np.concatenate(part), hashed) for part in zip(*held))
-            for shard, at in _grouped(_rare_shard(np.where(v < 0, v, w), shards)):
-                ids, keys, bits = _local(v[at], w[at])
-                distinct, n = _runs(np.sort(keys))
-                rows.append((shard, _squeezed(ids, "<i8"), _packed(distinct, bits), _squeezed(n, "<u8")))
-            columns = list(zip(*rows)) or [[]] * 4
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["shard", "ids", "keys", "counts"])
+PARTS = "rare boolean, shard int, ids binary, keys binary, counts binary"
+
+
+def _pair_counts(train: DataFrame, text: str, head, shards: int, bits: int, rest_shards: int) -> DataFrame:
+    """(rare, shard, ids, keys, counts): pairs of one flush. Those of frequent words have packed keys and
+    no ids; those with a rare word (none if there are no ``rest_shards``) are dealt by the first such word."""
+    def counted(words: pa.Array, sizes: np.ndarray, _) -> pa.RecordBatch:
+        flush, rows = _flush(words, sizes, head.value), []
+        frequent = (flush.v >= 0) & (flush.w >= 0)
+        keys = (flush.v[frequent] << bits | flush.w[frequent]).astype(np.uint64)
+        for shard, at in _by_shard(keys, shards, bits):
+            distinct, n = _runs(keys[at])
+            rows.append((False, shard, None, _packed(distinct, bits), _squeezed(n, "<u8")))
+        v, w = (flush.v[~frequent], flush.w[~frequent]) if rest_shards else (np.zeros(0, np.int64),) * 2
+        for shard, at in _grouped(_rare_shard(np.where(v < 0, v, w), max(1, rest_shards))):
+            ids, keys, local = _local(v[at], w[at])
+            distinct, n = _runs(np.sort(keys))
+            rows.append((True, shard, _squeezed(ids, "<i8"), _packed(distinct, local), _squeezed(n, "<u8")))
+        columns = list(zip(*rows)) or [[]] * 5
+        types = [pa.bool_(), pa.int32(), *[pa.binary()] * 3]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["rare", "shard", "ids", "keys", "counts"])
 
-        for batch in stream:
-            for value in batch.column(0):
-                ids = _own_ids(tokens(value.as_py()), known, own)
-                rest = (ids[:-1] < 0) | (ids[1:] < 0)
-                held.append((ids[:-1][rest], ids[1:][rest]))
-                size += len(held[-1][0])
-                if size > FLUSH_TOKENS:
-                    yield out()
-                    own, held, size = {}, [], 0
-        if held:
-            yield out()
+    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return itertools.starmap(counted, _flushes(stream))
 
-    return train.select(text).mapInArrow(batches, "shard int, ids binary, keys binary, counts binary")
+    return train.select(text).mapInArrow(batches, PARTS)
 
 
-CONTEXTS = "shard int, ids binary, keys binary, counts binary, kinds binary, v array<bigint>, v_kinds array<bigint>, v_follows array<bigint>"
+CONTEXTS = f"{PARTS}, kinds binary, v array<bigint>, v_kinds array<bigint>, v_follows array<bigint>"
 
 
 def _contexts(table: pa.Table, shards: int) -> pa.Table:
@@ -260,11 +316,15 @@ def _contexts(table: pa.Table, shards: int) -> pa.Table:
     for shard, at in _grouped(_rare_shard(np.where(w < 0, w, v), shards)):
         ids, keys, bits = _local(v[at], w[at])
         order = np.argsort(keys)
-        rows.append((shard, _squeezed(ids, "<i8"), _packed(keys[order], bits), _squeezed(sums[at][order], "<u8"), _squeezed(of_pair[at][order], "<u8"), *stats))
+        rows.append((True, shard, _squeezed(ids, "<i8"), _packed(keys[order], bits), _squeezed(sums[at][order], "<u8"), _squeezed(of_pair[at][order], "<u8"), *stats))
         stats = [None] * 3
+    return _counted(rows)
+
+
+def _counted(rows: list[tuple]) -> pa.Table:
     columns = list(zip(*rows))
-    types = [pa.int32(), *[pa.binary()] * 4, *[pa.list_(pa.int64())] * 3]
-    names = ["shard", "ids", "keys", "counts", "kinds", "v", "v_kinds", "v_follows"]
+    types = [pa.bool_(), pa.int32(), *[pa.binary()] * 4, *[pa.list_(pa.int64())] * 3]
+    names = ["rare", "shard", "ids", "keys", "counts", "kinds", "v", "v_kinds", "v_follows"]
     return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=names)
 
 
@@ -290,34 +350,6 @@ def _rest_trie(table: pa.Table, fixed, unigram_of: Callable[[np.ndarray], np.nda
     return pa.table([table.column("shard").slice(0, 1), pa.array([ids.astype("<i8").tobytes()], pa.binary()), pa.array([trie.to_bytes()], pa.binary())], names=["shard", "ids", "trie"])
 
 
-def _pair_counts(train: DataFrame, text: str, head, shards: int, bits: int) -> DataFrame:
-    """(shard, keys, counts): pairs of one flush, their keys packed."""
-    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, held, size = head.value, [], 0
-
-        def out() -> pa.RecordBatch:
-            keys, rows = np.concatenate(held), []
-            for shard, at in _by_shard(keys, shards):
-                distinct, n = _runs(keys[at])
-                rows.append((shard, _packed(distinct, bits), _squeezed(n, "<u8")))
-            columns = list(zip(*rows)) or [[], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["shard", "keys", "counts"])
-
-        for batch in stream:
-            for value in batch.column(0):
-                ids = _ids(tokens(value.as_py()), known)
-                both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-                held.append((ids[:-1][both] << bits | ids[1:][both]).astype(np.uint64))
-                size += len(held[-1])
-                if size > FLUSH_TOKENS:
-                    yield out()
-                    held, size = [], 0
-        if held:
-            yield out()
-
-    return train.select(text).mapInArrow(batches, "shard int, keys binary, counts binary")
-
-
 def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs of some flushes, in order, and their counts."""
     keys = np.concatenate([_unpacked(v.as_py()) for v in table.column("keys")])
@@ -329,8 +361,11 @@ def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merged(table: pa.Table, bits: int) -> pa.Table:
+    if table.column("rare")[0].as_py():
+        return table.select(["rare", "shard", "ids", "keys", "counts"])
     keys, sums = _summed(table)
-    return pa.table([table.column("shard").slice(0, 1), pa.array([_packed(keys, bits)], pa.binary()), pa.array([_squeezed(sums, "<u8")], pa.binary())], names=["shard", "keys", "counts"])
+    row = (False, table.column("shard")[0].as_py(), None, _packed(keys, bits), _squeezed(sums, "<u8"), *[None] * 4)
+    return _counted([row]).select(["rare", "shard", "ids", "keys", "counts"])
 
 
 def _finished(table: pa.Table, bits: int) -> pa.Table:
@@ -338,20 +373,22 @@ def _finished(table: pa.Table, bits: int) -> pa.Table:
     keys, sums = _summed(table)
     firsts, kinds = _runs(_split(keys, bits)[0])
     follows = np.add.reduceat(sums, np.concatenate([[0], np.cumsum(kinds)[:-1]]))
-    lists = [pa.array([v.tolist()], pa.list_(pa.int64())) for v in (firsts, kinds, follows)]
-    whole = [table.column("shard").slice(0, 1), pa.array([_packed(keys, bits)], pa.binary()), pa.array([_squeezed(sums, "<u8")], pa.binary())]
-    return pa.table([*whole, *lists], names=["shard", "keys", "counts", "v", "kinds", "follows"])
+    whole = (False, table.column("shard")[0].as_py(), None, _packed(keys, bits), _squeezed(sums, "<u8"), None)
+    return _counted([(*whole, *(v.tolist() for v in (firsts, kinds, follows)))])
 
 
-def _pairs(parts: DataFrame, flushes: int, bits: int) -> DataFrame:
-    """Pairs and counts by shard, merged in a tree of ``FAN_IN`` flushes a task."""
+def _pairs(parts: DataFrame, flushes: int, bits: int, rest_shards: int) -> DataFrame:
+    """Pairs and counts by shard, those of frequent words merged in a tree of ``FAN_IN`` flushes a task."""
     while flushes > FAN_IN:
         flushes = math.ceil(flushes / FAN_IN)
-        group = F.pmod(F.xxhash64("keys"), F.lit(flushes)).alias("part")
-        merged = parts.select("shard", "keys", "counts", group).groupBy("shard", "part")
-        parts = stored(merged.applyInArrow(lambda table: _merged(table, bits), "shard int, keys binary, counts binary"), "lm-merged")
-    schema = "shard int, keys binary, counts binary, v array<bigint>, kinds array<bigint>, follows array<bigint>"
-    return parts.groupBy("shard").applyInArrow(lambda table: _finished(table, bits), schema)
+        group = F.when(F.col("rare"), 0).otherwise(F.pmod(F.xxhash64("keys"), F.lit(flushes))).alias("part")
+        merged = parts.select("*", group).groupBy("rare", "shard", "part")
+        parts = stored(merged.applyInArrow(lambda table: _merged(table, bits), PARTS), "lm-merged")
+
+    def finished(table: pa.Table) -> pa.Table:
+        return _contexts(table, rest_shards) if table.column("rare")[0].as_py() else _finished(table, bits)
+
+    return parts.groupBy("rare", "shard").applyInArrow(finished, CONTEXTS)
 
 
 def smoothed(keys: np.ndarray, counts: np.ndarray, context: np.ndarray, back_off: np.ndarray, unigram: np.ndarray, bits: int) -> np.ndarray:
@@ -388,18 +425,15 @@ def train(rows: DataFrame, text: str = "text", bits: int | None = None) -> Model
     top = sorted(words.where(F.col("c") >= least).collect(), key=lambda r: (-r["c"], bytes(r["word"])))
     head = [bytes(r["word"]) for r in top]
     counts = np.array([texts, texts, *(r["c"] for r in top)], np.int64)
-    ids = spark.sparkContext.broadcast({w: k + FIRST for k, w in enumerate(head)})
-    parts = _pair_counts(rows, text, ids, PAIR_SHARDS, bits)
-    pairs = stored(_pairs(parts, math.ceil(n / FLUSH_TOKENS), bits), "lm-pairs")
+    ids = spark.sparkContext.broadcast(pa.array(head, pa.binary()))
     shards = max(PAIR_SHARDS, math.ceil(n / GROUP_TOKENS))
-    successors = pairs.select(F.inline(F.arrays_zip("v", "kinds", "follows")))
-    rest = kinds_of = None
-    if whole:
-        counted = _rest_counts(rows, text, ids, shards).groupBy("shard")
-        rest = stored(counted.applyInArrow(lambda table: _contexts(table, shards), CONTEXTS), "lm-rest")
-        firsts = rest.where("v IS NOT NULL").select(F.inline(F.arrays_zip("v", "v_kinds", "v_follows"))).toDF("v", "kinds", "follows")
-        kinds_of = firsts.where("v < 0").select(F.col("v").alias("id"), "kinds")
-        successors = successors.unionByName(firsts.where("v >= 0"))
+    rest_shards = shards if whole else 0
+    parts = _pair_counts(rows, text, ids, PAIR_SHARDS, bits, rest_shards)
+    counted = stored(_pairs(parts, math.ceil(n / FLUSH_TOKENS), bits, rest_shards), "lm-pairs")
+    pairs, rest = counted.where(~F.col("rare")), counted.where("rare") if whole else None
+    firsts = counted.where("v IS NOT NULL").select(F.inline(F.arrays_zip("v", "v_kinds", "v_follows"))).toDF("v", "kinds", "follows")
+    kinds_of = firsts.where("v < 0").select(F.col("v").alias("id"), "kinds") if whole else None
+    successors = firsts.where("v >= 0")
     successors = successors.groupBy("v").agg(F.sum("kinds").alias("kinds"), F.sum("follows").alias("follows"))
     back_off = np.ones(len(counts))
     for r in successors.collect():  # one number for each dense id
@@ -430,105 +464,93 @@ def _answers_to(at_rows: np.ndarray, times: np.ndarray, whole: np.ndarray) -> tu
     return _squeezed(times, "<u4"), _squeezed(local, "<u2" if len(in_rows) < 2**16 else "<u4"), whole[in_rows].tobytes()
 
 
-def _requests(docs: DataFrame, model: Model, ids) -> DataFrame:
-    """(shard, keys, times, places, rows): what the texts of one flush ask of a shard of frequent words' pairs.
+REQUESTS = "kind int, shard int, ids binary, keys binary, times binary, places binary, rows binary, own binary"
+#: Kinds of requests: pairs of frequent words, rare words and pairs with one, and sums that a task knows by itself.
+PAIRS, RARE, OWN = range(3)
+
+
+def _own(flush: Flush, texts: int, fixed) -> np.ndarray:
+    """What a task knows of its texts by itself, by text: tokens, those known, base and score; the frequent words."""
+    counts, back_off, unigram = fixed
+    frequent = flush.w >= 0
+    of, w = flush.of[frequent], flush.w[frequent]
+    behind_rare = flush.v[frequent] < 0  # no context
+    before_rare = ~frequent & (flush.v >= 0)
+    alone = np.bincount(of[behind_rare], unigram[w[behind_rare]], texts)
+    weight = np.bincount(flush.of[before_rare], np.log10(back_off[flush.v[before_rare]]), texts)
+    n, known = np.bincount(flush.of, minlength=texts), np.bincount(of, counts[w] > 0, texts)
+    return np.stack([n, known, np.bincount(of, unigram[w], texts), alone + weight])
+
+
+def _requests(docs: DataFrame, model: Model, ids, fixed) -> DataFrame:
+    """(kind, shard, keys, times, places, rows, ..): what the texts of one flush ask of a shard.
 
     ``keys`` are distinct; ``times`` says how often each occurs, ``places`` in
-    which of ``rows``.
+    which of ``rows``. Keys are pairs of frequent words; rare words (``ids`` is NULL)
+    or pairs with one (places among ``ids``), both dealt by the last rare word. Of
+    kind OWN there is no question, but sums for ``rows``.
     """
-    bits = model.bits
+    bits, shards, pairs_too = model.bits, model.word_shards, model.rest is not None
+
+    def asked(words: pa.Array, sizes: np.ndarray, rids: np.ndarray) -> pa.RecordBatch:
+        flush = _flush(words, sizes, ids.value)
+        answer = [(OWN, int(rids[0] % shards), *[None] * 4, rids.tobytes(), _own(flush, len(sizes), fixed.value).tobytes())]
+        frequent = (flush.v >= 0) & (flush.w >= 0)
+        keys, of = (flush.v[frequent] << bits | flush.w[frequent]).astype(np.uint64), flush.of[frequent]
+        for s, at in _by_shard(keys, PAIR_SHARDS, bits):
+            k, n = _runs(keys[at])
+            answer.append((PAIRS, s, None, _packed(k, bits), *_answers_to(of[at], n, rids), None))
+        del keys, of
+        for s, at in _grouped(_rare_shard(flush.hashed[flush.rare], shards)):
+            at = at[np.argsort(flush.rare[at])]
+            k, n = _runs(flush.rare[at])
+            spelled = b"\n".join(flush.spelled.take(pa.array(k)).to_pylist())
+            answer.append((RARE, s, None, spelled, *_answers_to(flush.rare_of[at], n, rids), None))
+        v, w, of = (x[~frequent if pairs_too else slice(0)] for x in (flush.v, flush.w, flush.of))
+        for s, at in _grouped(_rare_shard(np.where(w < 0, w, v), shards)):
+            places, keys, local = _local(v[at], w[at])
+            order = np.argsort(keys)
+            k, n = _runs(keys[order])
+            answer.append((RARE, s, _squeezed(places, "<i8"), _packed(k, local), *_answers_to(of[at[order]], n, rids), None))
+        types = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*answer), types)], names=[c.split()[0] for c in REQUESTS.split(", ")])
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ids.value
-        names: list[int] = []
-        held: list[np.ndarray] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            keys, answer = np.concatenate(held), []
-            where, whole = np.repeat(np.arange(len(held)), [len(k) for k in held]), np.array(names, "<i8")
-            for s, at in _by_shard(keys, PAIR_SHARDS):
-                k, n = _runs(keys[at])
-                answer.append((s, _packed(k, bits), *_answers_to(where[at], n, whole)))
-            columns = list(zip(*answer)) or [[]] * 5
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["shard", "keys", "times", "places", "rows"])
+        return itertools.starmap(asked, _flushes(stream))
 
-        for batch in stream:
-            for rid, value in zip(batch.column(2).to_pylist(), batch.column(1)):
-                numbers = _ids(tokens(value.as_py()), known)
-                both = (numbers[:-1] >= 0) & (numbers[1:] >= 0)
-                names.append(rid)
-                held.append((numbers[:-1][both] << bits | numbers[1:][both]).astype(np.uint64))
-                size += len(held[-1])
-                if size > FLUSH_TOKENS:
-                    yield out()
-                    names, held, size = [], [], 0
-        if size:
-            yield out()
-
-    return docs.mapInArrow(batches, "shard int, keys binary, times binary, places binary, rows binary")
-
-
-def _rare_requests(docs: DataFrame, model: Model, ids) -> DataFrame:
-    """As ``_requests``, of rare words (``ids`` is NULL and ``keys`` are the words) and
-    of pairs with one (``keys`` are places among ``ids``), dealt by the last rare word."""
-    shards, pairs_too = model.word_shards, model.rest is not None
+    return docs.mapInArrow(batches, REQUESTS)
 
-    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ids.value
-        own: dict[bytes, int] = {}
-        names: list[int] = []
-        held: list[tuple[np.ndarray, ...]] = []
-        size = 0
-
-        def out() -> pa.RecordBatch:
-            hashed, spelled, answer, whole = _hashed(own), list(own), [], np.array(names, "<i8")
-            rare, v, w = (np.concatenate(part) for part in zip(*held))
-            rare_row, pair_row = (np.repeat(np.arange(len(held)), [len(h[k]) for h in held]) for k in (0, 1))
-            for s, at in _grouped(_rare_shard(hashed[rare], shards)):
-                at = at[np.argsort(rare[at], kind="stable")]
-                k, n = _runs(rare[at])
-                answer.append((s, None, b"\n".join(spelled[x] for x in k), *_answers_to(rare_row[at], n, whole)))
-            v, w = _lasting(v, hashed), _lasting(w, hashed)
-            for s, at in _grouped(_rare_shard(np.where(w < 0, w, v), shards)):
-                places, keys, bits = _local(v[at], w[at])
-                order = np.argsort(keys, kind="stable")
-                k, n = _runs(keys[order])
-                answer.append((s, _squeezed(places, "<i8"), _packed(k, bits), *_answers_to(pair_row[at[order]], n, whole)))
-            columns = list(zip(*answer)) or [[]] * 6
-            return pa.RecordBatch.from_arrays([pa.array(columns[0], pa.int32()), *(pa.array(c, pa.binary()) for c in columns[1:])], names=["shard", "ids", "keys", "times", "places", "rows"])
 
-        for batch in stream:
-            for rid, value in zip(batch.column(2).to_pylist(), batch.column(1)):
-                numbers = _own_ids(tokens(value.as_py()), known, own)
-                rest = np.flatnonzero((numbers[:-1] < 0) | (numbers[1:] < 0))
-                asked = rest if pairs_too else rest[:0]
-                names.append(rid)
-                held.append((-1 - numbers[numbers < 0], numbers[:-1][asked], numbers[1:][asked]))
-                size += len(rest)
-                if size > FLUSH_TOKENS:
-                    yield out()
-                    own, names, held, size = {}, [], [], 0
-        if size:
-            yield out()
+ANSWER = "rid bigint, texts bigint, tokens bigint, known bigint, base double, score double"
 
-    return docs.mapInArrow(batches, "shard int, ids binary, keys binary, times binary, places binary, rows binary")
 
+def _sums(requests: pa.Table, value_of: Callable[[dict], tuple[np.ndarray | None, ...]]) -> pa.Table:
+    """Per row: sums of what ``value_of`` says of the keys of its requests: known, base and score; None: nothing."""
+    names, parts = [np.zeros(0, np.int64)], [np.zeros((5, 0))]
+    for request in (r for batch in requests.to_batches(1) for r in batch.to_pylist()):
+        names.append(np.frombuffer(request["rows"], "<i8"))
+        local = _spread(request["places"], "<u2" if len(names[-1]) < 2**16 else "<u4").astype(np.int64)
+        times = _spread(request["times"], "<u4").astype(np.int64)
+        part = np.zeros((5, len(names[-1])))
+        for k, x in enumerate(value_of(request)):
+            if x is not None:
+                part[2 + k] = np.bincount(local, np.repeat(x, times), len(names[-1]))
+        parts.append(part)
+    return _added(np.concatenate(names), np.concatenate(parts, axis=1))
 
-ANSWER = "rid bigint, base double, score double, known bigint"
 
+def _added(names: np.ndarray, sums: np.ndarray) -> pa.Table:
+    """Sums by row; ``sums``: texts, tokens, known tokens, base and score."""
+    rids, at = np.unique(names, return_inverse=True)
+    sums = [np.bincount(at, x, len(rids)) for x in sums]
+    columns = [rids, *(x.astype(np.int64) for x in sums[:3]), *sums[3:]]
+    return pa.table([pa.array(x) for x in columns], names=["rid", "texts", "tokens", "known", "base", "score"])
 
-def _sums(requests: pa.Table, value_of: Callable[[dict], tuple[np.ndarray, ...]]) -> pa.Table:
-    """Per request and row: sums of what ``value_of`` says of its keys."""
-    parts: list[tuple[np.ndarray, ...]] = []
-    for request in (r for batch in requests.to_batches(1) for r in batch.to_pylist()):
-        names = np.frombuffer(request["rows"], "<i8")
-        local = _spread(request["places"], "<u2" if len(names) < 2**16 else "<u4").astype(np.int64)
-        times = _spread(request["times"], "<u4").astype(np.int64)
-        parts.append((names, *(np.bincount(local, np.repeat(x, times), len(names)) for x in value_of(request))))
-    kinds = (np.int64, float, float, np.int64)
-    flat = [np.concatenate(p).astype(k) for p, k in zip(zip(*parts), kinds)] if parts else [np.zeros(0, k) for k in kinds]
-    return pa.table([pa.array(x) for x in flat], names=["rid", "base", "score", "known"])
+
+def _own_sums(requests: pa.Table) -> pa.Table:
+    names = np.concatenate([np.frombuffer(c.as_py(), "<i8") for c in requests.column("rows")])
+    sums = np.concatenate([np.frombuffer(c.as_py()).reshape(4, -1) for c in requests.column("own")], axis=1)
+    return _added(names, np.concatenate([np.ones((1, len(names))), sums]))
 
 
 def _mapped_trie(data: pa.Scalar, file) -> NgramTrie:
@@ -537,97 +559,91 @@ def _mapped_trie(data: pa.Scalar, file) -> NgramTrie:
     return NgramTrie.opened(np.memmap(file, np.uint8, "r"))
 
 
-def _pair_sums(docs: DataFrame, model: Model, ids, fixed) -> DataFrame:
-    bits = model.bits
+def _pair_sums(tries: pa.Table, requests: pa.Table, fixed, bits: int) -> pa.Table:
+    _, back_off, unigram = fixed
+    with tempfile.TemporaryFile() as file:
+        trie = None
+        for value in tries.column("trie"):
+            trie = _mapped_trie(value, file)
 
-    def answer(tries: pa.Table, requests: pa.Table) -> pa.Table:
-        _, back_off, unigram = fixed.value
-        with tempfile.TemporaryFile() as file:
-            trie = None
-            for value in tries.column("trie"):
-                trie = _mapped_trie(value, file)
+        def value_of(request: dict) -> tuple[np.ndarray | None, ...]:
+            keys = _unpacked(request["keys"])
+            v, w = _split(keys, bits)
+            logs = np.log10(back_off)[v] + unigram[w]
+            if trie is not None:
+                rank = trie.find(np.stack([v, w], 1))
+                hit = rank >= 0
+                logs[hit] = restored(trie.codes[rank[hit]])
+            return None, None, logs
 
-            def value_of(request: dict) -> tuple[np.ndarray, ...]:
-                keys = _unpacked(request["keys"])
-                v, w = _split(keys, bits)
-                logs = np.log10(back_off[v]) + unigram[w]
-                if trie is not None:
-                    rank = trie.find(np.stack([v, w], 1))
-                    hit = rank >= 0
-                    logs[hit] = restored(trie.codes[rank[hit]])
-                return np.zeros(len(keys)), logs, np.zeros(len(keys))
-
-            return _sums(requests, value_of)
-
-    # A shard's requests are dealt to as many tasks as their number asks for.
-    groups = max(1, math.ceil(model.train_tokens / (PAIR_SHARDS * GROUP_TOKENS)))
-    asked = _requests(docs, model, ids).withColumn("part", F.pmod(F.xxhash64("rows"), F.lit(groups)).cast("int"))
-    tries = model.tries.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    return tries.groupBy("shard", "part").cogroup(asked.groupBy("shard", "part")).applyInArrow(answer, ANSWER)
+        return _sums(requests, value_of)
 
 
-def _rare_sums(docs: DataFrame, model: Model, ids) -> DataFrame:
+def _rare_sums(stock: pa.Table, requests: pa.Table, total: int) -> pa.Table:
     """A rare word's own probability and its weight as a context; what stored pairs with one add to these."""
-    n, kinds, shards = model.train_tokens, model.vocabulary, model.word_shards
-
-    def answer(stock: pa.Table, requests: pa.Table) -> pa.Table:
-        words = stock.filter(stock.column("word").is_valid())
-        known = dict(zip(words.column("word").to_pylist(), zip(words.column("c").to_pylist(), words.column("kinds").to_pylist())))
-        with tempfile.TemporaryFile() as file:
-            trie = names = None
-            for place, value in zip(stock.column("ids"), stock.column("trie")):
-                if value.is_valid:
-                    trie, names = _mapped_trie(value, file), np.frombuffer(place.as_py(), "<i8")
-
-            def value_of(request: dict) -> tuple[np.ndarray, ...]:
-                if request["ids"] is None:
-                    c, follow = np.array([known.get(w, (0, 0)) for w in request["keys"].split(b"\n")], float).T
-                    base = np.log10((c + 1) / (n + kinds + 1))
-                    weight = np.where(follow > 0, DISCOUNT * follow / np.maximum(c, 1), 1.0)
-                    return base, base + np.log10(weight), (c > 0).astype(float)
-                asked = np.stack(_pairs_of(request["ids"], request["keys"]), 1)
-                more = np.zeros(len(asked))
-                if trie is not None:
-                    at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
-                    there = np.flatnonzero((names[at] == asked).all(1))
-                    rank = trie.find(at[there])
-                    more[there[rank >= 0]] = -restored(trie.codes[rank[rank >= 0]])
-                return np.zeros(len(asked)), more, np.zeros(len(asked))
-
-            return _sums(requests, value_of)
-
+    words = stock.filter(stock.column("word").is_valid())
+    spelled = words.column("word").combine_chunks()
+    # Behind all words: what is true of one that is not there.
+    of_word, kinds = (np.append(words.column(c).to_numpy(), 0).astype(float) for c in ("c", "kinds"))
+    base = np.log10((of_word + 1) / total)
+    alone = base + np.log10(np.where(kinds > 0, DISCOUNT * kinds / np.maximum(of_word, 1), 1.0))
+    with tempfile.TemporaryFile() as file:
+        trie = names = None
+        for place, value in zip(stock.column("ids"), stock.column("trie")):
+            if value.is_valid:
+                trie, names = _mapped_trie(value, file), np.frombuffer(place.as_py(), "<i8")
+
+        def value_of(request: dict) -> tuple[np.ndarray | None, ...]:
+            if request["ids"] is None:
+                asked = pa.array(request["keys"].split(b"\n"), pa.binary())
+                at = pc.fill_null(pc.index_in(asked, spelled), len(spelled)).to_numpy(zero_copy_only=False)
+                return (of_word[at] > 0).astype(float), base[at], alone[at]
+            asked = np.stack(_pairs_of(request["ids"], request["keys"]), 1)
+            more = np.zeros(len(asked))
+            if trie is not None:
+                at = np.minimum(np.searchsorted(names, asked), len(names) - 1)
+                there = np.flatnonzero((names[at] == asked).all(1))
+                rank = trie.find(at[there])
+                more[there[rank >= 0]] = -restored(trie.codes[rank[rank >= 0]])
+            return None, None, more
+
+        return _sums(requests, value_of)
+
+
+def _stock(model: Model) -> DataFrame:
+    """What shards answer from: tries, and rare words with their counts."""
     rare = model.words.where(F.col("c") < model.least).withColumn("id", _hashed_column("word"))
     follow = rare.withColumn("kinds", F.lit(0).cast("bigint")) if model.kinds is None else rare.join(model.kinds, "id", "left")
-    shard = F.pmod(F.col("id").bitwiseAND(F.lit(HASHED - 1)), F.lit(shards)).cast("int").alias("shard")
-    stock = follow.select(shard, "word", "c", F.coalesce("kinds", F.lit(0)).cast("bigint").alias("kinds"))
+    shard = F.pmod(F.col("id").bitwiseAND(F.lit(HASHED - 1)), F.lit(model.word_shards)).cast("int").alias("shard")
+    words = follow.select(F.lit(RARE).alias("kind"), shard, "word", "c", F.coalesce("kinds", F.lit(0)).cast("bigint").alias("kinds"))
+    stock = words.unionByName(model.tries.withColumn("kind", F.lit(PAIRS)), allowMissingColumns=True)
     if model.rest is None:
-        stock = stock.select("*", F.lit(None).cast("binary").alias("ids"), F.lit(None).cast("binary").alias("trie"))
-    else:
-        stock = stock.unionByName(model.rest, allowMissingColumns=True)
-    return stock.groupBy("shard").cogroup(_rare_requests(docs, model, ids).groupBy("shard")).applyInArrow(answer, ANSWER)
+        return stock.withColumn("ids", F.lit(None).cast("binary"))
+    return stock.unionByName(model.rest.withColumn("kind", F.lit(RARE)), allowMissingColumns=True)
 
 
-def _own_sums(docs: DataFrame, model: Model, ids, fixed) -> DataFrame:
-    """What a task knows of its texts by itself: the frequent words."""
-    def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = ids.value
-        counts, back_off, unigram = fixed.value
-        for batch in stream:
-            rows = []
-            for rid, value in zip(batch.column(2).to_pylist(), batch.column(1)):
-                numbers = _ids(tokens(value.as_py()), known)
-                v, w = numbers[:-1], numbers[1:]
-                frequent = w >= 0
-                base = unigram[w[frequent]].sum()
-                alone = unigram[w[frequent & (v < 0)]].sum()  # behind a rare word: no context
-                before_rare = np.log10(back_off[v[~frequent & (v >= 0)]]).sum()
-                rows.append((rid, len(w), int((counts[w[frequent]] > 0).sum()), float(base), float(alone + before_rare)))
-            columns = list(zip(*rows)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
-            own = [pa.array(c, k) for c, k in zip(columns, kinds)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *own], names=["doc", "rid", "n_tokens", "n_own", "base_own", "score_own"])
-
-    return docs.mapInArrow(batches, "doc bigint, rid bigint, n_tokens bigint, n_own bigint, base_own double, score_own double")
+def _answers(docs: DataFrame, model: Model) -> DataFrame:
+    """Partial sums by row."""
+    context = docs.sparkSession.sparkContext
+    ids = context.broadcast(pa.array(model.head, pa.binary()))
+    fixed = context.broadcast((model.counts, model.back_off, model.unigram(model.counts)))
+    bits, total = model.bits, model.train_tokens + model.vocabulary + 1
+
+    def answer(key: tuple[pa.Scalar, ...], stock: pa.Table, requests: pa.Table) -> pa.Table:
+        kind = key[0].as_py()
+        if kind == OWN:
+            return _own_sums(requests)
+        return _pair_sums(stock, requests, fixed.value, bits) if kind == PAIRS else _rare_sums(stock, requests, total)
+
+    # A shard's requests for frequent pairs are dealt to as many tasks as their number asks for.
+    groups = max(1, math.ceil(model.train_tokens / (PAIR_SHARDS * GROUP_TOKENS)))
+    pairs = F.col("kind") == PAIRS
+    asked = _requests(docs, model, ids, fixed).withColumn("part", F.when(pairs, F.pmod(F.xxhash64("rows"), F.lit(groups))).otherwise(0).cast("int"))
+    parts = F.sequence(F.lit(0), F.when(pairs, groups - 1).otherwise(0))
+    stock = _stock(model).withColumn("part", F.explode(parts))
+    where = ("kind", "shard", "part")
+    stock, asked = (rows.repartition(SPREAD * (PAIR_SHARDS * groups + model.word_shards), *where) for rows in (stock, asked))
+    return stock.groupBy(*where).cogroup(asked.groupBy(*where)).applyInArrow(answer, ANSWER)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -638,24 +654,18 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     their identity: what was summed for all of them is divided by their number.
     No rows give no rows; other columns are not looked at.
     """
-    spark = docs.sparkSession
-    ids = spark.sparkContext.broadcast({w: k + FIRST for k, w in enumerate(model.head)})
-    fixed = spark.sparkContext.broadcast((model.counts, model.back_off, model.unigram(model.counts)))
     doc, whole = F.col(key).cast("bigint"), F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(doc.alias("doc"), whole.alias("text"), F.xxhash64(doc, whole).alias("rid"))
-    own = _own_sums(rows, model, ids, fixed)
-    asked = _pair_sums(rows, model, ids, fixed).unionByName(_rare_sums(rows, model, ids))
-    asked = asked.groupBy("rid").agg(F.sum("base").alias("base"), F.sum("score").alias("asked"), F.sum("known").alias("known"))
-    times = rows.groupBy("rid").agg(F.count("*").alias("times"))
-    met = own.join(times.join(asked, "rid", "left"), "rid")
-    share = {c: F.coalesce(F.col(c) / F.col("times"), F.lit(0.0)) for c in ("base", "asked", "known")}
+    rows = docs.select(whole.alias("text"), F.xxhash64(doc, whole).alias("rid"), doc.alias("doc"))
+    sums = [F.sum(c).alias(c) for c in ("texts", "tokens", "known", "base", "score")]
+    met = rows.select("doc", "rid").join(_answers(rows.select("text", "rid"), model).groupBy("rid").agg(*sums), "rid")
+    share = {c: F.col(c) / F.col("texts") for c in ("tokens", "known", "base", "score")}
     return met.select(
         F.col("doc").alias(key),
-        "n_tokens",
-        (F.col("n_own") + share["known"].cast("bigint")).alias("n_known"),
+        share["tokens"].cast("bigint").alias("n_tokens"),
+        share["known"].cast("bigint").alias("n_known"),
         F.lit(model.train_tokens).cast("bigint").alias("train_tokens"),
-        (F.col("base_own") + share["base"]).alias("base_score"),
-        (F.col("score_own") + share["asked"]).alias("score"),
+        share["base"].alias("base_score"),
+        share["score"].alias("score"),
     )
 
 

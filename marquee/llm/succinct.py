@@ -15,6 +15,8 @@ import numpy as np
 SAMPLE = 32
 #: Values of a level, at most, that a process decodes as a whole to search it.
 DECODED = 2**24
+#: Values whose low bits are packed together; a multiple of 8.
+BLOCK = 2**16
 _POPCOUNT = np.array([bin(k).count("1") for k in range(256)], np.uint8)
 
 
@@ -54,13 +56,14 @@ class EliasFano:
         low_bits = max(0, (max(1, int(universe)) // max(1, n)).bit_length() - 1)
         high = (values >> np.uint64(low_bits)).astype(np.int64)
         places = high + np.arange(n)
-        bits = np.zeros((int(places[-1]) if n else 0) // 8 + 17, np.uint8)
-        np.bitwise_or.at(bits, places >> 3, (1 << (places & 7)).astype(np.uint8))
+        marked = np.zeros(8 * ((int(places[-1]) if n else 0) // 8 + 17), np.uint8)
+        marked[places] = 1
+        bits = np.packbits(marked, bitorder="little")
         lows = np.zeros((n * low_bits + 7) // 8 + 8, np.uint8)
-        for k in range(low_bits):
-            at = np.arange(n, dtype=np.int64) * low_bits + k
-            on = (values >> np.uint64(k)) & np.uint64(1) == 1
-            np.bitwise_or.at(lows, at[on] >> 3, (1 << (at[on] & 7)).astype(np.uint8))
+        for k in range(0, n if low_bits else 0, BLOCK):
+            part = values[k : k + BLOCK].astype("<u8").view(np.uint8).reshape(-1, 8)
+            packed = np.packbits(np.unpackbits(part, axis=1, count=low_bits, bitorder="little"), bitorder="little")
+            lows[k * low_bits // 8 :][: len(packed)] = packed
         return cls(n, low_bits, lows, bits, places[::SAMPLE].astype(np.uint64))
 
     def take(self, at: np.ndarray) -> np.ndarray:
@@ -119,10 +122,13 @@ class EliasFano:
         if not self.low_bits:
             return np.zeros(len(at), np.uint64)
         start = at * self.low_bits
-        byte, word = start >> 3, np.zeros(len(at), np.uint64)
-        for k in range((self.low_bits + 14) // 8):
-            word |= self.lows[byte + k].astype(np.uint64) << np.uint64(8 * k)
-        return (word >> (start & 7).astype(np.uint64)) & np.uint64((1 << self.low_bits) - 1)
+        byte, shift = start >> 3, (start & 7).astype(np.uint64)
+        # Eight bytes from each byte on hold 57 bits whatever the shift.
+        word = np.ndarray(len(self.lows) - 7, "<u8", np.ascontiguousarray(self.lows), 0, (1,))[byte] >> shift
+        if self.low_bits > 57:
+            over = np.flatnonzero(shift)
+            word[over] |= self.lows[byte[over] + 8].astype(np.uint64) << (np.uint64(64) - shift[over])
+        return word & np.uint64((1 << self.low_bits) - 1)
 
     def all(self) -> np.ndarray:
         """The whole sequence, in one pass."""
@@ -166,7 +172,8 @@ class NgramTrie:
         above = 1
         for k in range(order):
             keys = parents * base + grams[:, k]
-            nodes, ranks = np.unique(keys, return_inverse=True)
+            new = np.concatenate([[True], keys[1:] != keys[:-1]])[: len(keys)]
+            nodes, ranks = keys[new], np.cumsum(new) - 1
             levels.append(EliasFano.of(nodes, above * base))
             if k:
                 starts = np.searchsorted(nodes, np.arange(above + 1) * base)

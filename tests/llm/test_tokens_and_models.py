@@ -7,8 +7,10 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from marquee.llm import bpe, lm
 from marquee.llm.succinct import EliasFano, NgramTrie
@@ -148,3 +150,59 @@ def test_scores_of_odd_rows(odd, none):
     assert {r["n_tokens"] for r in empty} == {1} and len({r["score"] for r in empty}) == 1
     assert lm.score(none, lm.train(odd)).count() == 0
     assert all(abs(r["base_score"] - r["n_tokens"] * math.log10(1)) < 1e-9 for r in lm.score(odd, lm.train(none)).collect())
+
+
+def plain_words(text):
+    return re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower())
+
+
+def odd_texts():
+    chance = random.Random(9)
+    parts = ["a", "Z", "É", "ß", " ", "\n", "\t", "\x0b", "\x0c", "\r", "\x00", "\x1c", "\x1f", "\x85", "\xa0", "\u2028", "\U0001f600"]
+    return [None, "", " ", "ab", "cd ", " ef", None, *("".join(chance.choices(parts, k=chance.randint(0, 12))) for _ in range(2000)), ""]
+
+
+def test_cut_equals_a_plain_split():
+    texts = odd_texts()
+    for start, stop in ((0, len(texts)), (3, 3), (3, 900), (900, len(texts)), (0, 3)):
+        expected = [plain_words(t) for t in texts[start:stop]]
+        for kind in (pa.string(), pa.large_string()):
+            words, sizes = lm.cut(pa.array(texts, kind).slice(start, stop - start))
+            assert words.to_pylist() == [w for ws in expected for w in ws] and sizes.tolist() == [len(ws) for ws in expected]
+
+
+@pytest.mark.parametrize("cut_bytes,flush_tokens", [(1, 1), (40, 7), (10**6, 10**6)])
+def test_flushes_hold_every_text_once(monkeypatch, cut_bytes, flush_tokens):
+    monkeypatch.setattr(lm, "CUT_BYTES", cut_bytes)
+    monkeypatch.setattr(lm, "FLUSH_TOKENS", flush_tokens)
+    texts = odd_texts()
+    rows = pa.RecordBatch.from_arrays([pa.array(texts), pa.array(range(len(texts)), pa.int64())], names=["text", "rid"])
+    found = {}
+    for words, sizes, rids in lm._flushes(rows.slice(k, 300) for k in range(0, len(texts), 300)):
+        words = iter(words.to_pylist())
+        for rid, size in zip(rids.tolist(), sizes.tolist(), strict=True):
+            assert rid not in found
+            found[rid] = [next(words) for _ in range(size)]
+        assert next(words, None) is None
+    assert found == {k: plain_words(t) for k, t in enumerate(texts)}
+
+
+def test_texts_are_read_four_times(spark):
+    """To count words, to count pairs, to ask for a score and to join it."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(text):
+        read.add(1)
+        return text
+
+    texts = [(k, f"word{k % 7} the word{k % 11} of word{k}") for k in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string").select("doc_id", F.udf(counted)("text").alias("text"))
+    assert len(lm.score(docs, lm.train(docs)).collect()) == 60
+    assert read.value <= 4 * 60
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 9])
+def test_elias_fano_of_few_large_values(n):
+    values = np.sort(np.random.default_rng(n).integers(0, 2**62, n)).astype(np.uint64)
+    row, _ = EliasFano.opened(np.frombuffer(EliasFano.of(values, 2**62).to_bytes(), np.uint8))
+    assert (row.all() == values).all() and (row.take(np.arange(n)) == values).all()
