@@ -58,7 +58,7 @@ FAN_IN = 64
 #: The bit that sets hashed ids apart from dense ones, and the seed of Spark's hash.
 HASHED, SEED = 2**63, 42
 #: Bytes of texts that are cut at once, and of words that are held, about.
-CUT_BYTES, FLUSH_BYTES = 2**22, 2**25
+CUT_BYTES, FLUSH_BYTES = 2**20, 2**25
 #: Bytes that stand between words.
 SPACE = np.zeros(256, bool)
 SPACE[[0x20, *range(0x09, 0x0E)]] = True
@@ -164,8 +164,12 @@ def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
 def _by_shard(keys: np.ndarray, shards: int, bits: int) -> Iterator[tuple[int, np.ndarray]]:
     """(shard, places of its keys, in ascending order of the keys)."""
     shard = _shard_of(keys, shards)
-    order = np.argsort((shard.astype(np.uint64) << np.uint64(2 * bits)) | keys)
     ends = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
+    dealt = shard.view(np.uint64)  # in its place: rows of a flush are long
+    dealt <<= np.uint64(2 * bits)
+    dealt |= keys
+    order = np.argsort(dealt)
+    del shard, dealt
     for s in range(shards):
         if ends[s] < ends[s + 1]:
             yield s, order[ends[s] : ends[s + 1]]
@@ -215,6 +219,14 @@ class Flush:
     rare_of: np.ndarray
 
 
+def _frequent(flush: Flush, frequent: np.ndarray, bits: int) -> np.ndarray:
+    """Packed pairs of frequent words."""
+    keys = flush.v[frequent]
+    keys <<= bits
+    keys |= flush.w[frequent]
+    return keys.view(np.uint64)
+
+
 def _flush(words: pa.Array, sizes: np.ndarray, head: pa.Array) -> Flush:
     """``head``: the words with dense ids, in their order; others have hashed ids, below zero."""
     kinds = words.dictionary_encode()
@@ -233,7 +245,7 @@ def _flush(words: pa.Array, sizes: np.ndarray, head: pa.Array) -> Flush:
     w[inner] = ids[at]
     v[1:][inner] = w[inner]
     rare = np.flatnonzero(w < 0)
-    return Flush(v[:-1], w, of, spelled, hashed, own[at[dense[at] < 0]], of[rare])
+    return Flush(v[:-1], w, of, spelled, hashed, own[at[(dense < 0)[at]]], of[rare])
 
 
 def _hashed_column(word: str) -> Column:
@@ -268,27 +280,36 @@ def _pairs_of(ids: bytes, keys: bytes) -> tuple[np.ndarray, np.ndarray]:
 PARTS = "rare boolean, shard int, ids binary, keys binary, counts binary"
 
 
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    """Rows of booleans, numbers of shards and bytes."""
+    names, kinds = zip(*(c.split() for c in schema.split(", ")))
+    types = {"boolean": pa.bool_(), "int": pa.int32(), "binary": pa.binary()}
+    columns = zip(*rows) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, types[k]) for c, k in zip(columns, kinds)], names=names)
+
+
 def _pair_counts(train: DataFrame, text: str, head, shards: int, bits: int, rest_shards: int) -> DataFrame:
     """(rare, shard, ids, keys, counts): pairs of one flush. Those of frequent words have packed keys and
     no ids; those with a rare word (none if there are no ``rest_shards``) are dealt by the first such word."""
-    def counted(words: pa.Array, sizes: np.ndarray, _) -> pa.RecordBatch:
+    def counted(words: pa.Array, sizes: np.ndarray, _) -> Iterator[pa.RecordBatch]:
         flush, rows = _flush(words, sizes, head.value), []
+        del words
         frequent = (flush.v >= 0) & (flush.w >= 0)
-        keys = (flush.v[frequent] << bits | flush.w[frequent]).astype(np.uint64)
+        keys = _frequent(flush, frequent, bits)
         for shard, at in _by_shard(keys, shards, bits):
             distinct, n = _runs(keys[at])
             rows.append((False, shard, None, _packed(distinct, bits), _squeezed(n, "<u8")))
+        yield _batch(rows, PARTS)
+        del keys, rows[:]
         v, w = (flush.v[~frequent], flush.w[~frequent]) if rest_shards else (np.zeros(0, np.int64),) * 2
         for shard, at in _grouped(_rare_shard(np.where(v < 0, v, w), max(1, rest_shards))):
             ids, keys, local = _local(v[at], w[at])
             distinct, n = _runs(np.sort(keys))
             rows.append((True, shard, _squeezed(ids, "<i8"), _packed(distinct, local), _squeezed(n, "<u8")))
-        columns = list(zip(*rows)) or [[]] * 5
-        types = [pa.bool_(), pa.int32(), *[pa.binary()] * 3]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["rare", "shard", "ids", "keys", "counts"])
+        yield _batch(rows, PARTS)
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return itertools.starmap(counted, _flushes(stream))
+        return itertools.chain.from_iterable(itertools.starmap(counted, _flushes(stream)))
 
     return train.select(text).mapInArrow(batches, PARTS)
 
@@ -304,6 +325,7 @@ def _contexts(table: pa.Table, shards: int) -> pa.Table:
     """
     pieces = [_pairs_of(*(c.as_py() for c in row)) for row in zip(table.column("ids"), table.column("keys"))]
     v, w = (np.concatenate(part) for part in zip(*pieces))
+    del pieces
     counts = np.concatenate([_spread(c.as_py(), "<u8") for c in table.column("counts")]).astype(np.int64)
     ids, keys, bits = _local(v, w)
     order = np.argsort(keys, kind="stable")
@@ -492,31 +514,34 @@ def _requests(docs: DataFrame, model: Model, ids, fixed) -> DataFrame:
     """
     bits, shards, pairs_too = model.bits, model.word_shards, model.rest is not None
 
-    def asked(words: pa.Array, sizes: np.ndarray, rids: np.ndarray) -> pa.RecordBatch:
+    def asked(words: pa.Array, sizes: np.ndarray, rids: np.ndarray) -> Iterator[pa.RecordBatch]:
         flush = _flush(words, sizes, ids.value)
+        del words
         answer = [(OWN, int(rids[0] % shards), *[None] * 4, rids.tobytes(), _own(flush, len(sizes), fixed.value).tobytes())]
         frequent = (flush.v >= 0) & (flush.w >= 0)
-        keys, of = (flush.v[frequent] << bits | flush.w[frequent]).astype(np.uint64), flush.of[frequent]
+        keys, of = _frequent(flush, frequent, bits), flush.of[frequent]
         for s, at in _by_shard(keys, PAIR_SHARDS, bits):
             k, n = _runs(keys[at])
             answer.append((PAIRS, s, None, _packed(k, bits), *_answers_to(of[at], n, rids), None))
-        del keys, of
+        yield _batch(answer, REQUESTS)
+        del keys, of, answer[:]
         for s, at in _grouped(_rare_shard(flush.hashed[flush.rare], shards)):
             at = at[np.argsort(flush.rare[at])]
             k, n = _runs(flush.rare[at])
             spelled = b"\n".join(flush.spelled.take(pa.array(k)).to_pylist())
             answer.append((RARE, s, None, spelled, *_answers_to(flush.rare_of[at], n, rids), None))
+        yield _batch(answer, REQUESTS)
+        del answer[:]
         v, w, of = (x[~frequent if pairs_too else slice(0)] for x in (flush.v, flush.w, flush.of))
         for s, at in _grouped(_rare_shard(np.where(w < 0, w, v), shards)):
             places, keys, local = _local(v[at], w[at])
             order = np.argsort(keys)
             k, n = _runs(keys[order])
             answer.append((RARE, s, _squeezed(places, "<i8"), _packed(k, local), *_answers_to(of[at[order]], n, rids), None))
-        types = [pa.int32(), pa.int32(), *[pa.binary()] * 6]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*answer), types)], names=[c.split()[0] for c in REQUESTS.split(", ")])
+        yield _batch(answer, REQUESTS)
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return itertools.starmap(asked, _flushes(stream))
+        return itertools.chain.from_iterable(itertools.starmap(asked, _flushes(stream)))
 
     return docs.mapInArrow(batches, REQUESTS)
 
