@@ -170,6 +170,19 @@ def test_toxicity_on_held_out_rows_and_odd_ones(spark, odd, none):
     assert toxicity.score(none, model).count() == 0
 
 
+def test_toxicity_moves_no_column_but_the_text(spark, odd):
+    # Arrow cannot hold a calendar interval: it must not be part of what goes to Python.
+    model = toxicity.learn(spark.createDataFrame([], "doc_id long, text string, toxic int"))
+    rows = odd.withColumn("since", F.expr("make_interval(1, doc_id)")).withColumn("found", F.lit("kept"))
+    out = toxicity.score(rows, model)
+    assert out.columns == [*(c for c in rows.columns if c != "score"), "toxic_clauses", "score"]
+    assert out.where("found = 'kept' and cast(since as string) <=> cast(make_interval(1, doc_id) as string)").count() == odd.count()
+    insult = spark.createDataFrame([(1, "Fine. You IDIOT!"), (2, "Fine.")], "doc_id long, text string")
+    toxic = toxicity.score(insult, model).where("score >= 0.3")
+    assert [(r["doc_id"], [c["clause"] for c in r["toxic_clauses"]]) for r in toxic.collect()] == [(1, ["you idiot"])]
+    assert toxic._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+
+
 def test_urls(spark, none):
     urls = [
         ("http://a.net/x", "a.net", "/x", "net/", "block"), ("https://WWW.example.NET/en/1?q", "www.example.net", "/en/1", "example.net/en/", "allow"),
