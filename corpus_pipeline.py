@@ -47,8 +47,7 @@ def sample_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and whether decoding the ids gives the text's bytes again."""
     vocabulary = (public_tokenizers.path(VOCABULARY), public_tokenizers.PATTERN)
-    encoded = bpe.encode(docs.select("doc_id", "text"), *vocabulary)
-    decoded = bpe.decode(encoded, *vocabulary)
+    decoded = bpe.encode(docs.select("doc_id", "text"), *vocabulary, decoded=True)
     same = F.col("decoded") == F.coalesce("text", F.lit("")).cast("binary")
     return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", same.alias("decodes_to_text"))
 

@@ -18,6 +18,7 @@ import base64
 import heapq
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -25,13 +26,16 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from marquee.llm.common import releasing
+
 #: Bytes that the plain encoder takes at the tree's leaves.
 LEAF = 4
 #: Halves and windows of up to so many bytes are remembered: they recur far more
 #: often than whole pieces.
 RECALLED = 8
-#: Entries of each memo in a Python worker, which is emptied when full.
-MEMO = 400_000
+#: Entries of each memo in a Python worker, which is emptied when full: what is
+#: frequent is back at once, and the rest is not worth its memory.
+MEMO = 50_000
 #: Bytes of text, about, that one output batch is made from.
 BATCH_BYTES = 4 * 2**20
 #: A vocabulary is sent to all executors; this bounds it.
@@ -208,14 +212,31 @@ def _without(docs: DataFrame, name: str) -> DataFrame:
     return docs.select(*[c for c in docs.columns if c.lower() != name.lower()])
 
 
-def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -> DataFrame:
+def _ids(texts: pa.Array, vocabulary: Vocabulary) -> pa.Array:
+    flat, offsets = [np.zeros(0, np.int32)], [0]
+    for value in texts:
+        ids = vocabulary.encode(value.as_py() or "")
+        flat.append(np.fromiter(ids, np.int32, len(ids)))
+        offsets.append(offsets[-1] + len(ids))
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
+
+
+def _bytes(ids: pa.Array, vocabulary: Vocabulary) -> pa.Array:
+    rows = (value.values.to_numpy(zero_copy_only=False).tolist() if value.is_valid else [] for value in ids)
+    return pa.array([vocabulary.decode(row) for row in rows], pa.binary())
+
+
+def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", decoded: bool = False) -> DataFrame:
     """``docs`` with ``ids array<int>``, the tokens of each whole text.
 
     NULL and empty texts have no tokens. Other columns stay as they are, one
     named ``ids`` is replaced. No shuffle: rows are encoded where they are.
+    With ``decoded`` there is also what ``decode`` gives for the ids, from the same
+    task's one Python worker.
     """
     shared = _shared(docs, ranks_path)
-    rows = _without(docs, "ids")
+    names = ["ids", "decoded"] if decoded else ["ids"]
+    rows = reduce(_without, names, docs)
     at = rows.columns.index(text)
 
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -224,18 +245,14 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, text: str = "text") -
             sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0))
             for start, stop in _cuts(sizes):
                 part = batch.slice(start, stop - start)
-                flat, offsets = np.zeros(0, np.int32), [0]
-                pieces = []
-                for value in part.column(at):
-                    ids = vocabulary.encode(value.as_py() or "")
-                    pieces.append(np.fromiter(ids, np.int32, len(ids)))
-                    offsets.append(offsets[-1] + len(ids))
-                flat = np.concatenate(pieces) if pieces else flat
-                ids = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*part.columns, ids], [*part.schema.names, "ids"])
+                found = [_ids(part.column(at), vocabulary)]
+                if decoded:
+                    found.append(_bytes(found[0], vocabulary))
+                yield pa.RecordBatch.from_arrays([*part.columns, *found], [*part.schema.names, *names])
 
-    schema = T.StructType([*rows.schema.fields, T.StructField("ids", T.ArrayType(T.IntegerType()))])
-    return rows.mapInArrow(batches, schema)
+    kinds = (T.ArrayType(T.IntegerType()), T.BinaryType())
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(n, kind) for n, kind in zip(names, kinds)]])
+    return rows.mapInArrow(releasing(batches), schema)
 
 
 def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -> DataFrame:
@@ -253,11 +270,7 @@ def decode(tokens: DataFrame, ranks_path: str, pattern: str, ids: str = "ids") -
             sizes = 4 * np.asarray(pa.compute.fill_null(pa.compute.list_value_length(batch.column(at)), 0))
             for start, stop in _cuts(sizes):
                 part = batch.slice(start, stop - start)
-                decoded = [
-                    vocabulary.decode(value.values.to_numpy(zero_copy_only=False).tolist() if value.is_valid else [])
-                    for value in part.column(at)
-                ]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(decoded, pa.binary())], [*part.schema.names, "decoded"])
+                yield pa.RecordBatch.from_arrays([*part.columns, _bytes(part.column(at), vocabulary)], [*part.schema.names, "decoded"])
 
     schema = T.StructType([*rows.schema.fields, T.StructField("decoded", T.BinaryType())])
-    return rows.mapInArrow(batches, schema)
+    return rows.mapInArrow(releasing(batches), schema)

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marquee.llm.common import spare, stored
+from marquee.llm.common import releasing, spare, stored
 from marquee.llm.graph import components
 from marquee.llm.succinct import EliasFano
 
@@ -57,8 +57,11 @@ BLOCKS_IN_CLASS = 3
 #: Positions beyond those of the first common shingle that are looked at: a pair
 #: must then share so many shingles more. Any number gives the same links.
 SLACK = 4
-#: Entries of the memo of word hashes in a Python worker.
+#: Sets that a task remembers as seen.
 MEMO = 500_000
+#: Entries of the memo of word hashes in a Python worker, which is emptied when
+#: full: frequent words are back at once, and rare ones are not worth their memory.
+WORD_MEMO = 50_000
 #: Postings of one Arrow batch, about.
 BATCH_ROWS = 200_000
 
@@ -86,13 +89,13 @@ def shingle_set(text: str | None, size: int = WORDS) -> np.ndarray:
     words = (text or "").encode().lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_HASHES) > MEMO:
-        _HASHES.clear()
     known = _HASHES
     hashes = np.empty(len(words), np.uint64)
     for k, w in enumerate(words):
         h = known.get(w)
         if h is None:
+            if len(known) >= WORD_MEMO:
+                known.clear()
             h = known[w] = xxhash.xxh3_64_intdigest(w)
         hashes[k] = h
     size = min(size, len(words))
@@ -169,7 +172,7 @@ def _summaries(docs: DataFrame, key: str, text: str, size: int, similarity: tupl
             yield counted()
 
     rows = docs.select(F.col(key).cast("bigint").alias("doc"), _row(key, text).alias("row"), F.col(text))
-    return rows.mapInArrow(batches, "doc bigint, row binary, sid bigint, n bigint, bucket int, keys binary")
+    return rows.mapInArrow(releasing(batches), "doc bigint, row binary, sid bigint, n bigint, bucket int, keys binary")
 
 
 def _common(summaries: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -240,7 +243,7 @@ def _postings(docs: DataFrame, text: str, common, size: int, similarity: tuple[i
         if out:
             yield flushed()
 
-    return docs.select(F.col(text)).mapInArrow(batches, "list bigint, sid bigint, meta bigint")
+    return docs.select(F.col(text)).mapInArrow(releasing(batches), "list bigint, sid bigint, meta bigint")
 
 
 def _only(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -275,7 +278,7 @@ def _sets(wanted: DataFrame, members: DataFrame, docs: DataFrame, key: str, text
             yield pa.RecordBatch.from_arrays([batch.column(0), *kept, pa.array(sets, pa.binary())], names=["sid", *others, "tokens"])
 
     met = found.join(texts.groupBy("row").agg(F.first("text").alias("text")), "row")
-    return met.select("sid", "text", *others).mapInArrow(read, f"sid bigint, {types}, tokens binary")
+    return met.select("sid", "text", *others).mapInArrow(releasing(read), f"sid bigint, {types}, tokens binary")
 
 
 def cluster_links(sets: list[np.ndarray], similarity: tuple[int, int] = SIMILARITY) -> list[tuple[int, int]]:
@@ -365,7 +368,7 @@ def _overlaps(pairs: DataFrame, members: DataFrame, docs: DataFrame, key: str, t
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *own], names=["x", "y", "nx", "ny", "overlap"])
 
     met = left.join(right, "y").select("x", "y", "a", "b")
-    return met.mapInArrow(meet, "x bigint, y bigint, nx bigint, ny bigint, overlap bigint").dropDuplicates(["x", "y"])
+    return met.mapInArrow(releasing(meet), "x bigint, y bigint, nx bigint, ny bigint, overlap bigint").dropDuplicates(["x", "y"])
 
 
 def _size_class(n: Column, similarity: tuple[int, int], shift: float = 0.0) -> Column:

@@ -1,9 +1,10 @@
 """Each stage against what it must do with the rows it gets."""
 
 import corpus_pipeline
+import public_tokenizers
 from test_neighbours import brute_components
 
-from marquee.llm import mixing, quality
+from marquee.llm import bpe, jaccard_join, mixing, quality
 from marquee.llm.common import stored
 
 
@@ -37,3 +38,39 @@ def test_stages_take_odd_rows_and_none(spark, odd, none, small):
     for rows in (odd, none):
         for _, stage in corpus_pipeline.STAGES:
             stage(spark, rows, small).collect()
+
+
+def test_memos_of_workers_stay_small():
+    jaccard_join._HASHES.clear()
+    text = " ".join(f"w{k}" for k in range(120_000))
+    whole = jaccard_join.shingle_set(text)
+    assert len(jaccard_join._HASHES) <= 50_000
+    assert len(whole) == 119_996 and jaccard_join.shingle_set(text[: text.index(" w60000")]).tolist() == sorted(
+        set(whole.tolist()) - set(jaccard_join.shingle_set(text[text.index("w59996 ") :]).tolist())
+    )
+    ranks, pattern = bpe.read_ranks(open(public_tokenizers.path(corpus_pipeline.VOCABULARY), "rb").read()), public_tokenizers.PATTERN
+    vocabulary = bpe.Vocabulary(ranks, pattern)
+    ids = vocabulary.encode(text)
+    assert max(len(m) for m in (vocabulary._pieces, vocabulary._pairs, vocabulary._short)) <= 50_000
+    assert vocabulary.decode(ids) == text.encode() and ids[:9] == bpe.Vocabulary(ranks, pattern).encode(text[:2000])[:9]
+
+
+def test_tokens_need_one_worker_a_task(spark, odd, small):
+    found = corpus_pipeline.tokens(spark, odd, small)
+    assert found._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    vocabulary = (public_tokenizers.path(corpus_pipeline.VOCABULARY), public_tokenizers.PATTERN)
+    apart = bpe.decode(bpe.encode(odd, *vocabulary), *vocabulary)
+    key = lambda rows: sorted((r["doc_id"] or 0, r["ids"], bytes(r["decoded"])) for r in rows.select("doc_id", "ids", "decoded").collect())
+    assert key(apart) == key(bpe.encode(odd, *vocabulary, decoded=True))
+    assert found.where("not decodes_to_text").count() == 0
+
+
+def test_repeats_are_placed_only_where_they_could_be_enough(spark):
+    """Shares of repeated words about the bound, in pairs and in runs: the same rows as with all words placed."""
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(base + base[:k]) for k in range(0, 60, 3)] + [" ".join(base[:n] + ["a"] * k) for n in (40, 60) for k in range(0, 90, 7)]
+    # Windows found twice that share no words: three words for each window that is no first one.
+    texts += [" ".join(" ".join([*base[3 * i : 3 * i + 3], f"x{i}"]) for i in [*range(20), *range(k)]) for k in range(21)]
+    rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    kept = {r["doc_id"] for r in quality.passed(rows).collect()}
+    assert kept == {r["doc_id"] for r in quality.judged(rows).where("kept").collect()} and 0 < len(kept) < len(texts)
