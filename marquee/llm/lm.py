@@ -37,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from marquee.llm.common import row_ranges, stored
+from marquee.llm.common import releasing, row_ranges, stored
 from marquee.llm.succinct import EliasFano, NgramTrie
 
 #: Bits of a dense id. 0 is the start of a text, 1 its end, others are words.
@@ -149,7 +149,7 @@ def _word_counts(train: DataFrame, text: str) -> DataFrame:
             counted = words.value_counts()
             yield pa.RecordBatch.from_arrays([counted.field(0), counted.field(1)], names=["word", "c"])
 
-    parts = train.select(text).mapInArrow(batches, "word binary, c bigint")
+    parts = train.select(text).mapInArrow(releasing(batches), "word binary, c bigint")
     return parts.groupBy("word").agg(F.sum("c").alias("c"))
 
 
@@ -161,15 +161,20 @@ def _shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return mixed.view(np.int64)
 
 
-def _by_shard(keys: np.ndarray, shards: int, bits: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(shard, places of its keys, in ascending order of the keys)."""
-    shard = _shard_of(keys, shards)
-    ends = np.concatenate([[0], np.cumsum(np.bincount(shard, minlength=shards))])
-    dealt = shard.view(np.uint64)  # in its place: rows of a flush are long
+def _dealt(keys: np.ndarray, shards: int, bits: int) -> np.ndarray:
+    """Keys with their shards above them: in order, these are shard by shard."""
+    dealt = _shard_of(keys, shards).view(np.uint64)  # in its place: rows of a flush are long
     dealt <<= np.uint64(2 * bits)
     dealt |= keys
+    return dealt
+
+
+def _by_shard(keys: np.ndarray, shards: int, bits: int) -> Iterator[tuple[int, np.ndarray]]:
+    """(shard, places of its keys, in ascending order of the keys)."""
+    dealt = _dealt(keys, shards, bits)
     order = np.argsort(dealt)
-    del shard, dealt
+    ends = np.searchsorted(dealt, np.arange(shards + 1, dtype=np.uint64) << np.uint64(2 * bits), sorter=order)
+    del dealt
     for s in range(shards):
         if ends[s] < ends[s + 1]:
             yield s, order[ends[s] : ends[s + 1]]
@@ -227,9 +232,8 @@ def _frequent(flush: Flush, frequent: np.ndarray, bits: int) -> np.ndarray:
     return keys.view(np.uint64)
 
 
-def _flush(words: pa.Array, sizes: np.ndarray, head: pa.Array) -> Flush:
-    """``head``: the words with dense ids, in their order; others have hashed ids, below zero."""
-    kinds = words.dictionary_encode()
+def _flush(kinds: pa.DictionaryArray, sizes: np.ndarray, head: pa.Array) -> Flush:
+    """``kinds``: the words; ``head``: those with dense ids, in their order; others have hashed ids, below zero."""
     dense = pc.fill_null(pc.index_in(kinds.dictionary, head), -1).to_numpy(zero_copy_only=False).astype(np.int64)
     others = np.flatnonzero(dense < 0)
     spelled = kinds.dictionary.take(pa.array(others))
@@ -238,12 +242,14 @@ def _flush(words: pa.Array, sizes: np.ndarray, head: pa.Array) -> Flush:
     ids[others], own[others] = hashed, np.arange(len(others))
     at, of = kinds.indices.to_numpy(), np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
     # One row of ids with a START before each text and an END at its end: pairs are its neighbours.
-    v = np.full(len(of) + 1, START)
+    ends = np.cumsum(sizes + 1)
     inner = np.ones(len(of), bool)
-    inner[np.cumsum(sizes + 1) - 1] = False  # the last pair of each text, whose second is END
+    inner[ends - 1] = False  # the last pair of each text, whose second is END
     w = np.full(len(of), END)
     w[inner] = ids[at]
-    v[1:][inner] = w[inner]
+    v = np.empty(len(of) + 1, np.int64)
+    v[0], v[1:] = START, w
+    v[ends] = START
     rare = np.flatnonzero(w < 0)
     return Flush(v[:-1], w, of, spelled, hashed, own[at[(dense < 0)[at]]], of[rare])
 
@@ -292,16 +298,24 @@ def _pair_counts(train: DataFrame, text: str, head, shards: int, bits: int, rest
     """(rare, shard, ids, keys, counts): pairs of one flush. Those of frequent words have packed keys and
     no ids; those with a rare word (none if there are no ``rest_shards``) are dealt by the first such word."""
     def counted(words: pa.Array, sizes: np.ndarray, _) -> Iterator[pa.RecordBatch]:
-        flush, rows = _flush(words, sizes, head.value), []
+        kinds = words.dictionary_encode()
         del words
+        flush, rows = _flush(kinds, sizes, head.value), []
+        del kinds
         frequent = (flush.v >= 0) & (flush.w >= 0)
+        v, w = (flush.v[~frequent], flush.w[~frequent]) if rest_shards else (np.zeros(0, np.int64),) * 2
         keys = _frequent(flush, frequent, bits)
-        for shard, at in _by_shard(keys, shards, bits):
-            distinct, n = _runs(keys[at])
+        del flush, frequent
+        dealt = _dealt(keys, shards, bits)
+        del keys
+        dealt.sort()
+        ends = np.searchsorted(dealt, np.arange(shards + 1, dtype=np.uint64) << np.uint64(2 * bits))
+        for shard in np.flatnonzero(np.diff(ends)).tolist():
+            distinct, n = _runs(dealt[ends[shard] : ends[shard + 1]])
+            distinct &= np.uint64((1 << 2 * bits) - 1)
             rows.append((False, shard, None, _packed(distinct, bits), _squeezed(n, "<u8")))
         yield _batch(rows, PARTS)
-        del keys, rows[:]
-        v, w = (flush.v[~frequent], flush.w[~frequent]) if rest_shards else (np.zeros(0, np.int64),) * 2
+        del dealt, rows[:]
         for shard, at in _grouped(_rare_shard(np.where(v < 0, v, w), max(1, rest_shards))):
             ids, keys, local = _local(v[at], w[at])
             distinct, n = _runs(np.sort(keys))
@@ -311,7 +325,30 @@ def _pair_counts(train: DataFrame, text: str, head, shards: int, bits: int, rest
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return itertools.chain.from_iterable(itertools.starmap(counted, _flushes(stream)))
 
-    return train.select(text).mapInArrow(batches, PARTS)
+    return train.select(text).mapInArrow(releasing(batches), PARTS)
+
+
+def _met(table: pa.Table) -> tuple[np.ndarray, np.ndarray, int]:
+    """All pairs of some flushes like ``_local``: piece by piece, since ids take several times the memory of places."""
+    names, packed = table.column("ids"), table.column("keys")
+    ids = np.unique(np.concatenate([_spread(c.as_py(), "<i8") for c in names]))
+    bits, pieces = len(ids).bit_length(), []
+    for own, keys in zip(names, packed):
+        own = np.searchsorted(ids, _spread(own.as_py(), "<i8")).astype(np.uint64)
+        v, w = _split(_unpacked(keys.as_py()), len(own).bit_length())
+        pieces.append(own[v] << np.uint64(bits) | own[w])
+    return ids, np.concatenate(pieces), bits
+
+
+def _numbers(table: pa.Table, name: str) -> np.ndarray:
+    return np.concatenate([_spread(c.as_py(), "<u8") for c in table.column(name)]).astype(np.int64, copy=False)
+
+
+def _counted_once(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and the sums of their counts."""
+    order = np.argsort(keys)
+    distinct, n = _runs(keys[order])
+    return distinct, np.add.reduceat(counts[order], np.concatenate([[0], np.cumsum(n)[:-1]]))
 
 
 CONTEXTS = f"{PARTS}, kinds binary, v array<bigint>, v_kinds array<bigint>, v_follows array<bigint>"
@@ -323,18 +360,14 @@ def _contexts(table: pa.Table, shards: int) -> pa.Table:
     ``kinds``: of what follows each pair's first word, if that is rare: its pairs
     are all in one shard. ``v``, ``v_kinds`` and ``v_follows``: of each first word here.
     """
-    pieces = [_pairs_of(*(c.as_py() for c in row)) for row in zip(table.column("ids"), table.column("keys"))]
-    v, w = (np.concatenate(part) for part in zip(*pieces))
-    del pieces
-    counts = np.concatenate([_spread(c.as_py(), "<u8") for c in table.column("counts")]).astype(np.int64)
-    ids, keys, bits = _local(v, w)
-    order = np.argsort(keys, kind="stable")
-    distinct, n = _runs(keys[order])
-    sums = np.add.reduceat(counts[order], np.concatenate([[0], np.cumsum(n)[:-1]]))
+    ids, keys, bits = _met(table)
+    distinct, sums = _counted_once(keys, _numbers(table, "counts"))
+    del keys
     v, w = (ids[part] for part in _split(distinct, bits))
+    del distinct
     firsts, kinds = _runs(v)
     follows = np.add.reduceat(sums, np.concatenate([[0], np.cumsum(kinds)[:-1]]))
-    of_pair, rows, stats = np.repeat(kinds, kinds), [], [x.tolist() for x in (firsts, kinds, follows)]
+    of_pair, rows, stats = np.repeat(kinds, kinds), [], [firsts, kinds, follows]
     for shard, at in _grouped(_rare_shard(np.where(w < 0, w, v), shards)):
         ids, keys, bits = _local(v[at], w[at])
         order = np.argsort(keys)
@@ -356,13 +389,13 @@ def _rest_trie(table: pa.Table, fixed, unigram_of: Callable[[np.ndarray], np.nda
     All pairs before a rare word are in its shard, and so is its count.
     """
     context, back_off, unigram = fixed
-    pieces = [_pairs_of(*(c.as_py() for c in row)) for row in zip(table.column("ids"), table.column("keys"))]
-    v, w = (np.concatenate(part) for part in zip(*pieces))
-    counts, kinds = (np.concatenate([_spread(c.as_py(), "<u8") for c in table.column(name)]).astype(np.int64) for name in ("counts", "kinds"))
-    ids, keys, bits = _local(v, w)
+    ids, keys, bits = _met(table)
     order = np.argsort(keys)
-    keys, v, w, counts, kinds = (x[order] for x in (keys, v, w, counts, kinds))
-    first, second = _split(keys, bits)
+    first, second = _split(keys[order], bits)
+    del keys
+    counts, kinds = (_numbers(table, name)[order] for name in ("counts", "kinds"))
+    del order
+    v, w = ids[first], ids[second]
     alone = unigram_of(np.bincount(second, counts, len(ids)))[second]
     alone[w >= 0] = unigram[w[w >= 0]]
     mass = DISCOUNT * kinds
@@ -374,12 +407,7 @@ def _rest_trie(table: pa.Table, fixed, unigram_of: Callable[[np.ndarray], np.nda
 
 def _summed(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     """Distinct pairs of some flushes, in order, and their counts."""
-    keys = np.concatenate([_unpacked(v.as_py()) for v in table.column("keys")])
-    counts = np.concatenate([_spread(v.as_py(), "<u8") for v in table.column("counts")]).astype(np.int64)
-    order = np.argsort(keys, kind="stable")
-    distinct, n = _runs(keys[order])
-    sums = np.add.reduceat(counts[order], np.concatenate([[0], np.cumsum(n)[:-1]]))
-    return distinct, sums
+    return _counted_once(np.concatenate([_unpacked(v.as_py()) for v in table.column("keys")]), _numbers(table, "counts"))
 
 
 def _merged(table: pa.Table, bits: int) -> pa.Table:
@@ -396,7 +424,7 @@ def _finished(table: pa.Table, bits: int) -> pa.Table:
     firsts, kinds = _runs(_split(keys, bits)[0])
     follows = np.add.reduceat(sums, np.concatenate([[0], np.cumsum(kinds)[:-1]]))
     whole = (False, table.column("shard")[0].as_py(), None, _packed(keys, bits), _squeezed(sums, "<u8"), None)
-    return _counted([(*whole, *(v.tolist() for v in (firsts, kinds, follows)))])
+    return _counted([(*whole, firsts, kinds, follows)])
 
 
 def _pairs(parts: DataFrame, flushes: int, bits: int, rest_shards: int) -> DataFrame:
@@ -515,24 +543,30 @@ def _requests(docs: DataFrame, model: Model, ids, fixed) -> DataFrame:
     bits, shards, pairs_too = model.bits, model.word_shards, model.rest is not None
 
     def asked(words: pa.Array, sizes: np.ndarray, rids: np.ndarray) -> Iterator[pa.RecordBatch]:
-        flush = _flush(words, sizes, ids.value)
+        kinds = words.dictionary_encode()
         del words
+        flush = _flush(kinds, sizes, ids.value)
+        del kinds
         answer = [(OWN, int(rids[0] % shards), *[None] * 4, rids.tobytes(), _own(flush, len(sizes), fixed.value).tobytes())]
         frequent = (flush.v >= 0) & (flush.w >= 0)
         keys, of = _frequent(flush, frequent, bits), flush.of[frequent]
+        others = tuple(x[~frequent if pairs_too else slice(0)] for x in (flush.v, flush.w, flush.of))
+        # What is asked for later, but not whole rows of pairs.
+        spelled_of, hashed, rare, rare_of = flush.spelled, flush.hashed, flush.rare, flush.rare_of
+        del flush, frequent
         for s, at in _by_shard(keys, PAIR_SHARDS, bits):
             k, n = _runs(keys[at])
             answer.append((PAIRS, s, None, _packed(k, bits), *_answers_to(of[at], n, rids), None))
         yield _batch(answer, REQUESTS)
         del keys, of, answer[:]
-        for s, at in _grouped(_rare_shard(flush.hashed[flush.rare], shards)):
-            at = at[np.argsort(flush.rare[at])]
-            k, n = _runs(flush.rare[at])
-            spelled = b"\n".join(flush.spelled.take(pa.array(k)).to_pylist())
-            answer.append((RARE, s, None, spelled, *_answers_to(flush.rare_of[at], n, rids), None))
+        for s, at in _grouped(_rare_shard(hashed[rare], shards)):
+            at = at[np.argsort(rare[at])]
+            k, n = _runs(rare[at])
+            spelled = b"\n".join(spelled_of.take(pa.array(k)).to_pylist())
+            answer.append((RARE, s, None, spelled, *_answers_to(rare_of[at], n, rids), None))
         yield _batch(answer, REQUESTS)
         del answer[:]
-        v, w, of = (x[~frequent if pairs_too else slice(0)] for x in (flush.v, flush.w, flush.of))
+        v, w, of = others
         for s, at in _grouped(_rare_shard(np.where(w < 0, w, v), shards)):
             places, keys, local = _local(v[at], w[at])
             order = np.argsort(keys)
@@ -543,7 +577,7 @@ def _requests(docs: DataFrame, model: Model, ids, fixed) -> DataFrame:
     def batches(stream: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return itertools.chain.from_iterable(itertools.starmap(asked, _flushes(stream)))
 
-    return docs.mapInArrow(batches, REQUESTS)
+    return docs.mapInArrow(releasing(batches), REQUESTS)
 
 
 ANSWER = "rid bigint, texts bigint, tokens bigint, known bigint, base double, score double"

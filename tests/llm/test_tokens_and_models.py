@@ -206,3 +206,29 @@ def test_elias_fano_of_few_large_values(n):
     values = np.sort(np.random.default_rng(n).integers(0, 2**62, n)).astype(np.uint64)
     row, _ = EliasFano.opened(np.frombuffer(EliasFano.of(values, 2**62).to_bytes(), np.uint8))
     assert (row.all() == values).all() and (row.take(np.arange(n)) == values).all()
+
+
+def test_pairs_of_a_shard_need_little_memory():
+    """Merging a shard's flushes holds each pair a few times, not its ids many times."""
+    import tracemalloc
+
+    random, parts, sums = np.random.default_rng(5), [], Counter()
+    for _ in range(40):
+        v, w = -random.integers(1, 3_000, 10_000), random.integers(0, 2_000, 10_000)
+        ids, keys, bits = lm._local(v, w)
+        distinct, n = lm._runs(np.sort(keys))
+        parts.append((True, 0, lm._squeezed(ids, "<i8"), lm._packed(distinct, bits), lm._squeezed(n, "<u8")))
+        sums.update(zip(v.tolist(), w.tolist()))
+    table = pa.Table.from_batches([lm._batch(parts, lm.PARTS)])
+    pairs = sum(len(lm._unpacked(k.as_py())) for k in table.column("keys"))
+    tracemalloc.start()
+    out = lm._contexts(table, 16)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 80 * pairs, peak / pairs
+    found, rows = {}, out.to_pylist()
+    for row in rows:
+        met = zip(*(x.tolist() for x in lm._pairs_of(row["ids"], row["keys"])))
+        found.update(zip(met, lm._spread(row["counts"], "<u8").tolist()))
+    assert found == sums
+    assert dict(zip(rows[0]["v"], rows[0]["v_kinds"])) == Counter(v for v, _ in sums) and sum(rows[0]["v_follows"]) == 400_000
