@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import heapq
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import reduce
 
@@ -29,15 +30,17 @@ from pyspark.sql import types as T
 from marquee.llm.common import releasing
 
 #: Bytes that the plain encoder takes at the tree's leaves.
-LEAF = 4
-#: Halves and windows of up to so many bytes are remembered: they recur far more
+LEAF = 8
+#: The rank of what is no token.
+NONE = 2**62
+#: Leaves and windows of up to so many bytes are remembered: they recur far more
 #: often than whole pieces.
 RECALLED = 8
 #: Entries of each memo in a Python worker, which is emptied when full: what is
 #: frequent is back at once, and the rest is not worth its memory.
 MEMO = 50_000
-#: Bytes of text, about, that one output batch is made from.
-BATCH_BYTES = 4 * 2**20
+#: Bytes of text, about, that one output batch is made from; equal pieces in it are encoded once.
+BATCH_BYTES = 16 * 2**20
 #: A vocabulary is sent to all executors; this bounds it.
 MAX_VOCABULARY_BYTES = 64 * 2**20
 
@@ -64,16 +67,20 @@ class Vocabulary:
         ranks = self.ranks
         if len(data) > 48:
             return self._by_heap(data)
+        rank_of = ranks.get
         parts = [data[k : k + 1] for k in range(len(data))]
-        while len(parts) > 1:
-            best, at = None, -1
-            for k in range(len(parts) - 1):
-                rank = ranks.get(parts[k] + parts[k + 1])
-                if rank is not None and (best is None or rank < best):
-                    best, at = rank, k
-            if best is None:
+        pairs = [rank_of(data[k : k + 2], NONE) for k in range(len(data) - 1)]  # of each part and the next
+        while pairs:
+            best = min(pairs)
+            if best == NONE:
                 break
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            at = pairs.index(best)
+            parts[at] += parts.pop(at + 1)
+            del pairs[at]
+            if at:
+                pairs[at - 1] = rank_of(parts[at - 1] + parts[at], NONE)
+            if at < len(pairs):
+                pairs[at] = rank_of(parts[at] + parts[at + 1], NONE)
         return tuple([ranks[p] for p in parts])
 
     def _by_heap(self, data: bytes) -> tuple[int, ...]:
@@ -109,6 +116,18 @@ class Vocabulary:
             k = end[k]
         return tuple(out)
 
+    def window(self, data: bytes) -> tuple[int, ...]:
+        """The encoding of a leaf or window, remembered if it is short."""
+        if len(data) > RECALLED:
+            return self.plain(data)
+        found = self._short.get(data)
+        if found is None:
+            found = self.plain(data)
+            if len(self._short) >= MEMO:
+                self._short.clear()
+            self._short[data] = found
+        return found
+
     def pair(self, left: int, right: int) -> tuple[int, ...]:
         """The encoding of two tokens' bytes."""
         known = self._pairs.get((left, right))
@@ -128,28 +147,17 @@ class Vocabulary:
         width = 1
         while True:
             a, b = max(0, len(left) - width), min(len(right), width)
-            window = self.pair(left[-1], right[0]) if width == 1 else self.plain(self.decode(left[a:] + right[:b]))
+            window = self.pair(left[-1], right[0]) if width == 1 else self.window(self.decode(left[a:] + right[:b]))
             if (a == 0 or self.stays(left[a - 1], window[0])) and (b == len(right) or self.stays(window[-1], right[b])):
                 return left[:a] + window + right[b:]
             width *= 2
 
     def encode_bytes(self, data: bytes) -> tuple[int, ...]:
         """Encodes halves and joins them; of no bytes, no tokens."""
-        size = len(data)
-        if size <= RECALLED:
-            known = self._short.get(data)
-            if known is not None:
-                return known
-        if size <= LEAF:
-            found = self.plain(data)
-        else:
-            half = size // 2
-            found = self.join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
-        if size <= RECALLED:
-            if len(self._short) >= MEMO:
-                self._short.clear()
-            self._short[data] = found
-        return found
+        if len(data) <= LEAF:
+            return self.window(data)
+        half = len(data) // 2
+        return self.join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
 
     def piece(self, piece: str) -> tuple[int, ...]:
         """One match of the pattern: a token if it is one as a whole, else its encoding."""
@@ -167,6 +175,15 @@ class Vocabulary:
         known, piece = self._pieces.get, self.piece
         return [rank for p in self.split(text) for rank in (known(p) or piece(p))]
 
+    def encode_all(self, pieces: list[str]) -> pa.ListArray:
+        """The tokens of each piece."""
+        known, piece = self._pieces.get, self.piece
+        flat, ends = array("i"), [0]
+        for p in pieces:
+            flat.extend(known(p) or piece(p))
+            ends.append(len(flat))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32), pa.int32()))
+
     def decode(self, ids: list[int] | tuple[int, ...]) -> bytes:
         """Halves decoded and concatenated."""
         if len(ids) <= 4096:
@@ -213,12 +230,15 @@ def _without(docs: DataFrame, name: str) -> DataFrame:
 
 
 def _ids(texts: pa.Array, vocabulary: Vocabulary) -> pa.Array:
-    flat, offsets = [np.zeros(0, np.int32)], [0]
+    """The tokens of each text, of which all different pieces are encoded once."""
+    pieces, ends = [pa.array([], pa.large_string())], [0]
     for value in texts:
-        ids = vocabulary.encode(value.as_py() or "")
-        flat.append(np.fromiter(ids, np.int32, len(ids)))
-        offsets.append(offsets[-1] + len(ids))
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(flat), pa.int32()))
+        pieces.append(pa.array(vocabulary.split(value.as_py() or ""), pa.large_string()))
+        ends.append(ends[-1] + len(pieces[-1]))
+    parts = pa.chunked_array(pieces).dictionary_encode().chunks  # with one dictionary
+    del pieces
+    tokens = vocabulary.encode_all(parts[0].dictionary.to_pylist()).take(pa.concat_arrays([p.indices for p in parts]))
+    return pa.ListArray.from_arrays(tokens.offsets.take(pa.array(ends)), tokens.values)
 
 
 def _bytes(ids: pa.Array, vocabulary: Vocabulary) -> pa.Array:
