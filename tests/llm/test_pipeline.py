@@ -4,7 +4,7 @@ import corpus_pipeline
 import public_tokenizers
 from test_neighbours import brute_components
 
-from marquee.llm import bpe, jaccard_join, mixing, quality
+from marquee.llm import bpe, jaccard_join, mixing, quality, registered
 from marquee.llm.common import stored
 
 
@@ -74,3 +74,9 @@ def test_repeats_are_placed_only_where_they_could_be_enough(spark):
     rows = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
     kept = {r["doc_id"] for r in quality.passed(rows).collect()}
     assert kept == {r["doc_id"] for r in quality.judged(rows).where("kept").collect()} and 0 < len(kept) < len(texts)
+
+
+def test_mixing_reads_texts_once(spark, small):
+    """Topics and words are found before the cells are counted, not again when documents are drawn."""
+    plan = registered.op1_mixing_sources(spark, small)._jdf.queryExecution().executedPlan().toString().lower()
+    assert "scan parquet" in plan and "rlike" not in plan and "split(" not in plan
